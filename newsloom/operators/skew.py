@@ -1,0 +1,61 @@
+"""Joins that survive a hot key.
+
+One URL or title may hold a third of all rows. Hash-partitioned on the key alone, those
+rows would all be one task's. The joins here have a right side that holds each key at
+most once (or is only tested for membership), so the hot keys' right rows are few: they
+are copied to a fixed number of salts and the left rows of those keys are spread over
+them. All other rows join as usual.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_KEYS = 64          # at most this many keys are spread
+HOT_ROWS = 1_000_000   # a key with fewer rows is no burden to one task
+HOT_SHARE = 0.002      # ... nor is one with a smaller share of the rows
+SALTS = 64
+
+_TRACKED = 4096        # sketch size: keys above 1/1500 of the rows are always found
+
+
+def hot_keys(df: DataFrame, *names: str, rows: int | None = None) -> dict[str, list]:
+    """The heavy values of each column, by one pass of a fixed-size sketch.
+
+    The answer bounds no result: whichever keys are named, the joins are exact.
+    """
+    rows = HOT_ROWS if rows is None else rows
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, name in enumerate(names):
+        aggs.append(F.expr(f"approx_top_k(`{name}`, {HOT_KEYS}, {_TRACKED})").alias(f"top{i}"))
+    seen = df.agg(*aggs).first()
+    least = max(rows, HOT_SHARE * seen["n"])
+    return {
+        name: [t["item"] for t in seen[f"top{i}"] or []
+               if t["item"] is not None and t["count"] >= least]
+        for i, name in enumerate(names)
+    }
+
+
+def skew_join(left: DataFrame, right: DataFrame, key: str, how: str, spread_by: str | Column,
+              hot: list | None = None) -> DataFrame:
+    """``left.join(right, key, how)`` for how in inner, left, left_semi and left_anti.
+
+    ``spread_by`` tells the left rows of a key apart; it is hashed, not drawn at random,
+    so that a task run again sends its rows to the same places. ``hot`` saves the pass
+    that finds the hot keys.
+    """
+    if hot is None:
+        hot = hot_keys(left, key)[key]
+    if not hot:
+        return left.join(right, key, how)
+    is_hot = F.coalesce(F.col(key).isin(*hot), F.lit(False))
+    spread = F.col(spread_by) if isinstance(spread_by, str) else spread_by
+    salt = F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(F.lit(0))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return (
+        left.withColumn("_salt", salt.cast("int"))
+        .join(right.withColumn("_salt", F.explode(salts)), [key, "_salt"], how)
+        .drop("_salt")
+    )
