@@ -1004,6 +1004,10 @@ def _run_twice(spark: SparkSession, sf_dir: str) -> str:
     return table
 
 
+def _load_number() -> F.Column:
+    return F.split_part("load_id", F.lit("-"), F.lit(-1)).cast("int")
+
+
 @check("daily_run", f"""
 with {_RUN}
 select page_id, url, title, run from (
@@ -1012,7 +1016,7 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = tables.scan_articles(spark, f"{_run_twice(spark, sf_dir)}/articles")
     S.tables(spark, sf_dir, "pages")
     return stored.join(spark.table("pages").select("page_id", "url"), "url").select(
-        "page_id", "url", "title", F.col("load_id").cast("int").alias("run"))
+        "page_id", "url", "title", _load_number().alias("run"))
 
 
 @check("stream_new_urls", f"""
@@ -1026,4 +1030,4 @@ select run, mkt, count(*) as total_trending, count(*) filter (built) as built,
 from both_runs group by run, mkt""")
 def stream_new_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.read_log(spark, _run_twice(spark, sf_dir), "market_stats").select(
-        F.col("load_id").cast("int").alias("run"), "mkt", "total_trending", "built", "inserted")
+        _load_number().alias("run"), "mkt", "total_trending", "built", "inserted")

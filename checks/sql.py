@@ -6,6 +6,8 @@ from __future__ import annotations
 WS = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
       r"\x{205f}\x{3000}]")
 
+_TAG = r"<[a-zA-Z/!?][^>]*(?:>|\z)"
+
 
 def cut(text: str, pattern: str, by: str = "''") -> str:
     return f"regexp_replace({text}, '{pattern}', {by}, 'g')"
@@ -80,12 +82,13 @@ def collapsed(t: str) -> str:
 
 
 def visible_text(html: str) -> str:
-    return collapsed(decoded(cut(pruned(html), "<[^>]*>", "' '")))
+    return collapsed(decoded(cut(pruned(html), _TAG, "' '")))
 
 
 def main_text(html: str) -> str:
-    body = f"regexp_extract({pruned(html)}, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1)"
-    lines = cut(cut(body, r"(?i)</?(?:p|br|h[1-6]|li|div)\b[^>]*>", "chr(10)"), "<[^>]*>")
+    body = (f"regexp_extract({pruned(html)}, "
+            r"'(?is)<article\b[^<>]*>(.*?)(?:</article\s*>|\z)', 1)")
+    lines = cut(cut(body, r"(?i)</?(?:p|br|h[1-6]|li|div)\b[^<>]*>", "chr(10)"), _TAG)
     spaced = cut(decoded(lines), WS + r"*\n" + WS + "*", "chr(10) || chr(10)")
     return cut(spaced, rf"^{WS}+|{WS}+$")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.functions.text import BLOCKED, FLAGS, TRIGGER
+from newsloom.functions.text import BLOCKED, TRIGGER, regex
 from newsloom.schemas import ARTICLE, REQUIRED
 
 _HTTP = r"^https?://\S+$"
@@ -99,7 +99,7 @@ def length_issue(content: Column, low: int, high: int) -> Column:
 def unsafe_issues(content: Column) -> Column:
     """One text per blocked pattern that still occurs."""
     return strings_where(*(
-        (content.contains(TRIGGER[p]) & content.rlike(FLAGS + p),
+        (content.contains(TRIGGER[p]) & content.rlike(regex(p)),
          F.lit(f"Content contains potentially unsafe pattern: {p}"))
         for p in BLOCKED
     ))

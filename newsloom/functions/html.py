@@ -14,16 +14,20 @@ from pyspark.sql import functions as F
 from newsloom.functions.scalars import WS, collapse_ws
 from newsloom.functions.text import text_udf
 
-# What is left open runs to the end of the page.
+# What is left open runs to the end of the page. A pattern here never looks past the next
+# '<' for the end of a tag, or takes all the rest: pages of unclosed tags cost no more
+# than others.
 _PRUNE = (r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)"
           r"|<style\b.*?(?:</style\s*>|\z)")
-_ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article\s*>"
-_BLOCK = r"(?i)</?(?:p|br|h[1-6]|li|div)\b[^>]*>"
+_ARTICLE = r"(?is)<article\b[^<>]*>(.*?)(?:</article\s*>|\z)"
+_BLOCK = r"(?i)</?(?:p|br|h[1-6]|li|div)\b[^<>]*>"
 # A paragraph ends at its own end tag or at the next block, whichever comes first.
-_PARAGRAPH = (r"(?is)<p\b[^>]*>(.*?)(?=</?(?:p|div|h[1-6]|li|ul|ol|table|section|nav|main|"
+_PARAGRAPH = (r"(?is)<p\b[^<>]*>(.*?)(?=</?(?:p|div|h[1-6]|li|ul|ol|table|section|nav|main|"
               r"aside|header|footer|article|body|html)\b|\z)")
-_TAG = "<[^>]*>"
-_LANG = r"(?is)<html\b[^>]*?(?<![\w:-])lang\s*=\s*[\"']?([^\"'\s>]*)"
+_TAG = r"<[a-zA-Z/!?][^>]*(?:>|\z)"
+_LANG = r"(?is)<html\b[^<>]*?(?<![\w:-])lang\s*=\s*[\"']?([^\"'\s<>]*)"
+# White space but the line feed.
+_GAP = r"[\s\x1c-\x1f&&[^\n]]"
 
 # The entities decoded without leaving the JVM, '&amp;' last.
 _ENTITIES = (
@@ -62,7 +66,7 @@ def visible_raw(pruned: Column) -> Column:
 def main_raw(pruned: Column) -> Column:
     """Body of the first ``<article>``, or the paragraphs of a page without one."""
     paragraphs = F.array_join(F.regexp_extract_all(pruned, F.lit(_PARAGRAPH), F.lit(1)), "\n")
-    body = (F.when(pruned.rlike(r"(?i)<article\b"), F.regexp_extract(pruned, _ARTICLE, 1))
+    body = (F.when(pruned.rlike(r"(?i)<article\b[^<>]*>"), F.regexp_extract(pruned, _ARTICLE, 1))
             .otherwise(paragraphs))
     return F.regexp_replace(F.regexp_replace(body, _BLOCK, "\n"), _TAG, "")
 
@@ -74,8 +78,8 @@ def maybe_blank(raw: Column) -> Column:
 
 def tidy_lines(decoded: Column) -> Column:
     """Trim every line, drop empty ones, and put a blank line between the rest."""
-    spaced = F.regexp_replace(decoded, rf"(?U){WS}*\n{WS}*", "\n\n")
-    return F.regexp_replace(spaced, rf"(?U)^{WS}+|{WS}+$", "")
+    spaced = F.regexp_replace(decoded, rf"(?U)(?<!{_GAP}){_GAP}*+\n{WS}*+", "\n\n")
+    return F.regexp_replace(spaced, rf"(?U)^{WS}++|(?<!{WS}){WS}++\z", "")
 
 
 def visible_text(decoded: Column) -> Column:
@@ -88,7 +92,7 @@ def _attribute(pruned: Column, tag_with: str, attribute: str) -> Column:
 
 
 def _meta(tag_with: str, attribute: str) -> str:
-    return (rf"(?is)<meta\b(?=[^>]*?\s{tag_with}[\"'\s/>])[^>]*?\s{attribute}\s*=\s*"
+    return (rf"(?is)<meta\b(?=[^<>]*?\s{tag_with}[\"'\s/>])[^<>]*?\s{attribute}\s*=\s*"
             r"([\"'])(.*?)\1")
 
 

@@ -35,16 +35,25 @@ def parse_iso_ts(text: Column) -> Column:
 
     Fractions beyond microseconds are cut; texts without an offset are UTC.
     """
-    ok = text.rlike(_ISO)
-    dotted = F.translate(text, ",z", ".Z")
-    # Spark wants minutes, and a colon in the offset.
-    minutes = F.regexp_replace(dotted, r"^([^T ]+[T ]\d{2})([Z+-]|$)", "$1:00$2")
-    offset = F.regexp_replace(minutes, r"(:[\d.]+[+-]\d{2}):?(\d{2})$", "$1:$2")
-    hours_only = F.regexp_replace(offset, r"(:[\d.]+[+-]\d{2})$", "$1:00")
-    zoned = F.when(hours_only.rlike(r":.*(Z|[+-]\d{2}:\d{2})$"), hours_only)
-    local = F.when(hours_only.rlike(r"[T ]"), F.concat(hours_only, F.lit("Z")))
-    date_only = F.concat(hours_only, F.lit("T00:00:00Z"))
-    return F.when(ok, F.try_to_timestamp(F.coalesce(zoned, local, date_only)))
+    rest = F.translate(F.substring(text, 11, 100), ",z", ".Z")
+    time = F.regexp_extract(rest, r"^[T ]([\d:.]+)", 1)
+    zone = F.regexp_extract(rest, r"(Z|[+-][\d:]+)$", 1)
+    # Spark wants all three parts of the time, and a colon and minutes in the offset.
+    full_time = (
+        F.when(F.length(time) == 0, "00:00:00")
+        .when(F.length(time) == 2, F.concat(time, F.lit(":00:00")))
+        .when(F.length(time) == 5, F.concat(time, F.lit(":00")))
+        .otherwise(time)
+    )
+    full_zone = (
+        F.when(F.length(zone) == 0, "Z")
+        .when(F.length(zone) == 3, F.concat(zone, F.lit(":00")))
+        .when(F.length(zone) == 5, F.concat(F.substring(zone, 1, 3), F.lit(":"),
+                                            F.substring(zone, 4, 2)))
+        .otherwise(zone)
+    )
+    whole = F.concat(F.substring(text, 1, 10), F.lit("T"), full_time, full_zone)
+    return F.when(text.rlike(_ISO), F.try_to_timestamp(whole))
 
 
 def falsy_coalesce(a: Column, b: Column) -> Column:

@@ -23,15 +23,24 @@ DOUBLE_QUOTED = r'(?<!\\)".*?(?<!\\)"'
 DOLLAR_NAME = r"\$[a-zA-Z_][a-zA-Z0-9_]*"
 BLOCKED = (SCRIPT, IFRAME, SINGLE_QUOTED, DOUBLE_QUOTED, DOLLAR_NAME)
 
+# The first two as they are run: they match the same, but look for the tag's end once.
+_RUN_AS = {
+    SCRIPT: r"<script[^>]*>.*?</script>",
+    IFRAME: r"<iframe[^>]*>.*?</iframe>",
+}
+
 # A character without which a pattern cannot match.
 TRIGGER = {SCRIPT: "<", IFRAME: "<", SINGLE_QUOTED: "'", DOUBLE_QUOTED: '"', DOLLAR_NAME: "$"}
 
-# Case-insensitive over Unicode, and '.' matches line ends.
-FLAGS = "(?isu)"
+
+
+def regex(pattern: str) -> str:
+    """The Java pattern: case-insensitive over Unicode, and '.' matches line ends."""
+    return "(?isu)" + _RUN_AS.get(pattern, pattern)
 
 
 def remove(c: Column, pattern: str) -> Column:
-    return F.regexp_replace(c, FLAGS + pattern, "")
+    return F.regexp_replace(c, regex(pattern), "")
 
 
 def strip_scripts(c: Column) -> Column:
@@ -55,7 +64,14 @@ def strip_dollar_names(c: Column) -> Column:
 
 
 def strip_tags(c: Column) -> Column:
-    return F.regexp_replace(c, "<[^>]+>", "")
+    """Remove ``<...>``. ``c`` is read several times: pass a plain column.
+
+    Past the last ``>`` no tag can end, and there the pattern is not tried: text full of
+    lone ``<`` would cost it the square of its length.
+    """
+    tail = F.substring_index(c, ">", -1)
+    head = F.left(c, F.length(c) - F.length(tail))
+    return F.when(c.contains("<"), F.concat(F.regexp_replace(head, "<[^>]+>", ""), tail)).otherwise(c)
 
 
 def normalize_newlines(c: Column) -> Column:
@@ -101,15 +117,16 @@ def with_sanitized(df: DataFrame, source: str, target: str,
                    patterns: Sequence[str] = BLOCKED) -> DataFrame:
     """Add ``target``: ``source`` with every step above applied in order.
 
-    ``patterns`` narrows what is removed. The steps are spread over three projections,
-    because normalization reads its input more than once.
+    ``patterns`` narrows what is removed. The steps are spread over projections, because
+    some read their input more than once.
     """
     cleaned = F.col(source)
     for pattern in patterns:
         cleaned = remove(cleaned, pattern)
-    cleaned = html_escape(normalize_newlines(strip_tags(cleaned)))
+    tagless = strip_tags(F.col(target))
     return (
         df.withColumn(target, cleaned)
+        .withColumn(target, html_escape(normalize_newlines(tagless)))
         .withColumn(target, nfkc(F.col(target)))
         .withColumn(target, strip_invisible(F.col(target)))
     )

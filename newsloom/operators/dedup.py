@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.operators.joins import stored_keys
 from newsloom.operators.skew import hot_keys, skew_join
 from newsloom.session import stage
 
@@ -92,8 +93,8 @@ def two_key_insert(df: DataFrame, order: str, keys: tuple[str, str] = ("url", "t
     hot = hot_keys(df, k1, k2)
     verdict = df
     if stored is not None:
-        old1 = stored.select(k1).distinct().withColumn("_old1", F.lit(True))
-        old2 = stored.select(k2).distinct().withColumn("_old2", F.lit(True))
+        old1 = stored_keys(stored, df, k1).withColumn("_old1", F.lit(True))
+        old2 = stored_keys(stored, df, k2).withColumn("_old2", F.lit(True))
         pairs = skew_join(pairs, old1, k1, "left_anti", "_ord", hot[k1])
         pairs = skew_join(pairs, old2, k2, "left_anti", "_ord", hot[k2])
         verdict = skew_join(verdict, old1, k1, "left", order, hot[k1])

@@ -43,16 +43,13 @@ def with_text(pages: DataFrame, extractors: Extractors | None = None) -> DataFra
     raw = pages.withColumn("_main", pick.main_raw(F.col("url"), F.col("pruned")))
     raw = raw.withColumn(
         "_visible", F.when(H.maybe_blank(F.col("_main")), H.visible_raw(F.col("pruned"))))
-    decoded = (
-        raw.drop("pruned")
-        .withColumn("_main", H.decode_entities(F.col("_main")))
-        .withColumn("_visible", H.decode_entities(F.col("_visible")))
-    )
-    return (
-        decoded.withColumn("main_text", H.tidy_lines(F.col("_main")))
-        .withColumn("visible_text", H.visible_text(F.col("_visible")))
-        .drop("_main", "_visible")
-    )
+    # Both in one projection, so that they share a trip to Python.
+    decoded = raw.drop("pruned").withColumns(
+        {c: H.decode_entities(F.col(c)) for c in ("_main", "_visible")})
+    return decoded.withColumns({
+        "main_text": H.tidy_lines(F.col("_main")),
+        "visible_text": H.visible_text(F.col("_visible")),
+    }).drop("_main", "_visible")
 
 
 def with_pruned(pages: DataFrame) -> DataFrame:

@@ -7,23 +7,47 @@ from pyspark.sql import functions as F
 
 from newsloom.operators.skew import skew_join
 
+# Up to this many keys (some 20 MB of URLs) are sent to every task that reads the table.
+KEYS_TO_BROADCAST = 200_000
+
+
+def few(keys: DataFrame) -> bool:
+    """Whether the rows are few enough to broadcast; counts no further than that."""
+    return keys.limit(KEYS_TO_BROADCAST + 1).count() <= KEYS_TO_BROADCAST
+
+
+def stored_keys(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The stored values of ``key`` that can matter to ``batch``.
+
+    The table holds all history and a batch is usually small beside it. Then the batch's
+    keys go to the table's tasks and only the matches come back: history is read (one
+    column) but not shuffled. A batch too large for that is joined with the whole column.
+    """
+    wanted = batch.select(key).distinct()
+    if few(wanted):
+        stored = stored.join(F.broadcast(wanted), key, "left_semi")
+    return stored.select(key).distinct()
+
 
 def new_items_only(items: DataFrame, articles: DataFrame, spread_by: str = "arrival",
                    hot: list | None = None) -> DataFrame:
     """Items whose URL is not stored; run this before any page is touched."""
-    return skew_join(items, articles.select("url"), "url", "left_anti", spread_by, hot)
+    stored = stored_keys(articles, items, "url")
+    return skew_join(items, stored, "url", "left_anti", spread_by, hot)
 
 
 def existing_urls(urls: DataFrame, articles: DataFrame) -> DataFrame:
     """Which of the URLs are stored, each once. Copies collapse before the join."""
-    return urls.select("url").distinct().join(articles.select("url"), "url", "left_semi")
+    wanted = urls.select("url").distinct()
+    return wanted.join(stored_keys(articles, wanted, "url"), "url", "left_semi")
 
 
 def title_conflicts(items: DataFrame, articles: DataFrame, spread_by: str = "arrival",
                     hot: list | None = None) -> DataFrame:
     """New items whose title is stored under another URL; the store will refuse them."""
     new = new_items_only(items, articles, spread_by)
-    return skew_join(new, articles.select("title"), "title", "left_semi", spread_by, hot)
+    stored = stored_keys(articles, items, "title")
+    return skew_join(new, stored, "title", "left_semi", spread_by, hot)
 
 
 def attach_pages(items: DataFrame, pages: DataFrame, spread_by: str = "arrival",
@@ -38,7 +62,7 @@ def attach_pages(items: DataFrame, pages: DataFrame, spread_by: str = "arrival",
 def stored_flag(items: DataFrame, articles: DataFrame, spread_by: str = "arrival",
                 hot: list | None = None) -> DataFrame:
     """All items with ``is_stored``, for runs that also report the skipped ones."""
-    stored = articles.select("url").distinct().withColumn("is_stored", F.lit(True))
+    stored = stored_keys(articles, items, "url").withColumn("is_stored", F.lit(True))
     return (
         skew_join(items, stored, "url", "left", spread_by, hot)
         .withColumn("is_stored", F.coalesce("is_stored", F.lit(False)))

@@ -74,7 +74,7 @@ def write_articles(accepted: DataFrame, path: str, load_id: str) -> None:
         .withColumn("pub_date", utc_date(F.col("date_published")))
         .withColumn("load_id", F.lit(load_id))
         .hint("rebalance", "pub_date")
-        .sortWithinPartitions("pub_date", "origin_country")
+        .sortWithinPartitions("pub_date", "load_id", "origin_country")
     )
     (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("pub_date", "load_id").parquet(path))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newsloom.config import Settings
 from newsloom.operators.build import ALREADY_EXISTS, BUILT, build_items, merge_article
 from newsloom.operators.extraction import Extractors
-from newsloom.operators.joins import stored_flag
+from newsloom.operators.joins import few, stored_flag
 from newsloom.operators.numbering import with_position
 from newsloom.operators.skew import skew_join
 from newsloom.operators.store import judge
@@ -19,9 +19,6 @@ from newsloom.session import stage
 
 ARRIVAL = ("source_ord", "market_ord", "response", "pos")
 
-# Up to this many URLs (some 20 MB) are sent to every task that reads pages.
-URLS_TO_BROADCAST = 200_000
-
 
 @dataclass(frozen=True)
 class Run:
@@ -38,9 +35,7 @@ def wanted_pages(pages: DataFrame, items: DataFrame) -> DataFrame:
     Beyond that all pages are worked on: moving HTML about costs more than reading it.
     """
     urls = items.select("url").distinct()
-    if urls.limit(URLS_TO_BROADCAST + 1).count() > URLS_TO_BROADCAST:
-        return pages
-    return pages.join(F.broadcast(urls), "url", "left_semi")
+    return pages.join(F.broadcast(urls), "url", "left_semi") if few(urls) else pages
 
 
 def plan_run(items: DataFrame, pages: DataFrame, stored: DataFrame, run_ts: datetime,
@@ -58,15 +53,13 @@ def plan_run(items: DataFrame, pages: DataFrame, stored: DataFrame, run_ts: date
 
     batch = merge_article(done.where(F.col("outcome") == BUILT), run_ts, "arrival")
     verdicts = judge(batch, stored)
-    accepted, rejected = stage(verdicts.accepted), stage(verdicts.rejected)
 
     market = F.struct("source_ord", "market_ord")
-    first = accepted.select("arrival").join(
-        done.select("arrival", "url", market.alias("_market")), "arrival")
-    owners = first.select("url", F.col("arrival").alias("_owner"), "_market")
-    tried = skew_join(
-        done.select("arrival", "mkt", "url", "outcome", market.alias("_mine")),
-        owners, "url", "left", "arrival")
+    placed = done.select("arrival", "mkt", "url", "outcome", market.alias("_mine"))
+    # Accepted URLs are unique, so each has one owner.
+    owners = verdicts.accepted.select("arrival").join(placed, "arrival").select(
+        "url", F.col("arrival").alias("_owner"), F.col("_mine").alias("_market"))
+    tried = skew_join(placed, owners, "url", "left", "arrival")
     outcome = F.when(F.col("_market") < F.col("_mine"), ALREADY_EXISTS).otherwise(F.col("outcome"))
     log = tried.select(
         "arrival", "mkt", "url", outcome.alias("outcome"),
@@ -78,4 +71,4 @@ def plan_run(items: DataFrame, pages: DataFrame, stored: DataFrame, run_ts: date
     log = stage(log)
     # A refused row is one that was inserted in vain; a skipped one never was.
     skipped = log.where(F.col("outcome") == ALREADY_EXISTS).select("arrival")
-    return Run(log, accepted, rejected.join(skipped, "arrival", "left_anti"))
+    return Run(log, verdicts.accepted, verdicts.rejected.join(skipped, "arrival", "left_anti"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +41,10 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/newsloom-{uuid.uuid4().hex}"
 
 
+# Folders to delete when the innermost `staging` block ends.
+_OPEN: list[list[str]] = []
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to a new scratch table and read it back.
 
@@ -47,5 +53,19 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark)
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete what was staged inside the block; its results must be written by its end."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from newsloom.config import Settings
 from newsloom.operators import telemetry
+from newsloom.operators.build import BUILT
 from newsloom.operators.extraction import Extractors
 from newsloom.operators.store import quarantine, stored_before, write_articles, write_errors
 from newsloom.plans.run import plan_run
-from newsloom.session import stage
+from newsloom.session import stage, staging
 from newsloom.sources.news_json import LANDED, explode_response
 from newsloom.sources.registry import Registry, union_sources
 from newsloom.sources.tables import scan_pages
@@ -27,41 +28,57 @@ def process_load(raw: DataFrame, pages: DataFrame, table: str, load_id: str, run
     done again: it does not see its own earlier rows and replaces them.
     """
     spark = raw.sparkSession
-    registry = Registry()
-    registry.register_source(source_api, stage(raw), settings.markets)
-    items = union_sources(spark, registry)
-    run = plan_run(items, pages, stored_before(spark, f"{table}/articles", load_id), run_ts,
-                   settings, extractors)
-    write_articles(run.accepted, f"{table}/articles", load_id)
-    quarantine(run.rejected, f"{table}/failed_articles", load_id)
 
     def log(name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{table}/{name}/load_id={load_id}")
 
-    inserted = run.items.where("accepted")
-    log("build_log", run.items)
-    log("errors", write_errors(run.rejected, run.items.where(F.col("outcome") == "built")))
-    log("market_stats", telemetry.market_stats_of_run(run.items))
-    log("run_summary", telemetry.run_summary(run.items, inserted))
+    with staging(spark):
+        registry = Registry()
+        registry.register_source(source_api, stage(raw), settings.markets)
+        items = union_sources(spark, registry)
+        run = plan_run(items, pages, stored_before(spark, f"{table}/articles", load_id), run_ts,
+                       settings, extractors)
+        write_articles(run.accepted, f"{table}/articles", load_id)
+        quarantine(run.rejected, f"{table}/failed_articles", load_id)
+        log("build_log", run.items)
+        log("errors", write_errors(run.rejected, run.items.where(F.col("outcome") == BUILT)))
+        log("market_stats", telemetry.market_stats_of_run(run.items))
+        log("run_summary", telemetry.run_summary(run.items, run.items.where("accepted")))
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave this checkpoint.
+
+    Batch numbers start again with a new checkpoint; with the id in the load's name, its
+    loads do not replace those of the old one.
+    """
+    kept = spark.read.json(f"{checkpoint}/metadata").first()
+    return kept["id"].split("-")[0]
 
 
 def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, checkpoint: str,
               source_api: str = "BingNewsSource", settings: Settings = Settings(),
-              extractors: Extractors | None = None, run_ts: datetime | None = None) -> None:
+              extractors: Extractors | None = None, run_ts: datetime | None = None,
+              files_per_load: int | None = None) -> None:
     """Process what is new under ``landing`` (``mkt=<market>/*.json``), then stop.
 
     The stream's checkpoint knows the files already taken; the article table knows the
-    URLs. Schedule the call outside; two runs on one table must not overlap.
+    URLs. ``files_per_load`` splits a large backlog into several loads. Schedule the call
+    outside; two runs on one table must not overlap.
     """
     now = run_ts or datetime.now(timezone.utc)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        process_load(batch, scan_pages(batch.sparkSession, pages_path), table,
-                     f"{batch_id:010d}", now, source_api, settings, extractors)
-
+        session = batch.sparkSession
+        process_load(batch, scan_pages(session, pages_path), table,
+                     f"{stream_id(session, checkpoint)}-{batch_id:06d}", now, source_api,
+                     settings, extractors)
+
+    reader = spark.readStream.schema(LANDED).option("multiLine", True)
+    if files_per_load:
+        reader = reader.option("maxFilesPerTrigger", files_per_load)
     query = (
-        explode_response(
-            spark.readStream.schema(LANDED).option("multiLine", True).json(landing))
+        explode_response(reader.json(landing))
         .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
