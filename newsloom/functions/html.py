@@ -11,14 +11,14 @@ import html
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.functions.scalars import WS, collapse_ws
+from newsloom.functions.scalars import WS, WS_CHARS, collapse_ws
 from newsloom.functions.text import text_udf
 
 # What is left open runs to the end of the page. A pattern here never looks past the next
 # '<' for the end of a tag, or takes all the rest: pages of unclosed tags cost no more
 # than others.
-_PRUNE = (r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)"
-          r"|<style\b.*?(?:</style\s*>|\z)")
+_PRUNE = (r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script\s*>|\z)"
+          r"|style\b.*?(?:</style\s*>|\z))")
 _ARTICLE = r"(?is)<article\b[^<>]*>(.*?)(?:</article\s*>|\z)"
 _BLOCK = r"(?i)</?(?:p|br|h[1-6]|li|div)\b[^<>]*>"
 # A paragraph ends at its own end tag or at the next block, whichever comes first.
@@ -26,9 +26,6 @@ _PARAGRAPH = (r"(?is)<p\b[^<>]*>(.*?)(?=</?(?:p|div|h[1-6]|li|ul|ol|table|sectio
               r"aside|header|footer|article|body|html)\b|\z)")
 _TAG = r"<[a-zA-Z/!?][^>]*(?:>|\z)"
 _LANG = r"(?is)<html\b[^<>]*?(?<![\w:-])lang\s*=\s*[\"']?([^\"'\s<>]*)"
-# White space but the line feed.
-_GAP = r"[\s\x1c-\x1f&&[^\n]]"
-
 # The entities decoded without leaving the JVM, '&amp;' last.
 _ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
@@ -54,8 +51,10 @@ def decode_entities(c: Column) -> Column:
     simple = c
     for entity, char in _ENTITIES:
         simple = F.replace(simple, F.lit(entity), F.lit(char))
-    other = c.contains("&") & c.rlike(_OTHER_ENTITY)
-    return F.coalesce(text_udf(html.unescape).asNondeterministic()(F.when(other, c)), simple)
+    has_any = c.contains("&")
+    other = has_any & c.rlike(_OTHER_ENTITY)
+    decoded = text_udf(html.unescape).asNondeterministic()(F.when(other, c))
+    return F.coalesce(decoded, F.when(has_any, simple).otherwise(c))
 
 
 def visible_raw(pruned: Column) -> Column:
@@ -78,8 +77,8 @@ def maybe_blank(raw: Column) -> Column:
 
 def tidy_lines(decoded: Column) -> Column:
     """Trim every line, drop empty ones, and put a blank line between the rest."""
-    spaced = F.regexp_replace(decoded, rf"(?U)(?<!{_GAP}){_GAP}*+\n{WS}*+", "\n\n")
-    return F.regexp_replace(spaced, rf"(?U)^{WS}++|(?<!{WS}){WS}++\z", "")
+    lines = F.transform(F.split(decoded, "\n"), lambda line: F.btrim(line, F.lit(WS_CHARS)))
+    return F.array_join(F.filter(lines, lambda line: line != ""), "\n\n")
 
 
 def visible_text(decoded: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Every character Python's str.split() and str.strip() treat as white space.
 WS = r"[\s\x1c-\x1f]"
+WS_CHARS = "".join(filter(str.isspace, map(chr, range(0x3001))))
 
 # ISO-8601 in extended form: a date, then optionally a time and an offset.
 _ISO = (r"^\d{4}-\d{2}-\d{2}"

@@ -86,9 +86,14 @@ def html_escape(c: Column) -> Column:
     return c
 
 
+def _is_wide(c: Column) -> Column:
+    """Whether text is more than ASCII; compares two lengths and decodes nothing."""
+    return F.length(c) != F.octet_length(c)
+
+
 def strip_invisible(c: Column) -> Column:
-    """Remove format, private-use and unassigned characters."""
-    return F.regexp_replace(c, r"[\p{Cf}\p{Co}\p{Cn}]", "")
+    """Remove format, private-use and unassigned characters; none of them is ASCII."""
+    return F.when(_is_wide(c), F.regexp_replace(c, r"[\p{Cf}\p{Co}\p{Cn}]", "")).otherwise(c)
 
 
 def text_udf(call, *args: str):
@@ -108,8 +113,7 @@ def nfkc(c: Column) -> Column:
     ASCII text is its own normal form: the UDF sees null for it, and the test costs no
     decoding. For other text the test for a change would cost more than the change.
     """
-    wide = F.length(c) != F.octet_length(c)
-    changed = text_udf(unicodedata.normalize, "NFKC")(F.when(wide, c))
+    changed = text_udf(unicodedata.normalize, "NFKC")(F.when(_is_wide(c), c))
     return F.coalesce(changed, c)
 
 
@@ -117,16 +121,20 @@ def with_sanitized(df: DataFrame, source: str, target: str,
                    patterns: Sequence[str] = BLOCKED) -> DataFrame:
     """Add ``target``: ``source`` with every step above applied in order.
 
-    ``patterns`` narrows what is removed. The steps are spread over projections, because
-    some read their input more than once.
+    ``patterns`` narrows what is removed. Every step is a projection of its own, so that
+    it can first look for a character without which it has nothing to do; all of them up
+    to the normalization still run as one generated loop.
     """
-    cleaned = F.col(source)
+    df = df.withColumn(target, F.col(source))
+    c = F.col(target)
     for pattern in patterns:
-        cleaned = remove(cleaned, pattern)
-    tagless = strip_tags(F.col(target))
+        df = df.withColumn(target, F.when(c.contains(TRIGGER[pattern]), remove(c, pattern))
+                           .otherwise(c))
+    breaks = c.contains("\r") | c.contains("\n\n")
     return (
-        df.withColumn(target, cleaned)
-        .withColumn(target, html_escape(normalize_newlines(tagless)))
-        .withColumn(target, nfkc(F.col(target)))
-        .withColumn(target, strip_invisible(F.col(target)))
+        df.withColumn(target, strip_tags(c))
+        .withColumn(target, F.when(breaks, normalize_newlines(c)).otherwise(c))
+        .withColumn(target, html_escape(c))
+        .withColumn(target, nfkc(c))
+        .withColumn(target, strip_invisible(c))
     )
