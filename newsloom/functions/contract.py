@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsloom.functions.scalars import is_code
 from newsloom.functions.text import BLOCKED, TRIGGER, regex
 from newsloom.schemas import ARTICLE, REQUIRED
 
@@ -57,7 +58,7 @@ def image_ok(image_url: Column) -> Column:
 
 def member_of(code: Column, codes: tuple[str, ...]) -> Column:
     """True where ``code`` is one of the (fixed) codes; false for null."""
-    return F.coalesce(code.isin(*codes), F.lit(False))
+    return F.coalesce(is_code(code, codes), F.lit(False))
 
 
 def with_contract_issues(df: DataFrame, names: tuple[str, ...] = REQUIRED) -> DataFrame:

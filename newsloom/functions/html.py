@@ -19,7 +19,8 @@ from newsloom.functions.text import text_udf
 # than others.
 _PRUNE = (r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script\s*>|\z)"
           r"|style\b.*?(?:</style\s*>|\z))")
-_ARTICLE = r"(?is)<article\b[^<>]*>(.*?)(?:</article\s*>|\z)"
+_ARTICLE = r"(?i)<article\b[^<>]*>"
+_ARTICLE_END = r"(?i)</article\s*>"
 _BLOCK = r"(?i)</?(?:p|br|h[1-6]|li|div)\b[^<>]*>"
 # A paragraph ends at its own end tag or at the next block, whichever comes first.
 _PARAGRAPH = (r"(?is)<p\b[^<>]*>(.*?)(?=</?(?:p|div|h[1-6]|li|ul|ol|table|section|nav|main|"
@@ -65,8 +66,9 @@ def visible_raw(pruned: Column) -> Column:
 def main_raw(pruned: Column) -> Column:
     """Body of the first ``<article>``, or the paragraphs of a page without one."""
     paragraphs = F.array_join(F.regexp_extract_all(pruned, F.lit(_PARAGRAPH), F.lit(1)), "\n")
-    body = (F.when(pruned.rlike(r"(?i)<article\b[^<>]*>"), F.regexp_extract(pruned, _ARTICLE, 1))
-            .otherwise(paragraphs))
+    # Null without an <article>; one that is left open runs to the end of the page.
+    after = F.get(F.split(pruned, _ARTICLE, 2), F.lit(1))
+    body = F.coalesce(F.get(F.split(after, _ARTICLE_END, 2), F.lit(0)), paragraphs)
     return F.regexp_replace(F.regexp_replace(body, _BLOCK, "\n"), _TAG, "")
 
 

@@ -88,10 +88,15 @@ def split_keywords(c: Column) -> Column:
     return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " "))
 
 
+def is_code(c: Column, codes: list[str] | tuple[str, ...]) -> Column:
+    """Whether ``c`` is one of the (comma-free) codes; the list is one literal."""
+    return F.find_in_set(c, F.lit(",".join(codes))) > 0
+
+
 def lang_code(c: Column, known: list[str] | tuple[str, ...]) -> Column:
     """Lower-cased two-letter language code, null where it is not a known one."""
     low = F.lower(c)
-    return F.when(low.isin(*known), low)
+    return F.when(is_code(low, known), low)
 
 
 def percent_text(rate: Column, none: str | None = None) -> Column:

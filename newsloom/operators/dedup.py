@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.operators.joins import stored_keys
+from newsloom.operators.joins import few, stored_keys
 from newsloom.operators.skew import hot_keys, skew_join
 from newsloom.session import stage
 
@@ -43,8 +43,8 @@ def _finish(edges: DataFrame) -> DataFrame:
     return edges.coalesce(1).mapInPandas(run, edges.schema)
 
 
-def accepted_edges(edges: DataFrame, k1: str, k2: str, rounds: int = ROUNDS,
-                   small_rest: int = SMALL_REST) -> DataFrame:
+def accepted_edges(edges: DataFrame, k1: str, k2: str, hot: dict[str, list],
+                   rounds: int = ROUNDS, small_rest: int = SMALL_REST) -> DataFrame:
     """Of the (k1, k2, _ord) edges, those a one-by-one insert in _ord would accept.
 
     In every round the edges that come first among all edges of both their keys are
@@ -55,11 +55,10 @@ def accepted_edges(edges: DataFrame, k1: str, k2: str, rounds: int = ROUNDS,
     task is finished there after a few rounds, and a larger one keeps going round.
     """
     live = stage(edges.select(k1, k2, "_ord"))
-    hot = hot_keys(live, k1, k2)
     won = []
     while size := live.count():
         if len(won) >= rounds and size <= small_rest:
-            won.append(_finish(live))
+            won.append(stage(_finish(live)))
             break
         first1 = live.groupBy(k1).agg(F.min("_ord").alias("_ord"))
         first2 = live.groupBy(k2).agg(F.min("_ord").alias("_ord"))
@@ -68,7 +67,7 @@ def accepted_edges(edges: DataFrame, k1: str, k2: str, rounds: int = ROUNDS,
         rest = skew_join(live, winners.select(k1), k1, "left_anti", "_ord", hot[k1])
         rest = skew_join(rest, winners.select(k2), k2, "left_anti", "_ord", hot[k2])
         live = stage(rest)
-    return stage(reduce(DataFrame.unionByName, won, live.limit(0)))
+    return reduce(DataFrame.unionByName, won, live.limit(0))
 
 
 def two_key_insert(df: DataFrame, order: str, keys: tuple[str, str] = ("url", "title"),
@@ -93,8 +92,9 @@ def two_key_insert(df: DataFrame, order: str, keys: tuple[str, str] = ("url", "t
     hot = hot_keys(df, k1, k2)
     verdict = df
     if stored is not None:
-        old1 = stored_keys(stored, df, k1).withColumn("_old1", F.lit(True))
-        old2 = stored_keys(stored, df, k2).withColumn("_old2", F.lit(True))
+        small = few(df)
+        old1 = stored_keys(stored, df, k1, small).withColumn("_old1", F.lit(True))
+        old2 = stored_keys(stored, df, k2, small).withColumn("_old2", F.lit(True))
         pairs = skew_join(pairs, old1, k1, "left_anti", "_ord", hot[k1])
         pairs = skew_join(pairs, old2, k2, "left_anti", "_ord", hot[k2])
         verdict = skew_join(verdict, old1, k1, "left", order, hot[k1])
@@ -102,7 +102,7 @@ def two_key_insert(df: DataFrame, order: str, keys: tuple[str, str] = ("url", "t
     else:
         verdict = verdict.withColumns({"_old1": F.lit(None).cast("boolean"),
                                        "_old2": F.lit(None).cast("boolean")})
-    won = accepted_edges(pairs, k1, k2, rounds, small_rest)
+    won = accepted_edges(pairs, k1, k2, hot, rounds, small_rest)
     by1 = won.select(k1, F.col("_ord").alias("_first1"))
     by2 = won.select(k2, F.col("_ord").alias("_first2"))
     verdict = skew_join(verdict, by1, k1, "left", order, hot[k1])

@@ -7,24 +7,27 @@ from pyspark.sql import functions as F
 
 from newsloom.operators.skew import skew_join
 
-# Up to this many keys (some 20 MB of URLs) are sent to every task that reads the table.
-KEYS_TO_BROADCAST = 200_000
+# The keys of up to this many rows (some 20 MB of URLs) are sent to every task that reads
+# the other side.
+ROWS_TO_BROADCAST = 200_000
 
 
-def few(keys: DataFrame) -> bool:
-    """Whether the rows are few enough to broadcast; counts no further than that."""
-    return keys.limit(KEYS_TO_BROADCAST + 1).count() <= KEYS_TO_BROADCAST
+def few(rows: DataFrame) -> bool:
+    """Whether the rows are few enough to broadcast; of a staged table, a look at its footers."""
+    return rows.count() <= ROWS_TO_BROADCAST
 
 
-def stored_keys(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def stored_keys(stored: DataFrame, batch: DataFrame, key: str,
+                small: bool | None = None) -> DataFrame:
     """The stored values of ``key`` that can matter to ``batch``.
 
     The table holds all history and a batch is usually small beside it. Then the batch's
     keys go to the table's tasks and only the matches come back: history is read (one
     column) but not shuffled. A batch too large for that is joined with the whole column.
+    ``small`` saves the count that finds out.
     """
-    wanted = batch.select(key).distinct()
-    if few(wanted):
+    if few(batch) if small is None else small:
+        wanted = batch.select(key).distinct()
         stored = stored.join(F.broadcast(wanted), key, "left_semi")
     return stored.select(key).distinct()
 
@@ -45,8 +48,10 @@ def existing_urls(urls: DataFrame, articles: DataFrame) -> DataFrame:
 def title_conflicts(items: DataFrame, articles: DataFrame, spread_by: str = "arrival",
                     hot: list | None = None) -> DataFrame:
     """New items whose title is stored under another URL; the store will refuse them."""
-    new = new_items_only(items, articles, spread_by)
-    stored = stored_keys(articles, items, "title")
+    small = few(items)
+    urls = stored_keys(articles, items, "url", small)
+    new = skew_join(items, urls, "url", "left_anti", spread_by)
+    stored = stored_keys(articles, items, "title", small)
     return skew_join(new, stored, "title", "left_semi", spread_by, hot)
 
 

@@ -34,8 +34,9 @@ def wanted_pages(pages: DataFrame, items: DataFrame) -> DataFrame:
 
     Beyond that all pages are worked on: moving HTML about costs more than reading it.
     """
-    urls = items.select("url").distinct()
-    return pages.join(F.broadcast(urls), "url", "left_semi") if few(urls) else pages
+    if not few(items):
+        return pages
+    return pages.join(F.broadcast(items.select("url").distinct()), "url", "left_semi")
 
 
 def plan_run(items: DataFrame, pages: DataFrame, stored: DataFrame, run_ts: datetime,

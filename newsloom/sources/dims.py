@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.config import MARKETS
-from newsloom.functions.scalars import market_country, market_language
+from newsloom.functions.scalars import is_code, market_country, market_language
 
 # Withdrawn language codes the JVM still lists.
 _WITHDRAWN = ("bh", "in", "iw", "ji", "mo")
@@ -29,6 +29,6 @@ def market_dim(spark: SparkSession, markets: tuple[str, ...] = MARKETS) -> DataF
     lang, country = market_language(F.col("mkt")), market_country(F.col("mkt"))
     return (
         listed.select("ord", "mkt", lang.alias("lang"), country.alias("country"))
-        .where(F.col("lang").isin(*iso_languages(spark))
-               & F.col("country").isin(*iso_countries(spark)))
+        .where(is_code(F.col("lang"), iso_languages(spark))
+               & is_code(F.col("country"), iso_countries(spark)))
     )
