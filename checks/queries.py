@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-RUN_TS = datetime(2024, 6, 1, 2, 0, 0)
+RUN_TS = datetime(2024, 6, 1, 2, 0, 0, tzinfo=timezone.utc)
 
 
 def check(name: str, oracle: str | None = None) -> Callable[[Query], Query]:

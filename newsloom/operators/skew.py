@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 64          # at most this many keys are spread
-HOT_ROWS = 1_000_000   # a key with fewer rows is no burden to one task
+HOT_ROWS = 200_000     # a key with fewer rows is no burden to one task
 HOT_SHARE = 0.002      # ... nor is one with a smaller share of the rows
 SALTS = 64
 
