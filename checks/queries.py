@@ -19,7 +19,7 @@ from newsloom.functions import urls as U
 from newsloom.operators import build as B
 from newsloom.operators import dedup, extraction, fetch, joins, store, telemetry, views
 from newsloom.schemas import ARTICLE
-from newsloom.session import scratch
+from newsloom.session import scratch, widen
 from newsloom.sources import dims, news_json, registry, tables
 from newsloom.streaming import daily_run as R
 
@@ -303,7 +303,7 @@ select item_url as url, title, description, epoch_us(date_published) as date_pub
        source_api, schema_version, 1717207200000000 as date_scraped, post_processed
 from (select * replace (false as post_processed) from built) where outcome = 'built'""")
 def build_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = S.shaped(spark, sf_dir, S.META_PAGES)
+    pages = widen(S.shaped(spark, sf_dir, S.META_PAGES))
     made, _ = B.build_articles(_items(spark, sf_dir), pages, RUN_TS)
     lists = ("keywords", "authors")
     stamps = ("date_published", "date_scraped")
@@ -316,7 +316,7 @@ def build_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("build_log", f"with {_BUILD} select mkt, item_url as url, outcome from built")
 def build_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = S.shaped(spark, sf_dir, S.META_PAGES)
+    pages = widen(S.shaped(spark, sf_dir, S.META_PAGES))
     _, log = B.build_articles(_items(spark, sf_dir), pages, RUN_TS)
     return log.select("mkt", "url", "outcome")
 
@@ -578,7 +578,7 @@ select doc_id, concat_ws(' ## ', {_LENGTH.format('content')}, nullif({_unsafe('c
        length(content) between 300 and 3000 and {_unsafe('content')} = '' as is_valid
 from ({_SANE})""")
 def validate_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = X.with_sanitized(S.shaped(spark, sf_dir, S.DIRTY), "text", "content")
+    rows = X.with_sanitized(widen(S.shaped(spark, sf_dir, S.DIRTY)), "text", "content")
     issues = C.content_issues(F.col("content"), 300, 3000)
     return rows.select("doc_id", F.array_join(issues, " ## ").alias("issues"),
                        (F.size(issues) == 0).alias("is_valid"))
@@ -877,7 +877,7 @@ def parse_iso_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("sanitize", _SANE)
 def sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.with_sanitized(S.shaped(spark, sf_dir, S.DIRTY), "text", "content").select(
+    return X.with_sanitized(widen(S.shaped(spark, sf_dir, S.DIRTY)), "text", "content").select(
         "doc_id", "content")
 
 
@@ -910,7 +910,7 @@ from pages"""
 
 @check("extract_text", f"select page_id, {Q.extracted('html')} as text from ({_HOLLOW})")
 def extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = S.shaped(spark, sf_dir, _HOLLOW)
+    pages = widen(S.shaped(spark, sf_dir, _HOLLOW))
     return extraction.extract_articles(pages, dims.iso_languages(spark)).select(
         "page_id", F.col("cleaned_text").alias("text"))
 
@@ -946,7 +946,7 @@ select page_id, {Q.extracted('html')} as cleaned_text, nullif({_LANG}, 'qq') as
        case when page_id % 6 = 2 then 'https://img.example.com/top.jpg' end as top_image
 from ({S.META_PAGES})""")
 def extract_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = S.shaped(spark, sf_dir, S.META_PAGES)
+    pages = widen(S.shaped(spark, sf_dir, S.META_PAGES))
     return extraction.extract_articles(pages, dims.iso_languages(spark)).select(
         "page_id", "cleaned_text", "meta_lang", "meta_keywords",
         F.array_join("authors", "|").alias("authors"), "top_image")

@@ -41,6 +41,16 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/newsloom-{uuid.uuid4().hex}"
 
 
+def widen(scan: DataFrame) -> DataFrame:
+    """Spread a scan of fewer splits than there are cores over all of them.
+
+    Work on text is worth that; a table of many splits is left as it is. For plain scans
+    only: counting the splits of anything else may run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 # Folders to delete when the innermost `staging` block ends.
 _OPEN: list[list[str]] = []
 

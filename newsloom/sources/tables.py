@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from newsloom.functions.scalars import empty_to_null
 from newsloom.operators.dedup import first_by_key
 from newsloom.schemas import ARTICLE, PAGE
+from newsloom.session import widen
 
 # The article table is laid out by publishing day and load.
 STORED = T.StructType([*ARTICLE.fields, T.StructField("pub_date", T.DateType(), True),
@@ -17,7 +18,7 @@ STORED = T.StructType([*ARTICLE.fields, T.StructField("pub_date", T.DateType(),
 
 def scan_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Crawled pages; an empty page is a page without content."""
-    pages = spark.read.schema(PAGE).format(fmt).load(path)
+    pages = widen(spark.read.schema(PAGE).format(fmt).load(path))
     return pages.withColumn("html", empty_to_null(F.col("html")))
 
 
