@@ -954,7 +954,7 @@ def extract_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("extractor_registry", f"""
 select page_id, case when {Q.netloc('url')} = 'blog.tionsh.example.com'
-                     then regexp_extract(html, '<title>([^<&]*)', 1)
+                     then trim(regexp_extract(html, '<title>([^<&]*)', 1))
                      else {Q.main_text('html')} end as text
 from pages""")
 def extractor_registry(spark: SparkSession, sf_dir: str) -> DataFrame:

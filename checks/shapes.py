@@ -42,10 +42,14 @@ from (select page_id, url, {MARKET} as mkt,
       from pages)
 """
 
-# One news-API article object per page, its fields side by side. Every 50th lacks its
-# description, and every 53rd has an empty provider list; both are bad items.
+# One news-API article object per page, its fields side by side; a response holds twenty.
+# Every 50th lacks its description, and every 53rd has an empty provider list; both are bad
+# items.
 RAW_ITEMS = f"""
-select page_id, mkt, mkt as response, cast(floor(page_id / {len(MARKETS)}) as int) as pos,
+select page_id, mkt,
+       concat(mkt, '/', cast(cast(floor(page_id / {20 * len(MARKETS)}) as int) as string))
+           as response,
+       cast(floor(page_id / {len(MARKETS)}) as int) as pos,
        case when page_id % 19 <> 0 then title end as name,
        url,
        case when page_id % 50 <> 7 then concat('About ', title) end as description,

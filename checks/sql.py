@@ -70,10 +70,11 @@ def pruned(html: str) -> str:
 
 
 def decoded(t: str) -> str:
-    for entity, char in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"),
-                         ("&#39;", "chr(39)"), ("&#x27;", "chr(39)"), ("&nbsp;", "chr(160)"),
-                         ("&copy;", "chr(169)"), ("&middot;", "chr(183)"), ("&amp;", "'&'")):
-        t = f"replace({t}, '{entity}', {char})"
+    """As HTML has it, the semicolon may be missing."""
+    for entity, char in (("&lt;?", "'<'"), ("&gt;?", "'>'"), ("&quot;?", "chr(34)"),
+                         ("&#39;?", "chr(39)"), ("&#x27;?", "chr(39)"), ("&nbsp;?", "chr(160)"),
+                         ("&copy;?", "chr(169)"), ("&middot;?", "chr(183)"), ("&amp;?", "'&'")):
+        t = cut(t, entity, char)
     return t
 
 
