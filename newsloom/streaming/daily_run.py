@@ -56,8 +56,12 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return kept["id"].split("-")[0]
 
 
+# Fixed value: the source name stored with every article of the landed API.
+SOURCE_API = "BingNewsSource"
+
+
 def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, checkpoint: str,
-              source_api: str = "BingNewsSource", settings: Settings = Settings(),
+              source_api: str = SOURCE_API, settings: Settings = Settings(),
               extractors: Extractors | None = None, run_ts: datetime | None = None,
               files_per_load: int | None = None) -> None:
     """Process what is new under ``landing`` (``mkt=<market>/*.json``), then stop.
