@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,8 +52,8 @@ def widen(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
-# Folders to delete when the innermost `staging` block ends.
-_OPEN: list[list[str]] = []
+# The folders to delete at the end of the `staging` block that this thread is in.
+_FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -63,19 +64,25 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark)
-    if _OPEN:
-        _OPEN[-1].append(path)
+    if (folders := _FOLDERS.get()) is not None:
+        folders.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
-    """Delete what was staged inside the block; its results must be written by its end."""
-    _OPEN.append([])
+    """Delete what was staged inside the block; its results must be written by its end.
+
+    The list of folders belongs to the block and its thread: two runs in one driver do not
+    see each other's.
+    """
+    folders: list[str] = []
+    token = _FOLDERS.set(folders)
     try:
         yield
     finally:
-        for path in _OPEN.pop():
+        _FOLDERS.reset(token)
+        for path in folders:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
