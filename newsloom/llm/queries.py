@@ -6,19 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
+from newsloom.llm.byte_bpe import round_trip
 from newsloom.llm.exact_dedup import exact_dedup
 from newsloom.llm.jaccard_join import jaccard_components
 from newsloom.llm.quality_classifier import quality_scores
 from newsloom.llm.quality_rules import quality_rules
+from newsloom.llm.language_id import language_id
 from newsloom.llm.texts import table
+from newsloom.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +49,6 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_exact_dedup, op8_quality_classifier, op9_quality_rules, op10_jaccard_join)
+    f.__name__: f for f in (op2_toxicity, op3_exact_dedup, op6_byte_bpe, op7_language_id, op8_quality_classifier, op9_quality_rules, op10_jaccard_join)
 }
 ORACLES: dict[str, str] = {}
