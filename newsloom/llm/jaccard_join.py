@@ -10,7 +10,7 @@ lower bounds, and only the most frequent are sent along), so results do not depe
 
 Classes that share a posted shingle are first compared with one leader for each shingle.
 Verified links make components; only pairs between different components are then compared in
-full. So a group of m near copies costs about m times LEADERS comparisons and not m squared, and no link that
+full. So a group of m near copies costs about m times NEAREST comparisons and not m squared, and no link that
 could join two components is left out.
 """
 
@@ -22,23 +22,29 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from newsloom.llm.texts import binaries, mix, shingle_sets, slices
 from newsloom.operators.components import connected_components
 from newsloom.session import stage
 
 HOT_SHINGLES = 1 << 18   # at most so many frequencies are sent to every task: 4 MB
-WINDOW = 1 << 22         # shingles in which a task looks for repeated ones
-BUCKET_ROWS = 1 << 20    # postings that a task holds at once, on average
+WINDOW = 1 << 21         # shingles in which a task looks for repeated ones
+BUCKET_ROWS = 1 << 18    # postings that a task holds at once, on average
 SALT_ROWS = 50_000       # postings of one frequent shingle that stay together
-LEADERS = 16             # orders of the classes, by which a shingle chooses its leader
+ORDERS = 64              # orders of the classes, of which a shingle takes LEADS
+LEADS = 3
+NEAREST = 32             # leaders that a class is compared with first
 LADDER = np.array([1, 2, 3, 4, 6, 8])
 VERIFY_COST = 20.0       # of a candidate, in units of one posting read
 BROADCAST_ROWS = 1 << 21  # 8-byte ids: 16 MB
 
 POSTING = np.dtype([("token", "<u8"), ("hi", "<u8"), ("lo", "<u8"), ("n", "<i4"), ("pos", "<i4"),
-                    ("ell", "<i2"), ("salts", "<i4"), ("salt", "<i4")])
+                    ("ell", "u1"), ("salts", "<u2")])
+
+
+def salt_of(rows: np.ndarray) -> np.ndarray:
+    return rows["lo"] % rows["salts"].astype(np.uint64)
 
 
 def name_of(shingles: np.ndarray) -> bytes | None:
@@ -128,11 +134,11 @@ def prefix(tokens: np.ndarray, df: np.ndarray, percent: int) -> tuple[np.ndarray
 
 def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int, percent: int,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (token, salts, salt, sig, n, pos, ell, lead) of posted shingles that two classes share.
+    """Rows (token, salts, sig, n, pos, ell, leads) of posted shingles that two classes share.
 
     Postings travel packed, one value for each task and bucket. Frequent shingles are salted;
-    ``lead`` is the first class of the shingle and salt, in one of LEADERS pseudo-random orders
-    chosen by the shingle: so shingles of one group of near copies agree on a few leaders.
+    ``leads`` are the first classes of the shingle and salt in LEADS of ORDERS pseudo-random
+    orders, which the shingle chooses: shingles of one group of near copies agree on few leaders.
     """
     sent = docs.sparkSession.sparkContext.broadcast(hot)
 
@@ -144,7 +150,7 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int,
         def packed() -> pa.RecordBatch:
             rows = np.concatenate(held)
             held.clear()
-            key = rows["token"] + rows["salt"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            key = rows["token"] + salt_of(rows) * np.uint64(0x9E3779B97F4A7C15)
             bucket = (key >> np.uint64(11)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             rows, bucket = rows[order], bucket[order]
@@ -170,10 +176,9 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int,
                     rows["token"], rows["pos"] = tokens, np.arange(len(tokens))
                     rows["hi"], rows["lo"] = (int.from_bytes(sig[k:k + 8], "big") for k in (0, 8))
                     rows["n"], rows["ell"] = len(s), ell
-                    rows["salts"] = 1 + df // SALT_ROWS
-                    rows["salt"] = rows["lo"] % rows["salts"].astype(np.uint64)
+                    rows["salts"] = np.minimum(1 + df // SALT_ROWS, 65535)
                     held.append(rows)
-                if sum(map(len, held)) > WINDOW // 2:
+                if sum(map(len, held)) > WINDOW // 4:
                     yield packed()
                     names.clear()
         if held:
@@ -181,31 +186,37 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int,
 
     def shared(group: pa.Table) -> pa.Table:
         rows = np.concatenate([np.frombuffer(x.as_buffer(), POSTING) for x in group.column("rows")])
-        rank = mix(rows["lo"] ^ (rows["token"] % np.uint64(LEADERS)) * np.uint64(0x9E3779B97F4A7C15))
-        rows = rows[np.lexsort((rows["lo"], rows["hi"], rank, rows["salt"], rows["token"]))]
-        fresh = np.ones(len(rows), bool)   # the first of a shingle and salt
-        fresh[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["salt"][1:] != rows["salt"][:-1])
+        rows = rows[np.lexsort((rows["lo"], rows["hi"], salt_of(rows), rows["token"]))]
+        salt, fresh = salt_of(rows), np.ones(len(rows), bool)  # the first of a shingle and salt
+        fresh[1:] = (rows["token"][1:] != rows["token"][:-1]) | (salt[1:] != salt[:-1])
         again = np.zeros(len(rows), bool)  # a class that several tasks have posted
         again[1:] = ~fresh[1:] & (rows["hi"][1:] == rows["hi"][:-1]) & (rows["lo"][1:] == rows["lo"][:-1])
-        rows, fresh = rows[~again], fresh[~again]
-        start = np.flatnonzero(fresh)
-        size = np.diff(np.append(start, len(rows)))
-        keep = np.repeat(size > 1, size) | (rows["salts"] > 1)
-        lead = np.repeat(start, size)[keep]
+        rows, number = rows[~again], np.cumsum(fresh[~again])
+        size = np.bincount(number)[number]
+        keep = (size > 1) | (rows["salts"] > 1)
+        out, number = rows[keep], number[keep]
+        start = np.flatnonzero(np.diff(number, prepend=0))
+        size = np.diff(np.append(start, len(out)))
 
         def sig(x: np.ndarray) -> pa.Array:
             return binaries(np.column_stack([x["hi"], x["lo"]]).astype(">u8"), 16)
 
-        out = rows[keep]
+        leads = []
+        for j in range(LEADS):
+            order = (out["token"] + np.uint64(j)) % np.uint64(ORDERS)
+            rank = mix(out["lo"] ^ order * np.uint64(0x9E3779B97F4A7C15))
+            leads.append(np.repeat(np.lexsort((rank, number))[start], size))
+        leads = np.column_stack(leads).ravel() if len(out) else np.zeros(0, int)
+        ends = pa.array(np.arange(len(out) + 1, dtype=np.int32) * LEADS)
         return pa.table({
-            "token": out["token"].astype(np.int64),
-            "salts": out["salts"], "salt": out["salt"], "sig": sig(out), "n": out["n"],
-            "pos": out["pos"], "ell": out["ell"].astype(np.int32), "lead": sig(rows[lead])})
+            "token": out["token"].astype(np.int64), "salts": out["salts"].astype(np.int32), "sig": sig(out),
+            "n": out["n"], "pos": out["pos"], "ell": out["ell"].astype(np.int32),
+            "leads": pa.ListArray.from_arrays(ends, sig(out[leads]))})
 
     return (
         docs.select(id_col, text_col).mapInArrow(post, "bucket int, rows binary")
         .groupBy("bucket").applyInArrow(
-            shared, "token long, salts int, salt int, sig binary, n int, pos int, ell int, lead binary")
+            shared, "token long, salts int, sig binary, n int, pos int, ell int, leads array<binary>")
     )
 
 
@@ -215,11 +226,18 @@ def _fits(a: str, b: str, percent: int):
 
 
 def star_pairs(posts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each class with the leaders of its shingles."""
+    """Pairs (a, b) of each class with those NEAREST leaders that lead most of its shingles.
+
+    The others are left to ``cross_pairs``, which misses none.
+    """
     size = posts.select("sig", "n").distinct()
-    near = posts.where(F.col("lead") != F.col("sig")).select(F.col("lead").alias("a"),
-                                                              F.col("sig").alias("b"), "n")
-    led = posts.where((F.col("salts") > 1) & (F.col("lead") == F.col("sig")))
+    most = Window.partitionBy("b").orderBy(F.desc("count"), "a")
+    near = (
+        posts.select(F.explode("leads").alias("a"), F.col("sig").alias("b"), "n").where("a != b")
+        .groupBy("a", "b", "n").count()
+        .withColumn("k", F.row_number().over(most)).where(F.col("k") <= NEAREST).select("a", "b", "n")
+    )
+    led = posts.where((F.col("salts") > 1) & F.array_contains("leads", F.col("sig")))
     top = led.groupBy("token").agg(F.min("sig").alias("a"))
     far = led.join(top, "token").where(F.col("a") != F.col("sig")).select("a", F.col("sig").alias("b"), "n")
     return (

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SLICE_BYTES = 4 << 20  # text worked on at once in a task; one longer text is a slice of its own
+SLICE_BYTES = 2 << 20  # text worked on at once in a task; one longer text is a slice of its own
 SPACE = "[\\x20\\x09-\\x0D]"
 WIDTH = 5
 # Odd multipliers of the five places of a shingle, and those of the mixing step.
