@@ -37,6 +37,7 @@ LEADS = 3
 NEAREST = 32             # leaders that a class is compared with first
 LADDER = np.array([1, 2, 3, 4, 6, 8])
 VERIFY_COST = 20.0       # of a candidate, in units of one posting read
+BITMAP = 8               # words of 64 bits in a class's parity bitmap
 BROADCAST_ROWS = 1 << 21  # 8-byte ids: 16 MB
 
 POSTING = np.dtype([("token", "<u8"), ("hi", "<u8"), ("lo", "<u8"), ("n", "<i4"), ("pos", "<i4"),
@@ -51,14 +52,28 @@ def name_of(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """For each bit of the bitmap whether an odd number of shingles falls on it.
+
+    Bitmaps of two sets differ in no more bits than the sets in shingles, so a pair whose
+    bitmaps differ in too many cannot be similar (bitmap filter, Sandes et al. 2020).
+    """
+    bit = (shingles >> np.uint64(40)).astype(np.int64) % (64 * BITMAP)
+    odd = np.bincount(bit, minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
+BITS = [f"b{k}" for k in range(BITMAP)]
+
+
 def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, sig, n) of documents and, with a null id and sig, (token, seen) of shingles that
+    """Rows (id, sig, n, bitmap) of documents and, with a null id and sig, (token, seen) of shingles that
     repeat in a task. One pass over the texts; nothing is moved."""
     kind = docs.schema[id_col].dataType
     schema = T.StructType([
         T.StructField("id", kind), T.StructField("sig", T.BinaryType()),
-        T.StructField("n", T.IntegerType()), T.StructField("token", T.LongType()),
-        T.StructField("seen", T.IntegerType())])
+        T.StructField("n", T.IntegerType()), *(T.StructField(b, T.LongType()) for b in BITS),
+        T.StructField("token", T.LongType()), T.StructField("seen", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -72,23 +87,24 @@ def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             names.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(k, ids.type), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()),
-                 pa.array(tokens), pa.array(seen.astype(np.int32))], names=schema.names)
+                 *(pa.nulls(k, pa.int64()) for _ in BITS), pa.array(tokens), pa.array(seen.astype(np.int32))], names=schema.names)
 
         ids = None
         for batch in batches:
             for part in slices(batch):
-                ids, sigs, sizes = part.column(0), [], []
+                ids, sigs, sizes, maps = part.column(0), [], [], []
                 for s in shingle_sets(part.column(1)):
                     sig = name_of(s)
                     sigs.append(sig or b"")
                     sizes.append(len(s))
+                    maps.append(parity(s))
                     if sig and sig not in names:
                         names.add(sig)
                         held.append(s)
                 k = len(sigs)
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()),
-                     pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=schema.names)
+                     *(pa.array(np.ascontiguousarray(b)) for b in np.array(maps).T), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=schema.names)
                 if sum(map(len, held)) > WINDOW:
                     yield repeated(ids)
         if held:
@@ -225,33 +241,47 @@ def _fits(a: str, b: str, percent: int):
     return ((100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a)))
 
 
-def star_pairs(posts: DataFrame, percent: int) -> DataFrame:
+def _need(a: str, b: str, percent: int):
+    """Shingles that sets of these sizes must share."""
+    return F.expr(f"({percent} * ({a} + {b}) + {99 + percent}) div {100 + percent}")
+
+
+def _near(a: str, b: str, percent: int):
+    """The bitmaps of classes with prefixes a and b allow the similarity."""
+    apart = F.expr(" + ".join(f"bit_count({a}_{k} ^ {b}_{k})" for k in BITS))
+    return apart <= F.col(f"{a}_n") + F.col(f"{b}_n") - 2 * _need(f"{a}_n", f"{b}_n", percent)
+
+
+def _end(classes: DataFrame, end: str) -> DataFrame:
+    return classes.select(F.col("sig").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in ("n", *BITS)))
+
+
+def star_pairs(posts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of each class with those NEAREST leaders that lead most of its shingles.
 
     The others are left to ``cross_pairs``, which misses none.
     """
-    size = posts.select("sig", "n").distinct()
     most = Window.partitionBy("b").orderBy(F.desc("count"), "a")
     near = (
-        posts.select(F.explode("leads").alias("a"), F.col("sig").alias("b"), "n").where("a != b")
-        .groupBy("a", "b", "n").count()
-        .withColumn("k", F.row_number().over(most)).where(F.col("k") <= NEAREST).select("a", "b", "n")
+        posts.select(F.explode("leads").alias("a"), F.col("sig").alias("b")).where("a != b")
+        .groupBy("a", "b").count()
+        .withColumn("k", F.row_number().over(most)).where(F.col("k") <= NEAREST).select("a", "b")
     )
     led = posts.where((F.col("salts") > 1) & F.array_contains("leads", F.col("sig")))
     top = led.groupBy("token").agg(F.min("sig").alias("a"))
-    far = led.join(top, "token").where(F.col("a") != F.col("sig")).select("a", F.col("sig").alias("b"), "n")
+    far = led.join(top, "token").where(F.col("a") != F.col("sig")).select("a", F.col("sig").alias("b"))
     return (
-        near.union(far).distinct()
-        .join(size.select(F.col("sig").alias("a"), F.col("n").alias("m")), "a")
-        .where(_fits("n", "m", percent)).select("a", "b")
+        near.union(far).distinct().join(_end(classes, "a"), "a").join(_end(classes, "b"), "b")
+        .where(_fits("a_n", "b_n", percent) & _near("a", "b", percent)).select("a", "b")
     )
 
 
-def cross_pairs(posts: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def cross_pairs(posts: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) whose ends are in different components.
 
     In each shingle the classes of its largest component meet only those of the others. A
-    match counts if the shingles before it leave room for the overlap needed.
+    match counts if the shingles before it leave room for the overlap needed and the bitmaps
+    do not exclude it.
     """
     own = (
         posts.select("token", "sig", "n", "pos", "ell")
@@ -259,20 +289,21 @@ def cross_pairs(posts: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         .withColumn("root", F.coalesce("root", "sig"))
     )
     mixed = own.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-    own = stage(own.join(mixed.where("r0 != r1").select("token"), "token"))
+    own = own.join(mixed.where("r0 != r1").select("token"), "token")
+    own = stage(own.join(classes.select("sig", *BITS), "sig"))
     main = (
         own.groupBy("token", "root").count()
         .groupBy("token").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
     )
     left = own.join(main, "token").where(F.col("root") != F.col("main"))
-    a = left.select("token", "main", *(F.col(c).alias(f"a_{c}") for c in ("sig", "n", "pos", "ell", "root")))
-    b = own.select("token", *(F.col(c).alias(f"b_{c}") for c in ("sig", "n", "pos", "ell", "root")))
-    ell = F.least("a_ell", "b_ell")
-    need = F.expr(f"({percent} * (a_n + b_n) + {99 + percent}) div {100 + percent}")
+    parts = ("sig", "n", "pos", "ell", "root", *BITS)
+    a = left.select("token", "main", *(F.col(c).alias(f"a_{c}") for c in parts))
+    b = own.select("token", *(F.col(c).alias(f"b_{c}") for c in parts))
+    ell, need = F.least("a_ell", "b_ell"), _need("a_n", "b_n", percent)
     met = a.join(b, "token").where(
         (F.col("a_root") != F.col("b_root"))
         & ((F.col("b_root") == F.col("main")) | (F.col("a_sig") < F.col("b_sig")))
-        & _fits("a_n", "b_n", percent)
+        & _fits("a_n", "b_n", percent) & _near("a", "b", percent)
         & (F.col("a_n") - F.col("a_pos") + ell > need) & (F.col("b_n") - F.col("b_pos") + ell > need))
     return (
         met.groupBy(F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b"))
@@ -281,7 +312,7 @@ def cross_pairs(posts: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, percent: int,
+def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Those pairs whose shingle sets are as similar as asked.
 
@@ -290,7 +321,7 @@ def verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, percent: int,
     """
     pairs = stage(pairs)
     ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-    wanted = stage(rows.join(ends, "sig").groupBy("sig").agg(F.min("id").alias(id_col)))
+    wanted = stage(classes.join(ends, "sig").select("sig", F.col("least").alias(id_col)))
     ids = wanted.select(id_col).where(F.col(id_col).isNotNull()).distinct()
     fixed = isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
     if fixed and ids.count() <= BROADCAST_ROWS:
@@ -339,18 +370,20 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     """
     marks = stage(outline(docs, id_col, text_col))
     rows = marks.where("sig is not null").select("id", "sig", "n")
+    classes = stage(marks.where("sig is not null and n > 0").groupBy("sig").agg(
+        F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("n", *BITS))))
     hot = hot_shingles(marks.where("token is not null").select("token", "seen"))
     total = rows.where("n > 0").agg(F.sum("n")).first()[0] or 0
     buckets = max(docs.sparkSession.sparkContext.defaultParallelism * 4,
                   int(total * (100 - percent) / 100 / BUCKET_ROWS) + 1)
     posts = stage(postings(docs, hot, buckets, percent, id_col, text_col))
-    links = stage(verified(docs, rows, star_pairs(posts, percent), percent, id_col, text_col))
+    links = stage(verified(docs, classes, star_pairs(posts, classes, percent), percent, id_col, text_col))
     roots = connected_components(links)
-    more = stage(verified(docs, rows, cross_pairs(posts, roots, percent), percent, id_col, text_col))
+    more = stage(verified(docs, classes, cross_pairs(posts, classes, roots, percent), percent, id_col, text_col))
     if not more.isEmpty():
         roots = connected_components(links.union(more))
     classes = (
-        rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("least"))
+        classes.select("sig", "least")
         .join(roots.select(F.col("node").alias("sig"), "root"), "sig", "left")
         .withColumn("root", F.coalesce("root", "sig"))
     )
