@@ -26,7 +26,7 @@ SUMS = 6                 # tasks that sum gradients; each sends the driver one v
 STEPS = 40
 SHRINK = 1e-4
 HEADS = (4, 5, 6)        # lengths of word beginnings
-MIN_ROWS = 10            # training rows that a feature occurs in
+MIN_ROWS = 5             # training rows that a feature occurs in
 PRIOR = 3.0              # rows' worth of the overall rate in each feature's log odds
 LEAST_ODDS = 1.0         # features of smaller absolute log odds are left out
 EVIDENCE = 3.0           # log odds from which a feature counts as evidence
@@ -126,8 +126,10 @@ def weighed(rows: DataFrame, odds: np.ndarray) -> DataFrame:
 
     The labels say only toxic (1) or not (0). The grade of a toxic row is the last one whose
     count in GRADES its evidence reaches, and 1 at least; evidence is a word or beginning of a
-    word of log odds EVIDENCE or more, and a word counts with its beginning.
+    word of log odds EVIDENCE or more, and a word counts with its beginning. Features are
+    numbered anew, without those that have no log odds.
     """
+    used = np.flatnonzero(odds)
     kind = T.StructType([
         T.StructField("grade", T.IntegerType()), T.StructField("at", T.ArrayType(T.IntegerType())),
         T.StructField("x", T.ArrayType(T.DoubleType()))])
@@ -140,9 +142,10 @@ def weighed(rows: DataFrame, odds: np.ndarray) -> DataFrame:
             label = b.column(0).to_numpy(zero_copy_only=False)
             grade = np.where(label > 0, np.maximum(1, (proof[:, None] >= np.array(GRADES)).sum(1)), 0)
             keep = odds[at] != 0
+            place = (np.searchsorted(used, at[keep])).astype(np.int32)
             ends = pa.array(np.searchsorted(owner[keep], np.arange(b.num_rows + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grade.astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(at[keep])),
+                [pa.array(grade.astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(place)),
                  pa.ListArray.from_arrays(ends, pa.array(value(count[keep], odds[at[keep]])))],
                 names=kind.names)
 
@@ -150,36 +153,39 @@ def weighed(rows: DataFrame, odds: np.ndarray) -> DataFrame:
 
 
 def fit(rows: DataFrame, odds: np.ndarray, grades: int) -> Model:
-    """Gradient descent with momentum on the mean loss of the cumulative links."""
-    model = Model(odds, np.zeros(len(odds)), np.linspace(2.0, 3.0, grades - 1))
+    """Gradient descent with momentum on the mean loss of the cumulative links.
+
+    Steps carry only the features that have log odds.
+    """
+    used = np.flatnonzero(odds)
+    small = Model(odds[used], np.zeros(len(used)), np.linspace(2.0, 3.0, grades - 1))
     n, size = rows.agg(F.count("*"), F.avg(F.expr("aggregate(x, 0D, (s, v) -> s + v * v)"))).first()
-    if not n:
-        return model
     rate = 1 / ((grades - 1) * (0.25 * (size or 0) + 0.25))
-    used = np.flatnonzero(odds)
 
     def slopes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slope, cut = np.zeros(len(odds)), np.zeros(grades - 1)
+        slope, cut = np.zeros(len(used)), np.zeros(grades - 1)
         for b in batches:
             at, x = b.column(1).flatten().to_numpy(), b.column(2).flatten().to_numpy()
             owner = pc.list_parent_indices(b.column(1)).to_numpy()
-            p = model.exceed(np.bincount(owner, model.weights[at] * x, b.num_rows))
+            p = small.exceed(np.bincount(owner, small.weights[at] * x, b.num_rows))
             grade = b.column(0).to_numpy(zero_copy_only=False)
             miss = p - (grade[:, None] > np.arange(grades - 1))  # the loss's slope by w.x, minus that by the cut
-            slope += np.bincount(at, miss.sum(1)[owner] * x, len(odds))
+            slope += np.bincount(at, miss.sum(1)[owner] * x, len(used))
             cut -= miss.sum(0)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([slope[used].tobytes()]), pa.array([cut.tobytes()])], names=["slope", "cut"])
+            [pa.array([slope.tobytes()]), pa.array([cut.tobytes()])], names=["slope", "cut"])
 
-    move, turn = np.zeros(len(odds)), np.zeros(grades - 1)
-    for _ in range(STEPS):
-        slope, cut = SHRINK * model.weights, np.zeros(grades - 1)
+    move, turn = np.zeros(len(used)), np.zeros(grades - 1)
+    for _ in range(STEPS if n else 0):
+        slope, cut = SHRINK * small.weights, np.zeros(grades - 1)
         for s, c in rows.mapInArrow(slopes, "slope binary, cut binary").collect():
-            slope[used] += np.frombuffer(s) / n
+            slope += np.frombuffer(s) / n
             cut += np.frombuffer(c) / n
         move, turn = 0.9 * move - rate * slope, 0.9 * turn - rate * cut
-        model = Model(odds, model.weights + move, np.sort(model.cuts + turn))
-    return model
+        small = Model(small.odds, small.weights + move, np.sort(small.cuts + turn))
+    weights = np.zeros(len(odds), np.float32)
+    weights[used] = small.weights
+    return Model(odds.astype(np.float32), weights, small.cuts)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2,
