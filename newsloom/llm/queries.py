@@ -4,21 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from newsloom.llm.byte_bpe import round_trip
 from newsloom.llm.exact_dedup import exact_dedup
 from newsloom.llm.jaccard_join import jaccard_components
+from newsloom.llm.language_id import language_id
+from newsloom.llm.mixing import mixed
 from newsloom.llm.quality_classifier import quality_scores
 from newsloom.llm.quality_rules import quality_rules
-from newsloom.llm.language_id import language_id
 from newsloom.llm.texts import table
+from newsloom.llm.tool_calls import linked
 from newsloom.llm.toxicity import toxicity
+from newsloom.llm.url_filter import judged, rule_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
+             ("allow", "org", "/fr/")]
+TOOLS = {
+    "lookup": {"type": "object", "required": ["query", "limit"], "additionalProperties": False,
+               "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "minimum": 1},
+                              "after": {"type": "object", "required": ["$ref"]}}},
+    "note": {"type": "object", "required": ["text"], "properties": {
+        "text": {"type": "string"}, "level": {"type": "string", "enum": ["low", "high"]},
+        "after": {"type": "object", "required": ["$ref"]}}},
+}
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"))
+
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -28,6 +46,32 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Conversations as tool use: an assistant's turn is a call whose arguments hold its whole
+    text, the user's turn after it is the call's result. From the third turn on a call mentions
+    the one two turns before. Turns divisible by three are notes, the others lookups."""
+    name = lambda turn: F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
+    turn, is_note = F.col("turn"), F.col("turn") % 3 == 0
+    after = F.when(turn >= 3, F.struct(name(turn - 2).alias("$ref")))
+    size = F.length("text")
+    arguments = F.when(is_note, F.to_json(F.struct(
+        F.col("text"), F.when(size > 900, "high").when(size > 300, "low").otherwise("none").alias("level"), after.alias("after"),
+    ))).otherwise(F.to_json(F.struct(F.col("text").alias("query"), (size - 200).alias("limit"), after.alias("after"))))
+    call = F.struct(name(turn).alias("id"), F.when(is_note, "note").otherwise("lookup").alias("name"),
+                    arguments.alias("arguments"))
+    return conversations.select(
+        "conv_id", "turn", F.when(F.col("role") == "assistant", F.array(call)).alias("calls"),
+        F.when((F.col("role") == "user") & (turn > 0), name(turn - 1)).alias("result_of"), "text")
+
+
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked(tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -48,7 +92,55 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_toxicity, op3_exact_dedup, op6_byte_bpe, op7_language_id, op8_quality_classifier, op9_quality_rules, op10_jaccard_join)
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_mixing, op2_toxicity, op3_exact_dedup, op4_url_filter, op5_tool_calls, op6_byte_bpe, op7_language_id,
+    op8_quality_classifier, op9_quality_rules, op10_jaccard_join)} | {"pipeline": corpus_pipeline.run}
+
+_RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+ORACLES: dict[str, str] = {
+    "op3_exact_dedup": r"""
+with d as (
+  select doc_id, length(coalesce(text, '')) as n,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as h
+  from documents)
+select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by h) as group_size,
+       doc_id = first_value(doc_id) over w as kept, h as text_sha256
+from d window w as (partition by h order by n desc, doc_id)
+""",
+    "op4_url_filter": rf"""
+with r(verdict, h, p) as (values {_RULES}),
+u as (
+  select page_id,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') as path
+  from pages),
+m as (
+  select u.page_id, r.h || r.p as rule, r.verdict,
+         row_number() over (partition by u.page_id order by length(r.h || r.p) desc) as k
+  from u join r on (u.host = r.h or ends_with(u.host, '.' || r.h)) and starts_with(u.path, r.p))
+select u.page_id, u.host, u.path, m.rule, coalesce(m.verdict, 'allow') as verdict
+from u left join m on m.page_id = u.page_id and m.k = 1
+""",
+    "op10_jaccard_join": r"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') as ws
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) end) as g
+  from w where len(ws) > 0),
+n as (select doc_id, count(*) as n from s group by all),
+common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id
+  group by all),
+edges as (
+  select x, y from common join n p on p.doc_id = x join n q on q.doc_id = y
+  where 100 * c >= 80 * (p.n + q.n - c)),
+reach(x, y) as (
+  select doc_id, doc_id from documents union select reach.x, edges.y from reach join edges on edges.x = reach.y)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, (select min(y) from reach where reach.x = d.doc_id) as component_id
+from documents d left join n on n.doc_id = d.doc_id
+""",
 }
-ORACLES: dict[str, str] = {}
