@@ -8,10 +8,11 @@ longer prefix costs more postings but asks for more matches before a pair is ver
 must match as often as the smaller l of its two ends. The order is only a hint (frequencies are
 lower bounds, and only the most frequent are sent along), so results do not depend on it.
 
-Classes that share a posted shingle are first compared with one leader for each shingle.
-Verified links make components; only pairs between different components are then compared in
-full. So a group of m near copies costs about m times NEAREST comparisons and not m squared, and no link that
-could join two components is left out.
+Classes that share a posted shingle are first compared with the shingle's leaders: with the
+nearest one, then, where that has not joined them, with more. Verified links make components;
+only pairs between different components are then compared in full. So a group of m near copies
+costs some m comparisons and not m squared, and no link that could join two components is left
+out.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ WINDOW = 1 << 21         # shingles in which a task looks for repeated ones
 BUCKET_ROWS = 1 << 18    # postings that a task holds at once, on average
 SALT_ROWS = 50_000       # postings of one frequent shingle that stay together
 ORDERS = 64              # orders of the classes, of which a shingle takes LEADS
-LEADS = 3
-NEAREST = 32             # leaders that a class is compared with first
+LEADS = 2
+NEAREST = (1, 32)        # leaders that a class is compared with, round by round
 LADDER = np.array([1, 2, 3, 4, 6, 8])
 VERIFY_COST = 20.0       # of a candidate, in units of one posting read
 BITMAP = 8               # words of 64 bits in a class's parity bitmap
@@ -256,23 +257,30 @@ def _end(classes: DataFrame, end: str) -> DataFrame:
     return classes.select(F.col("sig").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in ("n", *BITS)))
 
 
-def star_pairs(posts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each class with those NEAREST leaders that lead most of its shingles.
+def star_pairs(posts: DataFrame, classes: DataFrame, roots: DataFrame | None, nearest: int,
+               percent: int) -> DataFrame:
+    """Pairs (a, b) of each class with those leaders that lead most of its shingles.
 
-    The others are left to ``cross_pairs``, which misses none.
+    Only leaders that the bitmaps allow and that are in another component count. What is left
+    out is for ``cross_pairs``, which misses none.
     """
-    most = Window.partitionBy("b").orderBy(F.desc("count"), "a")
-    near = (
-        posts.select(F.explode("leads").alias("a"), F.col("sig").alias("b")).where("a != b")
-        .groupBy("a", "b").count()
-        .withColumn("k", F.row_number().over(most)).where(F.col("k") <= NEAREST).select("a", "b")
-    )
     led = posts.where((F.col("salts") > 1) & F.array_contains("leads", F.col("sig")))
     top = led.groupBy("token").agg(F.min("sig").alias("a"))
-    far = led.join(top, "token").where(F.col("a") != F.col("sig")).select("a", F.col("sig").alias("b"))
+    pairs = (
+        posts.select(F.explode("leads").alias("a"), F.col("sig").alias("b"))
+        .union(led.join(top, "token").select("a", F.col("sig").alias("b")))
+        .where("a != b").groupBy("a", "b").count()
+    )
+    if roots is not None:
+        for end in ("a", "b"):
+            pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
+        pairs = pairs.where("coalesce(a_root, a) != coalesce(b_root, b)").select("a", "b", "count")
+    most = Window.partitionBy("b").orderBy(F.desc("count"), "a")
     return (
-        near.union(far).distinct().join(_end(classes, "a"), "a").join(_end(classes, "b"), "b")
-        .where(_fits("a_n", "b_n", percent) & _near("a", "b", percent)).select("a", "b")
+        pairs.join(_end(classes, "a"), "a").join(_end(classes, "b"), "b")
+        .where(_fits("a_n", "b_n", percent) & _near("a", "b", percent)).select("a", "b", "count")
+        .withColumn("k", F.row_number().over(most)).where(F.col("k") <= nearest)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
 
 
@@ -377,11 +385,18 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     buckets = max(docs.sparkSession.sparkContext.defaultParallelism * 4,
                   int(total * (100 - percent) / 100 / BUCKET_ROWS) + 1)
     posts = stage(postings(docs, hot, buckets, percent, id_col, text_col))
-    links = stage(verified(docs, classes, star_pairs(posts, classes, percent), percent, id_col, text_col))
-    roots = connected_components(links)
-    more = stage(verified(docs, classes, cross_pairs(posts, classes, roots, percent), percent, id_col, text_col))
-    if not more.isEmpty():
-        roots = connected_components(links.union(more))
+    links, roots = None, None
+
+    def grow(pairs: DataFrame) -> None:
+        nonlocal links, roots
+        more = stage(verified(docs, classes, pairs, percent, id_col, text_col))
+        if roots is None or not more.isEmpty():
+            links = more if links is None else links.union(more)
+            roots = connected_components(links)
+
+    for nearest in NEAREST:
+        grow(star_pairs(posts, classes, roots, nearest, percent))
+    grow(cross_pairs(posts, classes, roots, percent))
     classes = (
         classes.select("sig", "least")
         .join(roots.select(F.col("node").alias("sig"), "root"), "sig", "left")
