@@ -19,7 +19,7 @@ from newsloom.functions import urls as U
 from newsloom.operators import build as B
 from newsloom.operators import dedup, extraction, fetch, joins, store, telemetry, views
 from newsloom.schemas import ARTICLE
-from newsloom.session import scratch, widen
+from newsloom.session import scratch, stage
 from newsloom.sources import dims, news_json, registry, tables
 from newsloom.streaming import daily_run as R
 
@@ -103,6 +103,14 @@ def skip_batch_or_row(spark: SparkSession, sf_dir: str) -> DataFrame:
         S.raw_items(spark, sf_dir), "TestSource", on_error="quarantine_row"))
 
 
+@check("failed_responses", f"""
+select mkt, response, count(*) as items, min(case when {_BAD} then pos % 20 end) as first_bad,
+       'bad_item' as reason
+from ({S.RAW_ITEMS}) group by 1, 2 having bool_or({_BAD})""")
+def failed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return news_json.failed_responses(S.raw_responses(spark, sf_dir), dims.market_dim(spark, MARKETS))
+
+
 @check("bad_items", f"select page_id, url from ({S.RAW_ITEMS}) where {_BAD}")
 def bad_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = S.raw_items(spark, sf_dir)
@@ -254,7 +262,8 @@ from batch where page_id not in (select page_id from won)""")
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = _batch(spark, sf_dir)
     folder = scratch(spark)
-    verdicts = store.judge(batch, tables.scan_articles(spark, folder))
+    known = joins.known_keys(tables.scan_articles(spark, folder), batch)
+    verdicts = store.judge(stage(batch), stage(known))
     return store.quarantine(verdicts.rejected, folder, "only").select(
         "url", "title", "content", "language", "failure_reason")
 
@@ -303,7 +312,7 @@ select item_url as url, title, description, epoch_us(date_published) as date_pub
        source_api, schema_version, 1717207200000000 as date_scraped, post_processed
 from (select * replace (false as post_processed) from built) where outcome = 'built'""")
 def build_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = widen(S.shaped(spark, sf_dir, S.META_PAGES))
+    pages = S.shaped(spark, sf_dir, S.META_PAGES)
     made, _ = B.build_articles(_items(spark, sf_dir), pages, RUN_TS)
     lists = ("keywords", "authors")
     stamps = ("date_published", "date_scraped")
@@ -316,7 +325,7 @@ def build_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("build_log", f"with {_BUILD} select mkt, item_url as url, outcome from built")
 def build_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = widen(S.shaped(spark, sf_dir, S.META_PAGES))
+    pages = S.shaped(spark, sf_dir, S.META_PAGES)
     _, log = B.build_articles(_items(spark, sf_dir), pages, RUN_TS)
     return log.select("mkt", "url", "outcome")
 
@@ -379,9 +388,9 @@ def by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _COUNTS = f"""
-select strftime(date_published, '%Y-%m-%d') as date, cast(0 as int) as part, origin_country,
+select strftime(date_published, '%Y-%m-%d') as date, origin_country,
        count(*) as count, string_agg(distinct url, '|' order by url) as article_urls
-from ({S.ARTICLES}) group by 1, 2, 3"""
+from ({S.ARTICLES}) group by 1, 2"""
 
 
 @check("daily_country_counts", _COUNTS)
@@ -391,11 +400,11 @@ def daily_country_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check("daily_summary", f"""
-select date, part,
+select date,
        string_agg(origin_country || ':' || count || ':' || article_urls, ' '
                   order by origin_country) as countries,
        cast(sum(count) as bigint) as total_count
-from ({_COUNTS}) group by 1, 2""")
+from ({_COUNTS}) group by 1""")
 def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = F.transform("countries", lambda c: F.concat_ws(
         ":", c["country"], c["count"].cast("string"), F.array_join(c["article_urls"], "|")))
@@ -403,13 +412,20 @@ def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "countries", F.array_join(one, " "))
 
 
+@check("daily_urls", f"""
+select strftime(date_published, '%Y-%m-%d') as date, origin_country, url, count(*) as count
+from ({S.ARTICLES}) group by 1, 2, 3""")
+def daily_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.daily_urls(S.articles(spark, sf_dir))
+
+
 @check("daily_summary_parts", f"""
 select strftime(date_published, '%Y-%m-%d') as date, count(*) as total_count,
        string_agg(distinct url, '|' order by url) as article_urls
 from ({S.ARTICLES}) group by 1""")
 def daily_summary_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary cut into small parts, put together again."""
-    parts = views.daily_summary(S.articles(spark, sf_dir), urls_per_row=3)
+    parts = views.daily_summary(S.articles(spark, sf_dir), parts=3)
     urls = parts.select("date", F.explode("countries.article_urls").alias("u")).select(
         "date", F.explode("u").alias("u"))
     totals = parts.groupBy("date").agg(F.sum("total_count").alias("total_count"))
@@ -578,7 +594,7 @@ select doc_id, concat_ws(' ## ', {_LENGTH.format('content')}, nullif({_unsafe('c
        length(content) between 300 and 3000 and {_unsafe('content')} = '' as is_valid
 from ({_SANE})""")
 def validate_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = X.with_sanitized(widen(S.shaped(spark, sf_dir, S.DIRTY)), "text", "content")
+    rows = X.with_sanitized(S.shaped(spark, sf_dir, S.DIRTY), "text", "content")
     issues = C.content_issues(F.col("content"), 300, 3000)
     return rows.select("doc_id", F.array_join(issues, " ## ").alias("issues"),
                        (F.size(issues) == 0).alias("is_valid"))
@@ -877,7 +893,7 @@ def parse_iso_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("sanitize", _SANE)
 def sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.with_sanitized(widen(S.shaped(spark, sf_dir, S.DIRTY)), "text", "content").select(
+    return X.with_sanitized(S.shaped(spark, sf_dir, S.DIRTY), "text", "content").select(
         "doc_id", "content")
 
 
@@ -910,7 +926,7 @@ from pages"""
 
 @check("extract_text", f"select page_id, {Q.extracted('html')} as text from ({_HOLLOW})")
 def extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = widen(S.shaped(spark, sf_dir, _HOLLOW))
+    pages = S.shaped(spark, sf_dir, _HOLLOW)
     return extraction.extract_articles(pages, dims.iso_languages(spark)).select(
         "page_id", F.col("cleaned_text").alias("text"))
 
@@ -946,7 +962,7 @@ select page_id, {Q.extracted('html')} as cleaned_text, nullif({_LANG}, 'qq') as
        case when page_id % 6 = 2 then 'https://img.example.com/top.jpg' end as top_image
 from ({S.META_PAGES})""")
 def extract_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = widen(S.shaped(spark, sf_dir, S.META_PAGES))
+    pages = S.shaped(spark, sf_dir, S.META_PAGES)
     return extraction.extract_articles(pages, dims.iso_languages(spark)).select(
         "page_id", "cleaned_text", "meta_lang", "meta_keywords",
         F.array_join("authors", "|").alias("authors"), "top_image")

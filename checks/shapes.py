@@ -6,10 +6,11 @@ twin start from the same rows. Nothing here belongs to the product.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.config import MARKETS
+from newsloom.sources.news_json import item_is_bad, with_judgement
 
 ZWSP = "​"
 
@@ -158,4 +159,15 @@ def raw_items(spark: SparkSession, sf_dir: str, text: str = RAW_ITEMS) -> DataFr
         F.struct(F.struct(F.col("image_text").alias("contentUrl")).alias("thumbnail"))
         .alias("image"),
     )
-    return shaped(spark, sf_dir, text).select("mkt", "response", "pos", item.alias("item"))
+    raw = shaped(spark, sf_dir, text).select("mkt", "response", "pos", item.alias("item"))
+    failed = F.max(item_is_bad(F.col("item"))).over(Window.partitionBy("response"))
+    return raw.select("mkt", "response", failed.alias("failed"), "pos", "item")
+
+
+def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as responses, of at most 20 items each."""
+    raw = raw_items(spark, sf_dir)
+    rows = raw.groupBy("mkt", "response").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("rows"))
+    return with_judgement(rows.select(
+        "mkt", "response", F.col("rows.item").alias("value"), F.lit(False).alias("corrupt")))

@@ -36,7 +36,7 @@ def parse_iso_ts(text: Column) -> Column:
 
     Fractions beyond microseconds are cut; texts without an offset are UTC.
     """
-    rest = F.translate(F.substring(text, 11, 100), ",z", ".Z")
+    rest = F.translate(F.substring(text, F.lit(11), F.length(text)), ",z", ".Z")
     time = F.regexp_extract(rest, r"^[T ]([\d:.]+)", 1)
     zone = F.regexp_extract(rest, r"(Z|[+-][\d:]+)$", 1)
     # Spark wants all three parts of the time, and a colon and minutes in the offset.
@@ -100,13 +100,15 @@ def lang_code(c: Column, known: list[str] | tuple[str, ...]) -> Column:
 
 
 def percent_text(rate: Column, none: str | None = None) -> Column:
-    """``0.3333`` as ``33.33%``; null (or ``none``) where there is no rate.
+    """``0.3333`` as ``33.33%``; null (or ``none``) where there is no rate, where it is
+    negative, and from 1,300 on, which no share or ratio here can be.
 
     Rounds the exact binary value half to even, as C's printf does. The value is
     scaled by a power of two large enough to make it whole, so that the rounding is
     integer arithmetic.
     """
-    pct = rate.cast("double") * F.lit(100.0)
+    sane = F.when((rate >= 0) & (rate < 1300), rate.cast("double"))
+    pct = sane * F.lit(100.0)
     bits = F.when(pct < 0.125, F.lit(60)).when(pct < 100.5, F.lit(56)).otherwise(F.lit(46))
     one = F.pow(F.lit(2.0), bits).cast("bigint").cast("decimal(20,0)")
     whole = (pct * F.pow(F.lit(2.0), bits)).cast("bigint").cast("decimal(20,0)")

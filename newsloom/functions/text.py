@@ -23,10 +23,11 @@ DOUBLE_QUOTED = r'(?<!\\)".*?(?<!\\)"'
 DOLLAR_NAME = r"\$[a-zA-Z_][a-zA-Z0-9_]*"
 BLOCKED = (SCRIPT, IFRAME, SINGLE_QUOTED, DOUBLE_QUOTED, DOLLAR_NAME)
 
-# The first two as they are run: they match the same, but look for the tag's end once.
+# The first two as they are run: the same matches in linear time. If one start finds no
+# end, no later one does, so the failing start takes the rest of the text as group 1.
 _RUN_AS = {
-    SCRIPT: r"<script[^>]*>.*?</script>",
-    IFRAME: r"<iframe[^>]*>.*?</iframe>",
+    SCRIPT: r"<script[^>]*>.*?</script>|(<script.*+)",
+    IFRAME: r"<iframe[^>]*>.*?</iframe>|(<iframe.*+)",
 }
 
 # A character without which a pattern cannot match.
@@ -40,7 +41,15 @@ def regex(pattern: str) -> str:
 
 
 def remove(c: Column, pattern: str) -> Column:
-    return F.regexp_replace(c, regex(pattern), "")
+    return F.regexp_replace(c, regex(pattern), "$1" if pattern in _RUN_AS else "")
+
+
+def occurs(c: Column, pattern: str) -> Column:
+    """Whether a blocked pattern matches somewhere."""
+    if pattern not in _RUN_AS:
+        return c.rlike(regex(pattern))
+    first, rest = (F.regexp_extract(c, regex(pattern), k) for k in (0, 1))
+    return (first != "") & (rest == "")
 
 
 def strip_scripts(c: Column) -> Column:

@@ -35,14 +35,16 @@ _REQUIRED_ITEM = tuple(f.name for f in NEWS_ITEM.fields if not f.nullable)
 
 def page_contents(pages: DataFrame, settings: Settings = Settings(),
                   extractors: Extractors | None = None) -> DataFrame:
-    """Extracted, sanitized and judged content, one row per URL with content.
+    """Extracted, sanitized and judged content, one row per URL whose last capture has any.
 
-    The work is done where the page is read: HTML is never shuffled, and a page that
-    many items point to is worked on once. Copies of a URL are reduced on the partitioning
-    the join with the items needs anyway.
+    The capture is chosen before any page is worked on, from URL and id alone; pages then
+    join their own (URL, id), so that a page that many items point to, or that was captured
+    often, is worked on once. A URL whose last capture is empty has no content: an older
+    capture does not stand in for it.
     """
     languages = iso_languages(pages.sparkSession)
-    extracted = extract_articles(pages, languages, extractors)
+    last = pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    extracted = extract_articles(pages.join(last, ["url", "page_id"], "left_semi"), languages, extractors)
     judged = with_sanitized(extracted, "cleaned_text", "content").drop("cleaned_text").withColumn(
         "issues",
         content_issues(F.col("content"), settings.min_content_length,

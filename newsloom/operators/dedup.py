@@ -9,12 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.operators.joins import few, stored_keys
-from newsloom.operators.skew import hot_keys, skew_join
+from newsloom.operators.components import connected_components
 from newsloom.session import stage
 
-ROUNDS = 6           # rounds before a small rest is finished in one task
-SMALL_REST = 50_000  # ... and how small it must be for that
+ROUNDS = 2  # before what is left is cut into components
 
 
 def first_by_key(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
@@ -27,52 +25,54 @@ def first_by_key(df: DataFrame, key: str, order: Sequence[str | Column]) -> Data
     return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
-def _finish(edges: DataFrame) -> DataFrame:
-    """Sequential insert of (k1, k2, _ord) edges whose number was checked."""
+def _in_order(edges: DataFrame, k1: str, k2: str) -> DataFrame:
+    """The edges that a one-by-one insert accepts, component by component.
 
-    def run(parts):
-        rest = pd.concat(list(parts), ignore_index=True).sort_values("_ord")
+    Edges in different components share no key, so components are tasks of their own. Within
+    one the insert is sequential by nature: each decision depends on those before it.
+    """
+    ends = [F.concat(F.lit(f"{i}:"), F.col(k).cast("string")) for i, k in enumerate((k1, k2))]
+    keyed = edges.withColumn("node", ends[0])
+    roots = connected_components(edges.select(ends[0].alias("a"), ends[1].alias("b")))
+    schema = edges.schema
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
         seen1, seen2, kept = set(), set(), []
-        for row in rest.itertuples(index=False):
+        rows = part.sort_values("_ord")
+        for row in rows[[k1, k2, "_ord"]].itertuples(index=False):
             if row[0] not in seen1 and row[1] not in seen2:
                 seen1.add(row[0])
                 seen2.add(row[1])
                 kept.append(row)
-        yield pd.DataFrame(kept, columns=rest.columns)
+        return pd.DataFrame(kept, columns=[k1, k2, "_ord"])
 
-    return edges.coalesce(1).mapInPandas(run, edges.schema)
+    return keyed.join(roots, "node").groupBy("root").applyInPandas(run, schema)
 
 
-def accepted_edges(edges: DataFrame, k1: str, k2: str, hot: dict[str, list],
-                   rounds: int = ROUNDS, small_rest: int = SMALL_REST) -> DataFrame:
+def accepted_edges(edges: DataFrame, k1: str, k2: str) -> DataFrame:
     """Of the (k1, k2, _ord) edges, those a one-by-one insert in _ord would accept.
 
-    In every round the edges that come first among all edges of both their keys are
-    accepted, and the edges that share a key with them are dropped; the rest goes on. An
-    accepted edge cannot be beaten by a later one and a dropped edge is beaten for
-    certain, so this is the sequential result. Nearly all edges are decided in the first
-    round; long chains of conflicts need more, so a rest that is small enough for one
-    task is finished there after a few rounds, and a larger one keeps going round.
+    In a round the edges that come first among all edges of both their keys are accepted,
+    and the edges that share a key with them are dropped. An accepted edge cannot be beaten
+    by a later one and a dropped edge is beaten for certain, so this is the sequential
+    result; nearly all edges are decided in the first round. What is left after ROUNDS,
+    chains of conflicts, is decided by component. The path is the same at every size.
     """
     live = stage(edges.select(k1, k2, "_ord"))
     won = []
-    while size := live.count():
-        if len(won) >= rounds and size <= small_rest:
-            won.append(stage(_finish(live)))
-            break
+    for _ in range(ROUNDS):
         first1 = live.groupBy(k1).agg(F.min("_ord").alias("_ord"))
         first2 = live.groupBy(k2).agg(F.min("_ord").alias("_ord"))
         winners = stage(first1.join(first2, "_ord").select(k1, k2, "_ord"))
         won.append(winners)
-        rest = skew_join(live, winners.select(k1), k1, "left_anti", "_ord", hot[k1])
-        rest = skew_join(rest, winners.select(k2), k2, "left_anti", "_ord", hot[k2])
-        live = stage(rest)
-    return reduce(DataFrame.unionByName, won, live.limit(0))
+        rest = live.join(winners.select(k1), k1, "left_anti").join(winners.select(k2), k2, "left_anti")
+        live = stage(rest.select(k1, k2, "_ord"))
+    won.append(stage(_in_order(live, k1, k2)))
+    return reduce(DataFrame.unionByName, won)
 
 
 def two_key_insert(df: DataFrame, order: str, keys: tuple[str, str] = ("url", "title"),
-                   stored: DataFrame | None = None, rounds: int = ROUNDS,
-                   small_rest: int = SMALL_REST) -> DataFrame:
+                   stored: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Add ``accepted`` and ``reason`` as an unordered insert under two unique keys would.
 
     In the order of ``order`` (a unique whole number), a row is accepted if neither of
@@ -81,7 +81,8 @@ def two_key_insert(df: DataFrame, order: str, keys: tuple[str, str] = ("url", "t
     ``duplicate_<second>``; the first key is checked first. A row with a null key is
     refused as ``missing_key``.
 
-    Pass few columns: the rows are shuffled on each key.
+    ``stored`` holds the stored values of either key, each once (see ``stored_keys``). Pass
+    few columns, staged: the rows are shuffled on each key.
     """
     k1, k2 = keys
     # Only the first of several copies of a pair can win, and the map side finds it.
@@ -89,24 +90,17 @@ def two_key_insert(df: DataFrame, order: str, keys: tuple[str, str] = ("url", "t
         df.where(F.col(k1).isNotNull() & F.col(k2).isNotNull())
         .groupBy(k1, k2).agg(F.min(order).alias("_ord"))
     )
-    hot = hot_keys(df, k1, k2)
     verdict = df
     if stored is not None:
-        small = few(df)
-        old1 = stored_keys(stored, df, k1, small).withColumn("_old1", F.lit(True))
-        old2 = stored_keys(stored, df, k2, small).withColumn("_old2", F.lit(True))
-        pairs = skew_join(pairs, old1, k1, "left_anti", "_ord", hot[k1])
-        pairs = skew_join(pairs, old2, k2, "left_anti", "_ord", hot[k2])
-        verdict = skew_join(verdict, old1, k1, "left", order, hot[k1])
-        verdict = skew_join(verdict, old2, k2, "left", order, hot[k2])
+        for k, old, mark in zip(keys, stored, ("_old1", "_old2")):
+            pairs = pairs.join(old.select(k), k, "left_anti")
+            verdict = verdict.join(old.select(k).withColumn(mark, F.lit(True)), k, "left")
     else:
         verdict = verdict.withColumns({"_old1": F.lit(None).cast("boolean"),
                                        "_old2": F.lit(None).cast("boolean")})
-    won = accepted_edges(pairs, k1, k2, hot, rounds, small_rest)
-    by1 = won.select(k1, F.col("_ord").alias("_first1"))
-    by2 = won.select(k2, F.col("_ord").alias("_first2"))
-    verdict = skew_join(verdict, by1, k1, "left", order, hot[k1])
-    verdict = skew_join(verdict, by2, k2, "left", order, hot[k2])
+    won = accepted_edges(pairs, k1, k2)
+    verdict = verdict.join(won.select(k1, F.col("_ord").alias("_first1")), k1, "left")
+    verdict = verdict.join(won.select(k2, F.col("_ord").alias("_first2")), k2, "left")
     reason = (
         F.when(F.col(k1).isNull() | F.col(k2).isNull(), F.lit("missing_key"))
         .when(F.col("_old1"), F.lit("already_exists"))

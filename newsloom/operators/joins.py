@@ -1,74 +1,62 @@
-"""Joins of items with stored articles and pages."""
+"""Joins of items with stored articles and pages.
+
+Plain joins: adaptive execution broadcasts a side that turned out small, splits the partitions
+of a hot key on the items' side, and a runtime Bloom filter of the batch's keys keeps most of
+the history out of the shuffle. No join here counts its input first.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.operators.skew import skew_join
-
-# The keys of up to this many rows (some 20 MB of URLs) are sent to every task that reads
-# the other side.
-ROWS_TO_BROADCAST = 200_000
-
 
-def few(rows: DataFrame) -> bool:
-    """Whether the rows are few enough to broadcast; of a staged table, a look at its footers."""
-    return rows.count() <= ROWS_TO_BROADCAST
+def stored_keys(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The stored values of ``key`` that occur in ``batch``."""
+    return stored.select(key).join(batch.select(key).distinct(), key, "left_semi")
 
 
-def stored_keys(stored: DataFrame, batch: DataFrame, key: str,
-                small: bool | None = None) -> DataFrame:
-    """The stored values of ``key`` that can matter to ``batch``.
-
-    The table holds all history and a batch is usually small beside it. Then the batch's
-    keys go to the table's tasks and only the matches come back: history is read (one
-    column) but not shuffled. A batch too large for that is joined with the whole column.
-    ``small`` saves the count that finds out.
-    """
-    if few(batch) if small is None else small:
-        wanted = batch.select(key).distinct()
-        stored = stored.join(F.broadcast(wanted), key, "left_semi")
-    return stored.select(key).distinct()
-
-
-def new_items_only(items: DataFrame, articles: DataFrame, spread_by: str = "arrival",
-                   hot: list | None = None) -> DataFrame:
+def new_items_only(items: DataFrame, articles: DataFrame) -> DataFrame:
     """Items whose URL is not stored; run this before any page is touched."""
-    stored = stored_keys(articles, items, "url")
-    return skew_join(items, stored, "url", "left_anti", spread_by, hot)
+    return items.join(stored_keys(articles, items, "url"), "url", "left_anti")
 
 
 def existing_urls(urls: DataFrame, articles: DataFrame) -> DataFrame:
     """Which of the URLs are stored, each once. Copies collapse before the join."""
-    wanted = urls.select("url").distinct()
-    return wanted.join(stored_keys(articles, wanted, "url"), "url", "left_semi")
+    return stored_keys(articles, urls, "url").distinct()
 
 
-def title_conflicts(items: DataFrame, articles: DataFrame, spread_by: str = "arrival",
-                    hot: list | None = None) -> DataFrame:
+def title_conflicts(items: DataFrame, articles: DataFrame) -> DataFrame:
     """New items whose title is stored under another URL; the store will refuse them."""
-    small = few(items)
-    urls = stored_keys(articles, items, "url", small)
-    new = skew_join(items, urls, "url", "left_anti", spread_by)
-    stored = stored_keys(articles, items, "title", small)
-    return skew_join(new, stored, "title", "left_semi", spread_by, hot)
+    new = new_items_only(items, articles)
+    return new.join(stored_keys(articles, items, "title"), "title", "left_semi").select(*items.columns)
 
 
-def attach_pages(items: DataFrame, pages: DataFrame, spread_by: str = "arrival",
-                 hot: list | None = None) -> DataFrame:
+def attach_pages(items: DataFrame, pages: DataFrame) -> DataFrame:
     """Every item with its page's columns, null where the page was not fetched.
 
     ``pages`` must hold a URL once (see ``latest_pages``).
     """
-    return skew_join(items, pages, "url", "left", spread_by, hot)
+    return items.join(pages, "url", "left")
+
+
+def known_keys(articles: DataFrame, items: DataFrame) -> DataFrame:
+    """(key, kind) of stored URLs and titles that occur among the items, in one scan of history.
+
+    ``kind`` is ``url`` or ``title``. A value of a batch is looked up once, however often it
+    occurs.
+    """
+    pair = lambda rows: rows.select(F.explode(F.array(*(
+        F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("key")) for kind in ("url", "title")
+    ))).alias("p")).select("p.kind", "p.key").where(F.col("key").isNotNull())
+    wanted = pair(items).distinct()
+    return pair(articles).join(wanted, ["kind", "key"], "left_semi").distinct()
 
 
-def stored_flag(items: DataFrame, articles: DataFrame, spread_by: str = "arrival",
-                hot: list | None = None) -> DataFrame:
+def stored_flag(items: DataFrame, urls: DataFrame) -> DataFrame:
     """All items with ``is_stored``, for runs that also report the skipped ones."""
-    stored = stored_keys(articles, items, "url").withColumn("is_stored", F.lit(True))
+    stored = urls.select("url").withColumn("is_stored", F.lit(True))
     return (
-        skew_join(items, stored, "url", "left", spread_by, hot)
+        items.join(stored, "url", "left")
         .withColumn("is_stored", F.coalesce("is_stored", F.lit(False)))
     )

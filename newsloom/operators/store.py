@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.contract import with_contract_issues
 from newsloom.functions.scalars import empty_to_null, utc_date
 from newsloom.operators.dedup import two_key_insert
+from newsloom.operators.joins import known_keys
 from newsloom.operators.numbering import with_position
 from newsloom.schemas import ARTICLE, QUARANTINE
 from newsloom.session import stage
@@ -32,17 +33,19 @@ class Verdicts:
     rejected: DataFrame
 
 
-def judge(batch: DataFrame, stored: DataFrame) -> Verdicts:
+def judge(batch: DataFrame, known: DataFrame) -> Verdicts:
     """Split a staged batch of articles (with ``arrival``) by contract and unique keys.
 
-    A row that breaks the contract takes no key. The keys are judged on three narrow
-    columns; the articles themselves move once, by arrival number.
+    ``known`` is what ``known_keys`` found stored, staged. A row that breaks the contract
+    takes no key. The keys are judged on three narrow columns; the articles themselves move
+    once, by arrival number, and are staged with their verdict for both results.
     """
     shaped = with_contract_issues(serialize(batch))
-    good = shaped.where(F.size("contract_issues") == 0).select("arrival", "url", "title")
-    keyed = two_key_insert(good, "arrival", stored=stored)
-    verdict = stage(keyed.select("arrival", "accepted", F.col("reason").alias("_reason")))
-    rows = shaped.join(verdict, "arrival", "left")
+    good = stage(shaped.where(F.size("contract_issues") == 0).select("arrival", "url", "title"))
+    old = tuple(known.where(F.col("kind") == k).select(F.col("key").alias(k)) for k in ("url", "title"))
+    keyed = two_key_insert(good, "arrival", stored=old)
+    verdict = keyed.select("arrival", "accepted", F.col("reason").alias("_reason"))
+    rows = stage(shaped.join(verdict, "arrival", "left"))
     broken = F.array_join("contract_issues", ", ")
     rejected = rows.where(~F.coalesce("accepted", F.lit(False))).withColumn(
         "failure_reason", F.coalesce("_reason", broken))
@@ -52,39 +55,50 @@ def judge(batch: DataFrame, stored: DataFrame) -> Verdicts:
     )
 
 
-def write_errors(rejected: DataFrame, batch: DataFrame) -> DataFrame:
-    """(index, url, error) per refused row; ``index`` is the row's place in the batch."""
-    places = with_position(batch.select("arrival"), "arrival", name="index")
+def write_errors(rejected: DataFrame, batch: DataFrame, *within: str) -> DataFrame:
+    """(index, url, error) per refused row; ``index`` is the row's place in the batch.
+
+    With ``within`` (columns of the batch, which must be sorted by them first) the batch is
+    cut into batches of their own, and the columns come first in the result.
+    """
+    places = with_position(batch.select("arrival", *within), "arrival", name="index")
+    if within:
+        # One small row for each source and market.
+        first = places.groupBy(*within).agg(F.min("index").alias("_first"))
+        places = places.join(first, list(within)).withColumn("index", F.col("index") - F.col("_first"))
     return (
-        rejected.join(places, "arrival")
-        .select("index", "url", F.col("failure_reason").alias("error"))
+        rejected.select("arrival", "url", "failure_reason").join(places, "arrival")
+        .select(*within, "index", "url", F.col("failure_reason").alias("error"))
     )
 
 
 def write_articles(accepted: DataFrame, path: str, load_id: str) -> None:
     """Write one load of the article table.
 
-    A load owns its ``load_id`` folders, so writing it again replaces it. Large days are
-    split over tasks and small ones share one (the rebalance hint lets the adaptive
+    A load owns its ``load_id`` folder: writing it again replaces all its days. Large days
+    are split over tasks and small ones share one (the rebalance hint lets the adaptive
     planner do both); rows of a country lie together in a file, so that its statistics
     prune the others.
     """
     laid_out = (
         accepted.select(*(f.name for f in ARTICLE.fields))
         .withColumn("pub_date", utc_date(F.col("date_published")))
-        .withColumn("load_id", F.lit(load_id))
         .hint("rebalance", "pub_date")
-        .sortWithinPartitions("pub_date", "load_id", "origin_country")
+        .sortWithinPartitions("pub_date", "origin_country")
     )
-    (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("pub_date", "load_id").parquet(path))
+    (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("pub_date").parquet(f"{path}/load_id={load_id}"))
 
 
 def quarantine(rejected: DataFrame, path: str, load_id: str) -> DataFrame:
-    """Write the refused rows with their reason, and return them as stored."""
+    """Write the refused rows with their reason, and return them as stored.
+
+    A row without a reason stops the write: the store requires one.
+    """
     folder = f"{path}/load_id={load_id}"
     names = [f.name for f in QUARANTINE.fields]
-    rejected.select(*names).write.mode("overwrite").parquet(folder)
+    reason = F.coalesce("failure_reason", F.raise_error(F.lit("a refused row has no failure_reason")))
+    rejected.withColumn("failure_reason", reason).select(*names).write.mode("overwrite").parquet(folder)
     return rejected.sparkSession.read.schema(QUARANTINE).parquet(folder)
 
 
@@ -94,7 +108,7 @@ def append_articles(batch: DataFrame, path: str, load_id: str) -> tuple[DataFram
     """
     staged = stage(batch)
     stored = stored_before(batch.sparkSession, path, load_id)
-    verdicts = judge(staged, stored)
+    verdicts = judge(staged, stage(known_keys(stored, staged)))
     write_articles(verdicts.accepted, path, load_id)
     accepted = verdicts.accepted.select("arrival", "url", "title")
     return accepted, write_errors(verdicts.rejected, staged)

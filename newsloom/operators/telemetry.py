@@ -127,9 +127,10 @@ def with_rates(counted: DataFrame) -> DataFrame:
     })
 
 
-def market_stats_of_run(rows: DataFrame) -> DataFrame:
-    """The same from one row per item with ``outcome`` and ``accepted``."""
-    return with_rates(rows.groupBy("mkt").agg(
+def market_stats_of_run(rows: DataFrame, *by: str) -> DataFrame:
+    """The same from one row per item with ``outcome`` and ``accepted``, per market or, with
+    ``by``, per those columns."""
+    return with_rates(rows.groupBy(*(by or ("mkt",))).agg(
         F.count(F.lit(1)).alias("total_trending"),
         F.count_if(F.col("outcome") == BUILT).alias("built"),
         F.count_if("accepted").alias("inserted"),

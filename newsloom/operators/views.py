@@ -7,72 +7,66 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.scalars import utc_day
 
-# A result row lists at most about this many URLs, some 10 MB of them.
-URLS_PER_ROW = 100_000
-
 # Fixed value: the columns of the curated view.
 _FILTERED = ("url", "title", "description", "date_published", "provider", "language",
              "origin_country", "keywords", "category", "authors", "related_countries",
              "image_url")
 
 
-def _parts(articles: DataFrame, urls_per_row: int) -> DataFrame:
-    """Distinct (date, country, URL) with their row counts, and the day's part they are in.
-
-    A day with more URLs than fit a row is cut into parts by URL hash, so that no row and
-    no task has to hold a whole busy day. Copies collapse on the map side first. The
-    number of parts comes from the same shuffled data, one small row per day.
-    """
-    urls = (
-        articles.select(utc_day(F.col("date_published")).alias("date"), "origin_country", "url")
-        .groupBy("date", "origin_country", "url").agg(F.count(F.lit(1)).alias("n"))
-    )
-    days = urls.groupBy("date").agg(
-        F.ceil(F.sum(F.least("n", F.lit(1))) / F.lit(urls_per_row)).alias("_parts"))
-    part = F.pmod(F.xxhash64("url"), F.col("_parts")).cast("int")
-    day = days.select(F.col("date").alias("_date"), "_parts")
+def daily_urls(articles: DataFrame) -> DataFrame:
+    """Rows by (date, origin_country, url): the form for bulk use, of any size."""
     return (
-        urls.join(day, F.col("date").eqNullSafe(F.col("_date")))
-        .withColumn("part", part).drop("_date", "_parts")
+        articles.select(utc_day(F.col("date_published")).alias("date"), "origin_country", "url")
+        .groupBy("date", "origin_country", "url").agg(F.count(F.lit(1)).alias("count"))
     )
 
 
-def _grouped(parts: DataFrame) -> DataFrame:
+def _grouped(articles: DataFrame, parts: int) -> tuple[DataFrame, list[str]]:
     """Per (date, part, country): rows, and the set of URLs.
 
-    Range-partitioned by day first: this one exchange serves the grouping by country, the
-    grouping by day and the newest-first order of the view.
+    Range-partitioned by day: this one exchange of the distinct URLs serves the grouping by
+    country, the grouping by day and the newest-first order of the view.
     """
-    return (
-        parts.repartitionByRange(F.col("date").desc(), F.col("part"))
-        .groupBy("date", "part", "origin_country")
-        .agg(F.sum("n").alias("count"),
+    urls = daily_urls(articles)
+    day = ["date"]
+    if parts > 1:
+        urls = urls.withColumn("part", F.pmod(F.xxhash64("url"), F.lit(parts)).cast("int"))
+        day.append("part")
+    made = (
+        urls.repartitionByRange(F.col("date").desc(), *day[1:])
+        .groupBy(*day, "origin_country")
+        .agg(F.sum("count").alias("count"),
              F.sort_array(F.collect_list("url")).alias("article_urls"))
     )
+    return made, day
 
 
-def daily_country_counts(articles: DataFrame, urls_per_row: int = URLS_PER_ROW) -> DataFrame:
+def daily_country_counts(articles: DataFrame, parts: int = 1) -> DataFrame:
     """Rows and URLs by UTC day and country.
 
-    A day that does not fit a row comes in several parts (0, 1, ...), whose counts add up
-    and whose URL sets do not overlap; any other day is part 0.
+    A row lists all URLs of its day and country. ``parts`` cuts every day by URL hash into
+    so many parts (0, 1, ...; column ``part``), whatever the day's size: counts of parts add
+    up, their URL sets do not overlap. See ``daily_urls`` for days that no row should hold.
     """
-    return _grouped(_parts(articles, urls_per_row)).select(
-        "date", "part", "origin_country", "count", "article_urls")
+    made, day = _grouped(articles, parts)
+    return made.select(*day, "origin_country", "count", "article_urls")
 
 
-def daily_summary(articles: DataFrame, urls_per_row: int = URLS_PER_ROW) -> DataFrame:
-    """By day, newest first: the countries with their counts and URLs, and the total."""
+def daily_summary(articles: DataFrame, parts: int = 1) -> DataFrame:
+    """By day, newest first: the countries with their counts and URLs, and the total.
+
+    ``parts`` as in ``daily_country_counts``.
+    """
+    made, day = _grouped(articles, parts)
     return (
-        _grouped(_parts(articles, urls_per_row))
-        .groupBy("date", "part")
+        made.groupBy(*day)
         .agg(
             F.array_sort(F.collect_list(F.struct(
                 F.col("origin_country").alias("country"), "count", "article_urls",
             ))).alias("countries"),
             F.sum("count").alias("total_count"),
         )
-        .orderBy(F.col("date").desc(), "part")
+        .orderBy(F.col("date").desc(), *day[1:])
     )
 
 

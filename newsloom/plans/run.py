@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from newsloom.config import Settings
 from newsloom.operators.build import ALREADY_EXISTS, BUILT, build_items, merge_article
 from newsloom.operators.extraction import Extractors
-from newsloom.operators.joins import few, stored_flag
+from newsloom.operators.joins import known_keys, stored_flag
 from newsloom.operators.numbering import with_position
-from newsloom.operators.skew import skew_join
 from newsloom.operators.store import judge
 from newsloom.session import stage
 
@@ -30,43 +29,45 @@ class Run:
 
 
 def wanted_pages(pages: DataFrame, items: DataFrame) -> DataFrame:
-    """Only the pages the items point to, where the items are few enough to tell cheaply.
+    """Only the pages the items point to.
 
-    Beyond that all pages are worked on: moving HTML about costs more than reading it.
+    The staged items' URLs have a known size: where they are small, Spark sends them to the
+    page scan; where they are not, a Bloom filter of them keeps the other pages out of the
+    join's shuffle.
     """
-    if not few(items):
-        return pages
-    return pages.join(F.broadcast(items.select("url").distinct()), "url", "left_semi")
+    return pages.join(items.select("url").distinct(), "url", "left_semi")
 
 
 def plan_run(items: DataFrame, pages: DataFrame, stored: DataFrame, run_ts: datetime,
              settings: Settings = Settings(), extractors: Extractors | None = None) -> Run:
     """Plan a run for items with the ``ARRIVAL`` columns.
 
-    All markets are one job. The reference order - markets one after another, each
+    History is read once, for both unique keys. All markets are one job. The reference order - markets one after another, each
     seeing what the markets before it stored - is restored from the accepted URLs: an
     item whose URL an earlier market stored was never tried.
     """
     arrived = with_position(items, *ARRIVAL, name="arrival")
-    flagged = stage(stored_flag(arrived, stored))
+    known = stage(known_keys(stored, arrived))
+    urls = known.where(F.col("kind") == "url").select(F.col("key").alias("url"))
+    flagged = stage(stored_flag(arrived, urls))
     new = flagged.where(~F.col("is_stored"))
     done = stage(build_items(new, wanted_pages(pages, new), settings, extractors))
 
     batch = merge_article(done.where(F.col("outcome") == BUILT), run_ts, "arrival")
-    verdicts = judge(batch, stored)
+    verdicts = judge(batch, known)
 
     market = F.struct("source_ord", "market_ord")
-    placed = done.select("arrival", "mkt", "url", "outcome", market.alias("_mine"))
+    placed = done.select("arrival", "source_api", "mkt", "url", "outcome", market.alias("_mine"))
     # Accepted URLs are unique, so each has one owner.
     owners = verdicts.accepted.select("arrival").join(placed, "arrival").select(
         "url", F.col("arrival").alias("_owner"), F.col("_mine").alias("_market"))
-    tried = skew_join(placed, owners, "url", "left", "arrival")
+    tried = placed.join(owners, "url", "left")
     outcome = F.when(F.col("_market") < F.col("_mine"), ALREADY_EXISTS).otherwise(F.col("outcome"))
     log = tried.select(
-        "arrival", "mkt", "url", outcome.alias("outcome"),
+        "arrival", "source_api", "mkt", "url", outcome.alias("outcome"),
         F.coalesce(F.col("_owner") == F.col("arrival"), F.lit(False)).alias("accepted"),
     ).unionByName(flagged.where("is_stored").select(
-        "arrival", "mkt", "url", F.lit(ALREADY_EXISTS).alias("outcome"),
+        "arrival", "source_api", "mkt", "url", F.lit(ALREADY_EXISTS).alias("outcome"),
         F.lit(False).alias("accepted"),
     ))
     log = stage(log)

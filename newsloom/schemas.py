@@ -14,6 +14,8 @@ def _field(name: str, kind: T.DataType, nullable: bool) -> T.StructField:
 _STR, _TS = T.StringType(), T.TimestampType()
 _STRINGS = T.ArrayType(T.StringType(), containsNull=False)
 
+# The landed response, the news item and the stored article, column by column.
+
 # One landed API response: value[] of nested article objects.
 RESPONSE = T.StructType([
     _field("value", T.ArrayType(T.StructType([
@@ -46,15 +48,6 @@ PAGE = T.StructType([
     _field("html", _STR, True),
 ])
 
-EXTRACTED = T.StructType([
-    _field("url", _STR, False),
-    _field("cleaned_text", _STR, False),
-    _field("meta_lang", _STR, True),
-    _field("meta_keywords", _STR, False),
-    _field("authors", _STRINGS, False),
-    _field("top_image", _STR, True),
-])
-
 ARTICLE = T.StructType([
     _field("title", _STR, False),
     _field("title_translated", _STR, True),
@@ -82,19 +75,18 @@ QUARANTINE = T.StructType([
     _field("failure_reason", _STR, False),
 ])
 
-# What the store requires to be present, in the order it is reported.
+# What the store requires to be present, in the order it is reported.
 REQUIRED = (
     "title", "url", "description", "date_published", "provider", "content",
     "origin_country", "source_api", "schema_version", "date_scraped", "post_processed",
 )
 
 BUILD_LOG = T.StructType([
-    _field("url", _STR, False),
+    _field("arrival", T.LongType(), True),
+    _field("source_api", _STR, True),
     _field("mkt", _STR, True),
-    _field("outcome", _STR, False),
-])
-
-REQUEST_LOG = T.StructType([
-    _field("method", _STR, False),
-    _field("status", T.IntegerType(), False),
+    _field("url", _STR, True),
+    _field("outcome", _STR, True),
+    _field("accepted", T.BooleanType(), True),
+    _field("load_id", _STR, True),
 ])

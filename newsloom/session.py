@@ -14,6 +14,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
 }
@@ -42,16 +43,6 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/newsloom-{uuid.uuid4().hex}"
 
 
-def widen(scan: DataFrame) -> DataFrame:
-    """Spread a scan of fewer splits than there are cores over all of them.
-
-    Work on text is worth that; a table of many splits is left as it is. For plain scans
-    only: counting the splits of anything else may run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 # The folders to delete at the end of the `staging` block that this thread is in.
 _FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
 

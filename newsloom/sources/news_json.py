@@ -2,38 +2,89 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.functions.scalars import (default_string, market_country, market_language,
                                         parse_iso_ts, provider_name)
 from newsloom.functions.urls import clean_image_url
-from newsloom.operators.skew import skew_join
 from newsloom.schemas import RESPONSE
 
-# A response file lies under mkt=<market>/.
-LANDED = T.StructType([*RESPONSE.fields, T.StructField("mkt", T.StringType(), True)])
+# A response file lies under mkt=<market>/. A file or value that does not fit the schema
+# leaves its text in _corrupt_record.
+LANDED = T.StructType([*RESPONSE.fields, T.StructField("_corrupt_record", T.StringType(), True),
+                       T.StructField("mkt", T.StringType(), True)])
 
+# Why a response gave no items, or not all of its items.
+CORRUPT, UNKNOWN_MARKET, BAD_ITEM = "corrupt", "unknown_market", "bad_item"
 
-def explode_response(responses: DataFrame) -> DataFrame:
-    """One row per element of ``value``; a response without the array gives none."""
-    return responses.select(
-        "mkt", F.col("_metadata.file_path").alias("response"),
-        F.posexplode("value").alias("pos", "item"),
+
+def item_is_bad(item: Column) -> Column:
+    """No description, no readable date, or an empty provider list."""
+    return (
+        item.isNull() | item["description"].isNull() | parse_iso_ts(item["datePublished"]).isNull()
+        | F.coalesce(F.size(item["provider"]) == 0, F.lit(False))
     )
 
 
+def read_responses(landed: DataFrame) -> DataFrame:
+    """(mkt, response, value, corrupt, bad) of landed files, one row each.
+
+    ``bad`` says for each item whether it is one; it is judged before the items are taken
+    apart, so that a response fails as a whole without a join.
+    """
+    return with_judgement(landed.select(
+        "mkt", F.col("_metadata.file_path").alias("response"), "value",
+        F.col("_corrupt_record").isNotNull().alias("corrupt")))
+
+
+def with_judgement(responses: DataFrame) -> DataFrame:
+    return responses.withColumn("bad", F.transform("value", item_is_bad))
+
+
+def explode_response(responses: DataFrame) -> DataFrame:
+    """One row per element of ``value`` (mkt, response, failed, pos, item); a response without
+    the array gives none, nor does a corrupt one, whose other items cannot be trusted."""
+    failed = F.exists("bad", lambda b: b)
+    return responses.where(~F.col("corrupt")).select(
+        "mkt", "response", failed.alias("failed"), F.posexplode("value").alias("pos", "item"))
+
+
 def scan_news_json(spark: SparkSession, path: str) -> DataFrame:
-    """Responses as (mkt, response, pos, item); ``pos`` is the place in its response."""
-    return explode_response(spark.read.schema(LANDED).option("multiLine", True).json(path))
+    """Responses as (mkt, response, failed, pos, item); ``pos`` is the place in its response."""
+    landed = spark.read.schema(LANDED).option("multiLine", True).json(path)
+    return explode_response(read_responses(landed))
+
+
+def failed_responses(responses: DataFrame, markets: DataFrame, on_error: str = "fail_market") -> DataFrame:
+    """(mkt, response, items, first_bad, reason) of every response whose items are not all taken.
+
+    ``items`` counts those lost: all of a corrupt response (0 if it could not be read at all),
+    of one of a market that is not among ``markets(mkt)``, or of one with a bad item; only
+    the bad ones under ``quarantine_row``.
+    """
+    known = markets.select("mkt").withColumn("_known", F.lit(True))
+    bad = F.coalesce(F.size(F.filter("bad", lambda b: b)), F.lit(0))
+    first = F.array_position("bad", F.lit(True)).cast("int") - 1
+    every = F.greatest(F.coalesce(F.size("value"), F.lit(0)), F.lit(0))
+    reason = (
+        F.when(F.col("corrupt"), CORRUPT).when(F.col("_known").isNull(), UNKNOWN_MARKET)
+        .when(bad > 0, BAD_ITEM))
+    lost = F.when((F.col("reason") == BAD_ITEM) & F.lit(on_error == "quarantine_row"), F.greatest(bad, F.lit(0)))
+    # At most as many rows as configured markets.
+    return (
+        responses.join(F.broadcast(known), "mkt", "left").withColumn("reason", reason)
+        .where(F.col("reason").isNotNull())
+        .select("mkt", "response", F.coalesce(lost, every).alias("items"),
+                F.when(first >= 0, first).alias("first_bad"), "reason")
+    )
 
 
 def with_item_columns(raw: DataFrame, source_api: str) -> DataFrame:
     """The item columns with their default rules, and ``is_bad``.
 
-    Country and language are the market's, never the article's. An item is bad without a
-    description or a readable date, or with an empty provider list.
+    Country and language are the market's, never the article's.
     """
     item, mkt = F.col("item"), F.col("mkt")
     return raw.select(
@@ -47,31 +98,24 @@ def with_item_columns(raw: DataFrame, source_api: str) -> DataFrame:
         clean_image_url(item["image"]["thumbnail"]["contentUrl"]).alias("image_url"),
         market_language(mkt).alias("language"),
         F.lit(source_api).alias("source_api"),
-        F.coalesce(F.size(item["provider"]) == 0, F.lit(False)).alias("_no_provider"),
-    ).withColumn(
-        "is_bad",
-        F.col("description").isNull() | F.col("date_published").isNull() | F.col("_no_provider"),
-    ).drop("_no_provider")
+        item_is_bad(item).alias("is_bad"),
+    )
 
 
 def normalize_items(raw: DataFrame, source_api: str, on_error: str = "fail_market") -> DataFrame:
-    """News items of ``raw(mkt, response, pos, item)``.
+    """News items of ``raw(mkt, response, failed, pos, item)``.
 
     One bad item fails its whole response (``fail_market``), or only itself
-    (``quarantine_row``; see ``bad_items`` for those rows).
+    (``quarantine_row``; see ``bad_items`` for those rows, ``failed_responses`` for a record).
     """
-    items = with_item_columns(raw, source_api)
-    if on_error == "fail_market":
-        # The responses with a bad item, each once: no window over a response's items.
-        failed = items.where("is_bad").select("response").distinct()
-        kept = skew_join(items, failed, "response", "left_anti", "pos")
-    elif on_error == "quarantine_row":
-        kept = items.where(~F.col("is_bad"))
-    else:
+    if on_error not in ("fail_market", "quarantine_row"):
         raise ValueError(f"on_error: {on_error!r}")
-    return kept.drop("is_bad")
+    items = with_item_columns(raw, source_api).where(~F.col("is_bad"))
+    if on_error == "fail_market":
+        items = items.where(~F.col("failed"))
+    return items.drop("is_bad", "failed")
 
 
 def bad_items(raw: DataFrame, source_api: str) -> DataFrame:
     """The rows ``quarantine_row`` leaves out."""
-    return with_item_columns(raw, source_api).where("is_bad").drop("is_bad")
+    return with_item_columns(raw, source_api).where("is_bad").drop("is_bad", "failed")

@@ -33,12 +33,14 @@ class Registry:
         self._sources: dict[str, Source] = {}
 
     def register_source(self, name: str, raw: DataFrame, markets: tuple[str, ...] = MARKETS,
-                        normalize: Normalize | None = None) -> Source:
-        """Add a source; without ``normalize`` its rows are landed API responses."""
+                        normalize: Normalize | None = None,
+                        on_error: str = "fail_market") -> Source:
+        """Add a source; without ``normalize`` its rows are landed API responses, in which
+        ``on_error`` says what a bad item fails."""
         if name in self._sources:
             raise ValueError(f"source {name!r} is already registered")
         made = Source(name, raw, tuple(markets),
-                      normalize or (lambda rows: normalize_items(rows, name)))
+                      normalize or (lambda rows: normalize_items(rows, name, on_error)))
         self._sources[name] = made
         return made
 
@@ -50,7 +52,7 @@ def union_sources(spark: SparkSession, registry: Registry) -> DataFrame:
     """Items of all sources over their valid markets.
 
     (source_ord, market_ord, response, pos) is the order of arrival. A market that is
-    not configured, not valid or failed contributes nothing.
+    not configured, not valid or failed contributes nothing; ``failed_responses`` records it.
     """
 
     def items_of(ord_: int, source: Source) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,16 +11,30 @@ from pyspark.sql import types as T
 from newsloom.functions.scalars import empty_to_null
 from newsloom.operators.dedup import first_by_key
 from newsloom.schemas import ARTICLE, PAGE
-from newsloom.session import widen
 
-# The article table is laid out by publishing day and load.
-STORED = T.StructType([*ARTICLE.fields, T.StructField("pub_date", T.DateType(), True),
-                       T.StructField("load_id", T.StringType(), True)])
+# The article table is laid out by load and publishing day.
+STORED = T.StructType([*ARTICLE.fields, T.StructField("load_id", T.StringType(), True),
+                       T.StructField("pub_date", T.DateType(), True)])
+
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """Add pages, laid out by the day of their crawl (``crawl_day``, a date)."""
+    pages.write.mode("append").partitionBy("crawl_day").parquet(path)
+
 
+def scan_pages(spark: SparkSession, path: str, fmt: str = "parquet",
+               since: date | None = None) -> DataFrame:
+    """Crawled pages; an empty page is a page without content.
 
-def scan_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Crawled pages; an empty page is a page without content."""
-    pages = widen(spark.read.schema(PAGE).format(fmt).load(path))
+    ``since`` reads only the folders of that crawl day and later ones, of a table laid out
+    by ``write_pages``.
+    """
+    if since is None:
+        pages = spark.read.schema(PAGE).format(fmt).load(path)
+    else:
+        dated = T.StructType([*PAGE.fields, T.StructField("crawl_day", T.DateType(), True)])
+        pages = spark.read.schema(dated).format(fmt).load(path).where(
+            F.col("crawl_day") >= F.lit(since)).drop("crawl_day")
     return pages.withColumn("html", empty_to_null(F.col("html")))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from collections.abc import Callable, Iterable
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,36 +15,53 @@ from newsloom.operators.extraction import Extractors
 from newsloom.operators.store import quarantine, stored_before, write_articles, write_errors
 from newsloom.plans.run import plan_run
 from newsloom.session import stage, staging
-from newsloom.sources.news_json import LANDED, explode_response
-from newsloom.sources.registry import Registry, union_sources
+from newsloom.schemas import BUILD_LOG
+from newsloom.sources.dims import market_dim
+from newsloom.sources.news_json import LANDED, explode_response, failed_responses, read_responses
+from newsloom.sources.registry import Registry, Source, union_sources
 from newsloom.sources.tables import scan_pages
 
 
-def process_load(raw: DataFrame, pages: DataFrame, table: str, load_id: str, run_ts: datetime,
-                 source_api: str, settings: Settings = Settings(),
-                 extractors: Extractors | None = None) -> None:
-    """Build and store one load of raw responses under ``table``.
+def process_load(responses: DataFrame, pages: DataFrame, table: str, load_id: str,
+                 run_ts: datetime, source_api: str, settings: Settings = Settings(),
+                 extractors: Extractors | None = None, on_error: str = "fail_market",
+                 more_sources: Iterable[Source] = (), attempts: DataFrame | None = None) -> None:
+    """Build and store one load of responses (see ``read_responses``) under ``table``.
 
-    Every folder written belongs to the load, so a load that failed half-way is simply
-    done again: it does not see its own earlier rows and replaces them.
+    ``more_sources`` come after the landed one. Statistics of ``attempts(method, status)``
+    are written if it is given. Every folder written belongs to the load, so a load that
+    failed half-way is simply done again: it does not see its own earlier rows and replaces
+    them, with whatever the second attempt finds.
     """
-    spark = raw.sparkSession
+    spark = responses.sparkSession
 
     def log(name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{table}/{name}/load_id={load_id}")
 
     with staging(spark):
+        landed = stage(responses)
         registry = Registry()
-        registry.register_source(source_api, stage(raw), settings.markets)
+        registry.register_source(source_api, explode_response(landed), settings.markets, on_error=on_error)
+        for source in more_sources:
+            registry.register_source(source.name, source.raw, source.markets, source.normalize)
         items = union_sources(spark, registry)
         run = plan_run(items, pages, stored_before(spark, f"{table}/articles", load_id), run_ts,
                        settings, extractors)
         write_articles(run.accepted, f"{table}/articles", load_id)
         quarantine(run.rejected, f"{table}/failed_articles", load_id)
         log("build_log", run.items)
-        log("errors", write_errors(run.rejected, run.items.where(F.col("outcome") == BUILT)))
-        log("market_stats", telemetry.market_stats_of_run(run.items))
+        log("errors", write_errors(run.rejected, run.items.where(F.col("outcome") == BUILT),
+                                   "source_api", "mkt"))
+        log("failed_responses", failed_responses(
+            landed, market_dim(spark, settings.markets), on_error
+        ).withColumn("source_api", F.lit(source_api)))
+        log("market_stats", telemetry.market_stats_of_run(run.items, "source_api", "mkt"))
         log("run_summary", telemetry.run_summary(run.items, run.items.where("accepted")))
+        log("article_stats", telemetry.article_stats(run.items))
+        if attempts is not None:
+            log("request_summary", telemetry.request_summary(attempts))
+            log("status_breakdown", telemetry.status_breakdown(attempts))
+            log("status_overall", telemetry.status_overall(attempts))
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -63,9 +81,15 @@ SOURCE_API = "BingNewsSource"
 def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, checkpoint: str,
               source_api: str = SOURCE_API, settings: Settings = Settings(),
               extractors: Extractors | None = None, run_ts: datetime | None = None,
-              files_per_load: int | None = None) -> None:
+              files_per_load: int | None = None, on_error: str = "fail_market",
+              more_sources: Callable[[SparkSession], Iterable[Source]] | None = None,
+              attempts: Callable[[SparkSession], DataFrame] | None = None,
+              pages_since: date | None = None) -> None:
     """Process what is new under ``landing`` (``mkt=<market>/*.json``), then stop.
 
+    ``more_sources`` and ``attempts`` are asked for in every load; ``pages_since`` reads only
+    pages crawled from that day on, of a table laid out by ``write_pages``.
+
     The stream's checkpoint knows the files already taken; the article table knows the
     URLs. ``files_per_load`` splits a large backlog into several loads. Schedule the call
     outside; two runs on one table must not overlap.
@@ -74,15 +98,17 @@ def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, ch
 
     def take(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        process_load(batch, scan_pages(session, pages_path), table,
+        process_load(batch, scan_pages(session, pages_path, since=pages_since), table,
                      f"{stream_id(session, checkpoint)}-{batch_id:06d}", now, source_api,
-                     settings, extractors)
+                     settings, extractors, on_error,
+                     more_sources(session) if more_sources else (),
+                     attempts(session) if attempts else None)
 
     reader = spark.readStream.schema(LANDED).option("multiLine", True)
     if files_per_load:
         reader = reader.option("maxFilesPerTrigger", files_per_load)
     query = (
-        explode_response(reader.json(landing))
+        read_responses(reader.json(landing))
         .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -93,4 +119,7 @@ def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, ch
 
 def read_log(spark: SparkSession, table: str, name: str) -> DataFrame:
     """One of the written logs over all loads."""
-    return spark.read.parquet(f"{table}/{name}")
+    reader = spark.read
+    if name == "build_log":
+        reader = reader.schema(BUILD_LOG)
+    return reader.parquet(f"{table}/{name}")

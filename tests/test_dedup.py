@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from newsloom.operators.dedup import first_by_key, two_key_insert
 from newsloom.operators.numbering import with_position
-from newsloom.operators.skew import SALTS, hot_keys, skew_join
+from newsloom.operators.components import connected_components
+from newsloom.operators.joins import known_keys, new_items_only, stored_flag, title_conflicts
 
 
 def one_by_one(rows, stored=()):
@@ -28,10 +29,12 @@ def one_by_one(rows, stored=()):
     return reasons
 
 
-def insert(spark, rows, stored=None, **kw):
+def insert(spark, rows, stored=None):
     df = spark.createDataFrame(rows, "arrival long, url string, title string").repartition(3)
-    old = stored and spark.createDataFrame(stored, "url string, title string")
-    got = two_key_insert(df, "arrival", stored=old, **kw).collect()
+    old = stored and tuple(
+        spark.createDataFrame([(v,) for v in {r[k] for r in stored}], f"{name} string")
+        for k, name in enumerate(("url", "title")))
+    got = two_key_insert(df, "arrival", stored=old).collect()
     assert all(r.accepted == (r.reason is None) for r in got)
     assert len(got) == len(rows)
     return {r.arrival: r.reason for r in got}
@@ -43,9 +46,17 @@ def random_rows(seed, n, keys):
 
 
 @pytest.fixture
-def low_thresholds(monkeypatch):
-    """Treat keys of a few rows as hot."""
-    monkeypatch.setattr("newsloom.operators.skew.HOT_ROWS", 5)
+def low_thresholds(spark):
+    """Let adaptive execution see skew in partitions of a few rows."""
+    lowered = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+               "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+               "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in lowered.items():
+        spark.conf.set(key, value)
+    yield
+    for key in lowered:
+        spark.conf.unset(key)
 
 
 def test_either_key_alone_would_be_wrong(spark):
@@ -78,12 +89,17 @@ def chain(n):
     return [(i, f"u{(i + 1) // 2}", f"t{i // 2}") for i in range(n)]
 
 
-def test_a_long_chain_is_finished_in_one_task_if_small(spark):
-    assert insert(spark, chain(60), rounds=2) == one_by_one(chain(60))
+def test_a_long_chain_is_decided_in_order(spark):
+    assert insert(spark, chain(60)) == one_by_one(chain(60))
 
 
-def test_a_rest_that_is_too_large_keeps_going_round(spark):
-    assert insert(spark, chain(14), rounds=1, small_rest=0) == one_by_one(chain(14))
+def test_components_of_chains_stars_and_loops(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (200, 201)]
+    got = connected_components(spark.createDataFrame(edges, "a int, b int")).collect()
+    roots = {r.node: r.root for r in got}
+    assert len(got) == len(roots) == 41 + 30 + 2
+    assert {roots[i] for i in range(41)} == {0} and {roots[i] for i in range(100, 130)} == {100}
+    assert connected_components(spark.createDataFrame([], "a int, b int")).count() == 0
 
 
 def test_first_by_key_cuts_hot_keys_before_the_shuffle(spark, plan):
@@ -98,33 +114,40 @@ def test_first_by_key_cuts_hot_keys_before_the_shuffle(spark, plan):
     assert "WindowGroupLimit" in before and "Partial" in before
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_skew_join_is_a_join(spark, how, low_thresholds):
-    rows = [(i, "hot" if i % 3 == 0 else None if i % 7 == 0 else f"k{i}") for i in range(200)]
-    left = spark.createDataFrame(rows, "n int, k string")
-    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k5", 3), ("other", 4)],
-                                  "k string, v int")
-    assert hot_keys(left, "k") == {"k": ["hot"]}
-    got = skew_join(left, right, "k", how, "n")
-    want = left.join(right, "k", how)
-    assert got.columns == want.columns
-    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+def test_hot_keys_are_split_by_adaptive_execution(spark, low_thresholds, plan):
+    items = spark.range(3000).select(
+        F.col("id").alias("arrival"), F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("url"),
+        F.lit("t").alias("title"), F.repeat(F.lit("x"), 50).alias("description"))
+    articles = spark.createDataFrame([("hot", "t"), ("3", "u")], "url string, title string")
+    assert new_items_only(items, articles).count() == 999
+    assert title_conflicts(items, articles).count() == 999
+    flagged = stored_flag(items, articles)
+    assert {r.url for r in flagged.where("is_stored").collect()} == {"hot", "3"}
+    flagged.collect()
+    assert "skew=true" in plan(flagged)
 
 
-def test_skew_join_spreads_the_hot_key(spark, low_thresholds):
-    left = spark.range(10_000).select(F.col("id").alias("n"), F.lit("hot").alias("k"))
-    right = spark.createDataFrame([("hot", 1)], "k string, v int").hint("merge")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_no_job_runs_before_a_join_is_asked_for(spark):
+    items = spark.createDataFrame([(1, "u", "t")], "arrival int, url string, title string")
+    seen = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("joins", "joins")
     try:
-        parts = skew_join(left, right, "k", "inner", "n")
-        sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+        title_conflicts(items, items.select("url", "title"))
+        known_keys(items, items)
+        assert not seen.getJobIdsForGroup("joins")
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(sizes) == 4 and max(sizes) < 5_000 and SALTS > 4
-
-
-def test_small_keys_are_not_hot(spark):
-    assert hot_keys(spark.range(100).withColumn("k", F.lit("x")), "k") == {"k": []}
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_both_keys_of_history_are_one_scan(spark, tmp_path, plan):
+    rows = spark.createDataFrame([("u1", "t1", "c"), ("u2", "t2", "c")], "url string, title string, content string")
+    rows.write.parquet(str(tmp_path / "history"))
+    history = spark.read.parquet(str(tmp_path / "history"))
+    items = spark.createDataFrame([("u1", "t2"), ("u9", None)], "url string, title string")
+    found = known_keys(history, items)
+    assert {tuple(r) for r in found.collect()} == {("url", "u1"), ("title", "t2")}
+    assert plan(found).split("Initial Plan")[0].count("FileScan parquet") == 1
+    assert "content" not in plan(found)
 
 
 def test_positions_are_dense_and_ordered(spark):

@@ -4,10 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks.queries import ORACLES as TWINS, QUERIES
 from tests.conftest import SF_DIR
 from verify import TABLES, normal
 
-QUERIES, TWINS = entry.queries(), entry.oracle_sql()
+
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(TWINS) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -71,6 +71,8 @@ def test_runs_take_only_what_is_new(spark, site):
     assert outcomes["short"] == [("en-GB", "invalid_content", False)]
     assert outcomes["gone"] == [("en-GB", "no_content", False)]
     assert outcomes["nolang"] == [("de-DE", "extract_failed", False)]
+    places = {(r.mkt, r["index"], r.error) for r in site.log("errors").collect()}
+    assert places == {("en-GB", 2, "duplicate_url"), ("de-DE", 0, "duplicate_title")}
     errors = {(r.url.rsplit("/", 1)[1], r.error) for r in site.log("errors").collect()}
     assert errors == {("b", "duplicate_url"), ("c", "duplicate_title")}
     stats = {r.mkt: (r.total_trending, r.built, r.inserted, r.build_rate_text)

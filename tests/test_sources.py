@@ -1,14 +1,15 @@
 import json
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.config import MARKETS
 from newsloom.sources import dims
-from newsloom.sources.news_json import bad_items, normalize_items, scan_news_json
+from newsloom.sources.news_json import (LANDED, bad_items, explode_response, failed_responses,
+                                        normalize_items, read_responses, scan_news_json)
 from newsloom.sources.registry import Registry, union_sources
-from newsloom.sources.tables import latest_pages, scan_articles, scan_pages
+from newsloom.sources.tables import latest_pages, scan_articles, scan_pages, write_pages
 
 FULL = {
     "name": "Title", "url": "https://a.example.com/1", "description": "About",
@@ -62,6 +63,34 @@ def test_a_bad_item_fails_its_market_or_only_itself(spark, landing, bad):
         normalize_items(raw, "Api", on_error="ignore")
 
 
+def test_what_a_response_loses_is_recorded(spark, landing, tmp_path):
+    landing("en-GB", [FULL, without("description"), without(provider=[])])
+    landing("xx-XX", [FULL])
+    landing("de-DE", [without(provider="Paper"), FULL])
+    path = landing("en-US", [FULL])
+    (tmp_path / "landing" / "mkt=en-US" / "2.json").write_text('{"value": [{"name": "T"')
+    landed = spark.read.schema(LANDED).option("multiLine", True).json(path)
+    responses = read_responses(landed)
+    markets = dims.market_dim(spark, MARKETS)
+    lost = {(r.mkt, r.reason): (r["items"], r.first_bad) for r in failed_responses(responses, markets).collect()}
+    assert lost.pop(("de-DE", "corrupt"))[0] <= 2
+    assert lost == {("en-GB", "bad_item"): (3, 1), ("xx-XX", "unknown_market"): (1, None),
+                    ("en-US", "corrupt"): (0, None)}
+    only = failed_responses(responses, markets, "quarantine_row").where("reason = 'bad_item'").first()
+    assert (only["items"], only.first_bad) == (2, 1)
+    kept = normalize_items(explode_response(responses), "Api", "quarantine_row").collect()
+    assert sorted(r.mkt for r in kept) == ["en-GB", "en-US", "xx-XX"]
+
+
+def test_pages_of_other_days_are_not_read(spark, tmp_path, plan):
+    rows = [(1, "u1", "old", date(2024, 1, 1)), (2, "u2", "new", date(2024, 1, 2))]
+    path = str(tmp_path / "dated")
+    write_pages(spark.createDataFrame(rows, "page_id long, url string, html string, crawl_day date"), path)
+    new = scan_pages(spark, path, since=date(2024, 1, 2))
+    assert [r.url for r in new.collect()] == ["u2"]
+    assert "PartitionFilters: [isnotnull(crawl_day" in plan(new)
+
+
 def test_code_lists(spark):
     assert len(dims.iso_countries(spark)) == 249
     assert len(dims.iso_languages(spark)) == 183
