@@ -125,11 +125,11 @@ from u left join m on m.page_id = u.page_id and m.k = 1
     "op10_jaccard_join": r"""
 with recursive w as (
   select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') as ws
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws
   from documents),
 s as (
   select distinct doc_id, unnest(case when len(ws) < 5 then [array_to_string(ws, ' ')]
-    else list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) end) as g
+    else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as g
   from w where len(ws) > 0),
 n as (select doc_id, count(*) as n from s group by all),
 common as (
