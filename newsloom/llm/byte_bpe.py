@@ -260,7 +260,8 @@ def tokenize(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTER
     fields = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
     if decoded_col:
         fields.append(T.StructField(decoded_col, T.StringType()))
-    at = docs.columns.index(text_col)
+    names = [*docs.columns, *added]
+    at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(sent.value, pattern)
@@ -272,7 +273,7 @@ def tokenize(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTER
                 made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
                 if decoded_col:
                     made.append(pa.array([own.decode(p) for p in packed], pa.string()))
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*docs.columns, *added])
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=names)
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
 
