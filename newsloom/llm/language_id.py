@@ -106,9 +106,12 @@ class Parser:
             own = [symbols(t, self.table).tolist() for t in learned[lang]]
             # Between stretches stands END, which no text has, so that no phrase crosses.
             step = suffix_automaton([c for t in own for c in (*t, END)][:limit])
-            # A missing step ends the phrase: go where the root goes, and say so by the sign.
-            root = np.where(step[0] < 0, 0, step[0]) + at
-            step = np.where(step < 0, -root - 1, step + at)
+            # A missing step ends the phrase: go where the root goes, and say so by the sign. A
+            # symbol that the language lacks is a phrase alone, in a last state without steps.
+            step = np.vstack([step, np.full((1, ALPHABET), -1, np.int32)])
+            root = np.where(step[0] < 0, len(step) - 1, step[0]) + at
+            first, step = root, np.where(step < 0, -root - 1, step + at)
+            step[0] = first  # where no phrase has begun, none ends
             step[:, END] = np.arange(len(step)) + at  # padding stays where it is
             parts.append(step)
             roots.append(at)

@@ -125,7 +125,7 @@ def ordered(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     if late.isEmpty():
         return nodes.select("node", F.col("place").alias("ready"), F.lit(0).alias("level"), F.lit(False).alias("cyclic"))
     own = stage(edges.join(late.withColumnRenamed("node", "then"), "then"))
-    done = late.limit(0).select("node", F.lit(0).cast("long").alias("ready"), F.lit(0).alias("level"))
+    done = late.limit(0).join(nodes, "node").select("node", F.col("place").alias("ready"), F.lit(0).alias("level"))
     left = late.join(nodes, "node")
     while True:
         left = stage(left.join(done.select("node"), "node", "left_anti"))

@@ -202,7 +202,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int =
         id_col, F.col(label_col).alias("label"))
     share = min(1.0, TRAIN_ROWS / max(known.count(), 1))
     chosen = known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = sparse(docs.join(chosen, id_col), text_col, "label")
+    rows = sparse(docs.select(id_col, text_col).join(chosen, id_col), text_col, "label")
     odds, grades = log_odds(rows), len(GRADES) + 1
     model = fit(weighed(rows, odds), odds, grades)
     if rows.isEmpty():

@@ -1,0 +1,234 @@
+"""URL rules, tool calls, the source mix, the pipeline and the registered queries."""
+
+import json
+import random
+import subprocess
+import sys
+from collections import defaultdict
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from newsloom.llm import mixing as M
+from newsloom.llm import queries
+from newsloom.llm import tool_calls as C
+from newsloom.llm import url_filter as U
+from tests.conftest import SF_DIR
+from verify import TABLES, normal
+
+
+def model_verdict(url, rules):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+        host, rest = rest[:cut], rest[cut:]
+        path = rest[:min([rest.find(c) for c in "?#" if c in rest], default=len(rest))]
+        host = "".join(c.lower() if c.isascii() else c for c in host)
+    fit = [(len(h + p), len(h), v == "block", h + p, v) for v, h, p in rules
+           if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fit) if fit else (0, 0, 0, None, "allow")
+    return host, path, best[3], best[4]
+
+
+def test_verdicts_equal_a_model(spark):
+    rng = random.Random(3)
+    labels, steps = ["a", "b", "ab", "net"], ["", "/", "/x", "/x/", "/x/y", "/xy", "/é"]
+    host = lambda n: ".".join(rng.choice(labels) for _ in range(rng.randrange(1, n)))
+    rules = list({(h, p): (rng.choice(["block", "allow"]), h, p) for h, p in (
+        (host(4), rng.choice(steps)) for _ in range(40))}.values())
+    urls = [f"{rng.choice(['http', 'x'])}://{host(6)}{rng.choice(steps)}{rng.choice(['', '?q=/x', '#/x', 'z'])}"
+            for _ in range(500)]
+    urls += [None, "", "net/x", "://", "http://", "HTTP://A.Net/x", "http://a.net:80/x", "http://net?x://b/x",
+             "http://a\nb.net/x\ny", "http://net./", "http://" + "a." * 200 + "net/x"] + ["http://hot.a.net/x"] * 300
+    rows = list(enumerate(urls)) + [(None, "http://net/x"), (3, urls[3])]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns(
+        {"key": F.lit(1), "row": F.lit(2), "rule": F.lit("clash")})
+    got = U.judged(pages, U.rule_table(spark, rules)).collect()
+    want = [(i, *model_verdict(u, rules)) for i, u in rows]
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want))
+    assert U.judged(pages.limit(0), U.rule_table(spark, rules)).count() == 0
+
+
+def test_filter_runs_no_python(spark, plan):
+    pages = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string").select("*")
+    text = plan(U.judged(pages, U.rule_table(spark, queries.URL_RULES)))
+    assert "Python" not in text and "Arrow" not in text and "CartesianProduct" not in text
+
+
+def test_schema_problems():
+    schema = queries.TOOLS["lookup"]
+    assert C.problems({"query": "q", "limit": 3}, schema) == []
+    assert C.problems({"query": 1, "limit": 0, "x": 1}, schema) == [
+        "$.limit: below minimum", "$.query: not string", "$.x: not known"]
+    assert C.problems({"limit": True}, schema) == ["$.query: missing", "$.limit: not integer"]
+    assert C.problems([], schema) == ["$: not object"]
+    assert C.problems([1, "a"], {"type": "array", "items": {"type": "integer"}}) == ["$[1]: not integer"]
+
+
+@pytest.mark.parametrize("text", ["", None, "{", "NaN", '{"a":1,"a":2}', "[" * 100_000, "Infinity"])
+def test_bad_json_is_refused(text):
+    with pytest.raises((ValueError, RecursionError)):
+        C.canonical(C.parsed(text))
+
+
+def test_canonical_json():
+    assert C.canonical(C.parsed('{"b": [1.0, "é", null], "a": {"d": true, "c": 1e3}}')) == \
+        '{"a":{"c":1000.0,"d":true},"b":[1.0,"é",null]}'
+
+
+MESSAGES = ("conv_id long, turn long, calls array<struct<id:string,name:string,arguments:string>>, "
+            "result_of string, text string")
+
+
+def call(i, name="note", **arguments):
+    return (i, name, json.dumps({"text": "t", **arguments}))
+
+
+def test_links_states_and_order(spark):
+    ref = lambda i: {"$ref": i}
+    rows = [
+        (1, 0, [call("a"), call("b", after=ref("a"))], None, None),
+        (1, 1, None, "a", "result a"), (1, 2, None, "a", "again"), (1, 3, None, "zz", "nobody called"),
+        (1, 4, [call("a"), call("c", level="none"), call("d", after=ref("none"))], None, None),
+        (1, 5, [("e", "note", "{"), (None, "note", "{}"), ("g", "unknown", "{}")], None, None),
+        (2, 0, None, "late", "its call comes later"), (2, 5, [call("late", after=ref("later"))], None, None),
+        (2, 9, [call("later")], None, None),
+        (3, 0, [call("x", after=ref("y")), call("y", after=ref("x"))], None, None), (3, 1, None, "y", "r"),
+        (None, None, [call("n")], None, None), (None, 1, None, "n", None), (4, 0, None, None, "plain"),
+    ]
+    frame = spark.createDataFrame(rows, MESSAGES).withColumn("kind", F.lit(1))
+    got = C.linked(frame, queries.TOOLS).collect()
+    state = {(r.conv_id, r.turn, r.kind, r.call_id): r.status for r in got}
+    assert state == {
+        (1, 0, "call", "a"): "ok", (1, 0, "call", "b"): "no_result", (1, 1, "result", "a"): "ok",
+        (1, 2, "result", "a"): "duplicate", (1, 3, "result", "zz"): "no_call", (1, 4, "call", "a"): "duplicate",
+        (1, 4, "call", "c"): "invalid", (1, 4, "call", "d"): "unknown_ref", (1, 5, "call", "e"): "invalid",
+        (1, 5, "call", None): "no_id", (1, 5, "call", "g"): "invalid", (2, 0, "result", "late"): "ok",
+        (2, 5, "call", "late"): "ok", (2, 9, "call", "later"): "no_result", (3, 0, "call", "x"): "cyclic",
+        (3, 0, "call", "y"): "cyclic", (3, 1, "result", "y"): "cyclic", (None, None, "call", "n"): "ok",
+        (None, 1, "result", "n"): "ok"}
+    second = sorted((r for r in got if r.conv_id == 2), key=lambda r: (r.order_turn, r.order_level, r.turn))
+    assert [r.call_id + r.kind for r in second] == ["latercall", "latecall", "lateresult"]
+    for r in got:
+        body = json.loads(r.record)
+        assert body["id"] == r.call_id and r.record == C.canonical(body)
+    assert C.linked(frame.limit(0), queries.TOOLS).count() == 0
+
+
+def test_order_is_topological(spark):
+    rng = random.Random(9)
+    nodes = [(n, n) for n in range(60)]
+    place = list(range(60))
+    rng.shuffle(place)
+    edges = [(a, b) for a, b in ((rng.randrange(60), rng.randrange(60)) for _ in range(80)) if place[a] < place[b]]
+    got = C.ordered(spark.createDataFrame(nodes, "node long, place long"),
+                    spark.createDataFrame(edges, "first long, then long")).collect()
+    key = {r.node: (r.ready, r.level, r.node) for r in got}
+    assert len(got) == 60 and not any(r.cyclic for r in got)
+    assert all(key[a] < key[b] for a, b in edges)
+
+
+def model_rake(cells, targets, sweeps=100):
+    w = {c: t / sum(cells.values()) for c, t in cells.items()}
+    for _ in range(sweeps):
+        for k, target in enumerate(targets):
+            have = defaultdict(float)
+            for c, v in w.items():
+                have[c[k]] += v
+            w = {c: v * target[c[k]] / have[c[k]] for c, v in w.items()}
+    return w
+
+
+def test_raking_equals_a_model(spark):
+    rng = random.Random(2)
+    cells = {(f"s{a}", f"l{b}", f"t{c}"): rng.randrange(1, 100) for a in range(4) for b in range(3) for c in range(2)}
+    share = lambda names: {n: (k + 1) / sum(range(1, len(names) + 1)) for k, n in enumerate(names)}
+    targets = [share([f"s{a}" for a in range(4)]), share(["l0", "l1", "l2"]), share(["t0", "t1"])]
+    frame = spark.createDataFrame([(*c, t) for c, t in cells.items()], "source string, lang string, topic string, tokens long")
+    tables = {k: spark.createDataFrame(list(t.items()), f"{k} string, share double") for k, t in zip(M.KEYS, targets)}
+    raked = M.rake(frame, tables, sweeps=30, close=1e-7)
+    want = model_rake(cells, targets)
+    assert all(abs(r.weight - want[(r.source, r.lang, r.topic)]) < 1e-5 for r in raked.collect())
+    final = M.probabilities(raked, 0.4).collect()
+    assert sum(r.tokens * r.probability for r in final) == pytest.approx(0.4 * sum(cells.values()))
+    assert max(r.probability for r in final) <= 1
+    rates = {(r.source, r.lang, r.topic): r.probability * r.tokens / want[(r.source, r.lang, r.topic)]
+             for r in final if r.probability < 1}
+    assert max(rates.values()) == pytest.approx(min(rates.values()), rel=1e-3)
+
+
+def test_sample_of_rows(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["alpha", "betas", "gamma"]) for _ in range(20)), "big" if i % 3 else f"s{i % 7}",
+             rng.choice(["en", "de", None])) for i in range(900)]
+    rows += [(1000, None, None, None), (1001, "", "big", "en"), (1002, "w " * 5000, "s1", "de"), rows[0], (None, "ab", "big", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").withColumn("topic", F.lit(1))
+    got = M.mixed(docs).collect()
+    assert len(got) == len(rows)
+    assert all(r.n_tokens == len((t or "").split()) for r, (t,) in zip(
+        sorted(got, key=lambda r: (r.doc_id is None, r.doc_id or 0)),
+        [(x[1],) for x in sorted(rows, key=lambda x: (x[0] is None, x[0] or 0))]))
+    assert {(r.source, r.lang) for r in got} == {(s, g) for _, _, s, g in rows}
+    total = sum(r.n_tokens for r in got)
+    assert 0.6 < sum(r.n_tokens for r in got if r.kept) / total < 0.9
+    kept = M.keep_sample(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in got if r.kept)
+    assert M.mixed(docs.limit(0)).count() == 0
+
+
+def test_pipeline_stage_by_stage(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    before, names = docs.count(), []
+    for name, step in corpus_pipeline.STAGES:
+        out = str(tmp_path / str(len(names)))
+        made = step(spark, docs, SF_DIR)
+        if len(names) < len(corpus_pipeline.STAGES) - 1:
+            assert made.columns == docs.columns
+        made.write.parquet(out)
+        docs, now = spark.read.parquet(out), spark.read.parquet(out).count()
+        assert 0 < now <= before and (now < before) == (name not in ("byte-level BPE",)) or name == "n-gram Jaccard join"
+        before = now
+        names.append(name)
+    assert docs.where("size(ids) = 0").count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_and_its_twin(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"create view {t} as select * from '{SF_DIR}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, SF_DIR)
+    cur = con.execute(queries.ORACLES[name])
+    columns = [d[0] for d in cur.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert normal(df.collect(), df.columns) == normal(cur.fetchall(), columns)
+
+
+def test_calls_of_the_given_conversations(spark):
+    rows = queries.op5_tool_calls(spark, SF_DIR)
+    text = spark.read.parquet(f"{SF_DIR}/conversations.parquet")
+    assert rows.where("kind = 'call'").count() == text.where("role = 'assistant'").count()
+    assert {"ok", "invalid"} <= {r.status for r in rows.select("status").distinct().collect()}
+    assert np.all([json.loads(r.record)["id"] for r in rows.select("record").collect()])
+
+
+def test_entry_works_without_these_operators(tmp_path):
+    root = Path(__file__).parents[2]
+    for part in root.iterdir():
+        if part.name not in ("newsloom", "corpus_pipeline.py") and not part.name.startswith("."):
+            (tmp_path / part.name).symlink_to(part)
+    (tmp_path / "newsloom").mkdir()
+    for part in (root / "newsloom").iterdir():
+        if part.name != "llm":
+            (tmp_path / "newsloom" / part.name).symlink_to(part)
+    code = (f"import sys; sys.path.insert(0, {str(tmp_path)!r}); import runpy; "
+            f"m = runpy.run_path({str(tmp_path / 'entry.py')!r}); q = m['queries'](); "
+            "assert 'daily_run' in q and not [k for k in q if k.startswith('op') or k == 'pipeline'], q")
+    (tmp_path / "entry.py").write_text((root / "__spark_entry__.py").read_text())
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path)
