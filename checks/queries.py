@@ -1047,3 +1047,29 @@ from both_runs group by run, mkt""")
 def stream_new_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.read_log(spark, _run_twice(spark, sf_dir), "market_stats").select(
         _load_number().alias("run"), "mkt", "total_trending", "built", "inserted")
+
+
+_OF_RUNS = """(select 0 as run, mkt, url, pos, floor(pos / 20) as rid, built from run1
+                union all select 1, mkt, url, pos, floor(pos / 20), built from run2)"""
+
+
+@check("run_article_stats", f"""
+with {_RUN}
+select run, regexp_extract(url, '://([^/?#]*)', 1) as provider, count(*) filter (built) as successful,
+       count(*) filter (not built) as failed, count(*) as attempts
+from {_OF_RUNS} group by 1, 2
+union all
+select run, null, count(*) filter (built), count(*) filter (not built), count(*) from {_OF_RUNS} group by run""")
+def run_article_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.read_log(spark, _run_twice(spark, sf_dir), "article_stats").select(
+        _load_number().alias("run"), "provider", "successful", "failed", "attempts")
+
+
+@check("run_failed_responses", f"""
+with {_RUN}
+select market_ord % 2 as run, mkt, count(*) as items, min(case when {_BAD} then pos % 20 end) as first_bad,
+       'bad_item' as reason
+from pool group by market_ord % 2, mkt, floor(pos / 20) having bool_or({_BAD})""")
+def run_failed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.read_log(spark, _run_twice(spark, sf_dir), "failed_responses").select(
+        _load_number().alias("run"), "mkt", "items", "first_bad", "reason")

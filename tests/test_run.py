@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 
 from newsloom.config import Settings
+from newsloom.sources.registry import Source
 from newsloom.sources.tables import scan_articles
 from newsloom.streaming.daily_run import daily_run, read_log
 
@@ -102,3 +103,31 @@ def test_a_backlog_may_be_split_into_loads(site):
     site.run(files_per_load=1)
     assert site.stored() == ["a", "b", "c"]
     assert site.log("run_summary").count() == 3
+
+
+def test_a_run_reports_on_sources_requests_and_what_it_lost(spark, site, tmp_path):
+    for name in "abc":
+        site.page(name, html())
+    site.land("en-GB", "1", ("a", "A"))
+    site.land("de-DE", "1", ("b", "B"))
+    site.land("xx-XX", "1", ("c", "C"))
+    (tmp_path / "landing" / "mkt=en-GB" / "2.json").write_text('{"value": [{"name": "cut')
+    bad = tmp_path / "landing" / "mkt=de-DE" / "2.json"
+    bad.write_text(json.dumps({"value": [{"name": "N", "url": "https://h.example.com/c"}]}))
+    item = ("C", "https://h.example.com/c", "D", RUN_TS, "P", "GB", None, "en", "Feed", "en-GB", "r", 0)
+    kinds = ("title string, url string, description string, date_published timestamp, provider string, "
+             "origin_country string, image_url string, language string, source_api string, mkt string, "
+             "response string, pos int")
+    site.run(
+        more_sources=lambda s: [Source("Feed", s.createDataFrame([item], kinds), ("en-GB",), lambda rows: rows)],
+        attempts=lambda s: s.createDataFrame([("basic", 200), ("basic", 403)], "method string, status int"))
+    assert site.stored() == ["a", "b", "c"]
+    assert {(r.mkt, r["items"], r.first_bad, r.reason) for r in site.log("failed_responses").collect()} == {
+        ("xx-XX", 1, None, "unknown_market"), ("en-GB", 0, None, "corrupt"), ("de-DE", 1, 0, "bad_item")}
+    assert {(r.source_api, r.mkt, r.inserted) for r in site.log("market_stats").collect()} == {
+        ("BingNewsSource", "en-GB", 1), ("BingNewsSource", "de-DE", 1), ("Feed", "en-GB", 1)}
+    assert [(r.provider, r.successful) for r in site.log("article_stats").where("not is_total").collect()] == [
+        ("h.example.com", 3)]
+    assert site.log("request_summary").first().success_rate_text == "50.00%"
+    assert {(r.status, r.share) for r in site.log("status_breakdown").collect()} == {(200, 0.5), (403, 0.5)}
+    assert site.log("status_overall").count() == 2
