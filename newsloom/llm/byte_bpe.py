@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, types as T
 
 from newsloom.llm.texts import slices
 
-STATES = 250_000     # states held, some 150 MB
-PIECES = 400_000     # encoded pieces held, some 80 MB
+STATES = 200_000     # states held, some 80 MB
+PIECES = 300_000     # encoded pieces held, some 60 MB
 LONG_PIECE = 4096    # bytes; longer pieces give out tokens while they are read
 CHUNK = 8192         # ids decoded at once
 NONE = -1            # no token
@@ -46,18 +46,31 @@ class Transducer:
     def __init__(self, names: list[bytes]):
         self.names = names
         self.ids = {name: k for k, name in enumerate(names)}
-        self.heads = {name[:k]: NONE for name in names for k in range(1, len(name) + 1)} | self.ids
+        # Beginnings of tokens, numbered from 0 for the empty one: the next one by a byte, the
+        # token that is spelled out there, and the length.
+        self.child: dict[int, int] = {}
+        self.spelled, self.depth = [NONE], [0]
+        for token, name in enumerate(names):
+            at = 0
+            for byte in name:
+                key = at << 8 | byte
+                at = self.child.get(key)
+                if at is None:
+                    at = self.child[key] = len(self.spelled)
+                    self.spelled.append(NONE)
+                    self.depth.append(self.depth[key >> 8] + 1)
+            self.spelled[at] = token
         self.halves: dict[int, tuple[int, int]] = {}
         self._reset()
 
     def _reset(self) -> None:
-        # A state's items lie flat: spelled, before, spelled, before ... A step goes from
+        # A state's items lie flat: beginning, token before, and so on. A step goes from
         # state << 8 | byte to state << BITS | last token. Plain numbers keep the tables small.
         self.items: list[tuple] = []
         self.steps: dict[int, int] = {}
         self.numbers: dict[tuple, int] = {}
         self.stable: dict[int, bool] = {}
-        self.start = self._number((b"", NONE))
+        self.start = self._number((0, NONE))
 
     def _number(self, items: tuple) -> int:
         found = self.numbers.get(items)
@@ -106,16 +119,16 @@ class Transducer:
         return found
 
     def _step(self, state: int, byte: int) -> int:
-        last, alive, more, own = NONE, [], bytes((byte,)), self.items[state]
-        for spelled, before in zip(own[::2], own[1::2]):
-            spelled += more
-            token = self.heads.get(spelled)
-            if token is None:
+        last, alive, own = NONE, [], self.items[state]
+        for at, before in zip(own[::2], own[1::2]):
+            at = self.child.get(at << 8 | byte)
+            if at is None:
                 continue
-            alive += (spelled, before)
+            alive += (at, before)
+            token = self.spelled[at]
             if last == NONE and token != NONE and (before == NONE or self.is_stable(before, token)):
                 last = token
-        made = self.steps[state << 8 | byte] = self._number((*alive, b"", last)) << BITS | last
+        made = self.steps[state << 8 | byte] = self._number((*alive, 0, last)) << BITS | last
         return made
 
     def encode(self, piece: bytes) -> list[int]:
@@ -155,7 +168,7 @@ class Transducer:
                     state = made >> BITS
                     lasts.append(made & LAST)
                 if len(lasts) >= LONG_PIECE:  # where do all segmentations still alive meet?
-                    ends = {len(lasts) - len(spelled) for spelled in self.items[state][::2]}
+                    ends = {len(lasts) - self.depth[at] for at in self.items[state][::2]}
                     while len(ends) > 1:
                         most = max(ends)
                         ends.remove(most)
@@ -205,18 +218,22 @@ class Codec:
     def __init__(self, names: list[bytes], pattern: str):
         self.transducer = Transducer(names)
         self.split = regex.compile(pattern).findall
+        # Encoded pieces, those met lately and those before them: common ones stay.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encoded(self, piece: str) -> bytes:
-        ids = self.transducer.encode(piece.encode())
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.transducer.encode(piece.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
-            if len(self.known) >= PIECES:
-                self.known.clear()
             self.known[piece] = packed
         return packed
 
     def encode(self, text: str) -> bytes:
+        if len(self.known) >= PIECES // 2:
+            self.known, self.older = {}, self.known
         known, encoded = self.known.get, self._encoded
         return b"".join([known(p) or encoded(p) for p in self.split(text)])
 

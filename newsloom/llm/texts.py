@@ -34,6 +34,7 @@ def slices(batch: pa.RecordBatch, text: int = 1) -> Iterator[pa.RecordBatch]:
     for i, n in enumerate(size.tolist()):
         if held and held + n > SLICE_BYTES:
             yield batch.slice(start, i - start)
+            pa.default_memory_pool().release_unused()  # workers live on; their pools should not
             start, held = i, 0
         held += n
     if start < batch.num_rows:
