@@ -39,7 +39,8 @@ NEAREST = (1, 32)        # leaders that a class is compared with, round by round
 LADDER = np.array([1, 2, 3, 4, 6, 8])
 VERIFY_COST = 20.0       # of a candidate, in units of one posting read
 BITMAP = 8               # words of 64 bits in a class's parity bitmap
-BROADCAST_ROWS = 1 << 21  # 8-byte ids: 16 MB
+WIDE = 32                # and in the one for long texts, which pairs are tested with
+BROADCAST_ROWS = 1 << 20  # 8-byte ids and 16-byte names: 24 MB
 
 POSTING = np.dtype([("token", "<u8"), ("hi", "<u8"), ("lo", "<u8"), ("n", "<i4"), ("pos", "<i4"),
                     ("ell", "u1"), ("salts", "<u2")])
@@ -53,14 +54,14 @@ def name_of(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
 
-def parity(shingles: np.ndarray) -> np.ndarray:
+def parity(shingles: np.ndarray, size: int = BITMAP) -> np.ndarray:
     """For each bit of the bitmap whether an odd number of shingles falls on it.
 
     Bitmaps of two sets differ in no more bits than the sets in shingles, so a pair whose
     bitmaps differ in too many cannot be similar (bitmap filter, Sandes et al. 2020).
     """
-    bit = (shingles >> np.uint64(40)).astype(np.int64) % (64 * BITMAP)
-    odd = np.bincount(bit, minlength=64 * BITMAP) & 1
+    bit = (shingles >> np.uint64(40)).astype(np.int64) % (64 * size)
+    odd = np.bincount(bit, minlength=64 * size) & 1
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
@@ -74,7 +75,7 @@ def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     schema = T.StructType([
         T.StructField("id", kind), T.StructField("sig", T.BinaryType()),
         T.StructField("n", T.IntegerType()), *(T.StructField(b, T.LongType()) for b in BITS),
-        T.StructField("token", T.LongType()), T.StructField("seen", T.IntegerType())])
+        T.StructField("wide", T.ArrayType(T.LongType())), T.StructField("token", T.LongType()), T.StructField("seen", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -88,24 +89,27 @@ def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             names.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(k, ids.type), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()),
-                 *(pa.nulls(k, pa.int64()) for _ in BITS), pa.array(tokens), pa.array(seen.astype(np.int32))], names=schema.names)
+                 *(pa.nulls(k, pa.int64()) for _ in BITS), pa.nulls(k, pa.list_(pa.int64())), pa.array(tokens), pa.array(seen.astype(np.int32))], names=schema.names)
 
         ids = None
         for batch in batches:
             for part in slices(batch):
-                ids, sigs, sizes, maps = part.column(0), [], [], []
+                ids, sigs, sizes, maps, wide = part.column(0), [], [], [], []
                 for s in shingle_sets(part.column(1)):
                     sig = name_of(s)
                     sigs.append(sig or b"")
                     sizes.append(len(s))
                     maps.append(parity(s))
+                    wide.append(parity(s, WIDE))
                     if sig and sig not in names:
                         names.add(sig)
                         held.append(s)
                 k = len(sigs)
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()),
-                     *(pa.array(np.ascontiguousarray(b)) for b in np.array(maps).T), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=schema.names)
+                     *(pa.array(np.ascontiguousarray(b)) for b in np.array(maps).T),
+                     pa.ListArray.from_arrays(pa.array(np.arange(k + 1, dtype=np.int32) * WIDE),
+                                              pa.array(np.concatenate(wide))), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=schema.names)
                 if sum(map(len, held)) > WINDOW:
                     yield repeated(ids)
         if held:
@@ -253,6 +257,16 @@ def _near(a: str, b: str, percent: int):
     return apart <= F.col(f"{a}_n") + F.col(f"{b}_n") - 2 * _need(f"{a}_n", f"{b}_n", percent)
 
 
+def _told_apart(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the wide bitmaps allow too; those of 512 bits say little of long texts."""
+    apart = F.expr("aggregate(zip_with(a_wide, b_wide, (x, y) -> bit_count(x ^ y)), 0, (s, v) -> s + v)")
+    for end in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("sig").alias(end), F.col("n").alias(f"{end}_n"),
+                                          F.col("wide").alias(f"{end}_wide")), end)
+    return pairs.where(apart <= F.col("a_n") + F.col("b_n") - 2 * _need("a_n", "b_n", percent)).drop(
+        "a_n", "b_n", "a_wide", "b_wide")
+
+
 def _end(classes: DataFrame, end: str) -> DataFrame:
     return classes.select(F.col("sig").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in ("n", *BITS)))
 
@@ -276,9 +290,10 @@ def star_pairs(posts: DataFrame, classes: DataFrame, roots: DataFrame | None, ne
             pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
         pairs = pairs.where("coalesce(a_root, a) != coalesce(b_root, b)").select("a", "b", "count")
     most = Window.partitionBy("b").orderBy(F.desc("count"), "a")
+    near = pairs.join(_end(classes, "a"), "a").join(_end(classes, "b"), "b").where(
+        _fits("a_n", "b_n", percent) & _near("a", "b", percent)).select("a", "b", "count")
     return (
-        pairs.join(_end(classes, "a"), "a").join(_end(classes, "b"), "b")
-        .where(_fits("a_n", "b_n", percent) & _near("a", "b", percent)).select("a", "b", "count")
+        _told_apart(near, classes, percent)
         .withColumn("k", F.row_number().over(most)).where(F.col("k") <= nearest)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
@@ -313,11 +328,12 @@ def cross_pairs(posts: DataFrame, classes: DataFrame, roots: DataFrame, percent:
         & ((F.col("b_root") == F.col("main")) | (F.col("a_sig") < F.col("b_sig")))
         & _fits("a_n", "b_n", percent) & _near("a", "b", percent)
         & (F.col("a_n") - F.col("a_pos") + ell > need) & (F.col("b_n") - F.col("b_pos") + ell > need))
-    return (
+    pairs = (
         met.groupBy(F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b"))
         .agg(F.count("*").alias("matches"), F.min(ell).alias("ell"))
         .where("matches >= ell").select("a", "b")
     )
+    return _told_apart(pairs, classes, percent)
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int,
@@ -332,7 +348,9 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int
     wanted = stage(classes.join(ends, "sig").select("sig", F.col("least").alias(id_col)))
     ids = wanted.select(id_col).where(F.col(id_col).isNotNull()).distinct()
     fixed = isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    if fixed and ids.count() <= BROADCAST_ROWS:
+    few = fixed and wanted.count() <= BROADCAST_ROWS
+    names = wanted.select("sig")
+    if few:
         ids = F.broadcast(ids)
     texts = docs.select(id_col, text_col)
     read = texts.where(F.col(id_col).isNotNull()).join(ids, id_col, "left_semi")
@@ -348,8 +366,8 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int
                      pa.array([s.tobytes() for s in own], pa.binary())], names=["sig", "shingles"])
 
     found = read.select(id_col, text_col).mapInArrow(sets, "sig binary, shingles binary")
-    found = stage(found.join(wanted.select("sig"), "sig", "left_semi")
-                  .groupBy("sig").agg(F.first("shingles").alias("shingles")))
+    # Rows that repeat an id or have none may bring a set twice; the links are made distinct.
+    found = stage(found.join(F.broadcast(names) if few else names, "sig", "left_semi"))
 
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -363,7 +381,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int
     return (
         pairs.join(found.select(F.col("sig").alias("a"), F.col("shingles").alias("x")), "a")
         .join(found.select(F.col("sig").alias("b"), F.col("shingles").alias("y")), "b")
-        .where(similar("x", "y")).select("a", "b")
+        .where(similar("x", "y")).select("a", "b").distinct()
     )
 
 
@@ -379,7 +397,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     marks = stage(outline(docs, id_col, text_col))
     rows = marks.where("sig is not null").select("id", "sig", "n")
     classes = stage(marks.where("sig is not null and n > 0").groupBy("sig").agg(
-        F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("n", *BITS))))
+        F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("n", *BITS, "wide"))))
     hot = hot_shingles(marks.where("token is not null").select("token", "seen"))
     total = rows.where("n > 0").agg(F.sum("n")).first()[0] or 0
     buckets = max(docs.sparkSession.sparkContext.defaultParallelism * 4,
