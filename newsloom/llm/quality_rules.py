@@ -15,9 +15,12 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from newsloom.llm.texts import mix, slices, words
 
+# The limits of MassiveText's repetition filter (Rae et al. 2021, "Gopher", table A1).
 # Greatest share of the text's word characters in repeated windows of so many words.
-COVERAGE = {5: 0.30, 8: 0.25, 12: 0.20}
-LINE_COVERAGE = 0.30   # greatest share of word characters in lines equal to an earlier one
+COVERAGE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+LINE_COVERAGE = 0.20   # greatest share of word characters in lines equal to an earlier one
+LINE_SHARE = 0.30      # greatest share of such lines among the lines with a word
+MEASURED = (*COVERAGE, 12)   # windows of 12 have no published limit and are only reported
 MIN_WORDS = 10
 REPEAT_PERCENT = 20    # greatest share of words in repeated windows of five
 SYMBOLS = b"#*$%&|<>"
@@ -89,12 +92,12 @@ def measures(texts: pa.Array) -> dict[str, np.ndarray]:
     back = powers(_INVERSE, len(ids))
     out = {"n_words": np.diff(begins), "word_chars": _total(_LEAD[data], ends),
            "n_symbols": _total(_SYMBOL[data], ends)}
-    for n in COVERAGE:
+    for n in MEASURED:
         mark = repeated_words(ids, begins, sums, back, n)
         if n == 5:
             out["n_repeat_words"] = _total(mark, begins)
         out[f"chars_{n}"] = _total(np.where(mark, chars, 0), begins)
-    lines, inside = [], []
+    lines, inside, filled = [], [], []
     for t in texts.to_pylist():
         seen: set[str] = set()
         twice = cover = 0
@@ -108,22 +111,25 @@ def measures(texts: pa.Array) -> dict[str, np.ndarray]:
                     seen.add(line)
         lines.append(twice)
         inside.append(cover)
-    return out | {"n_dup_lines": np.array(lines, np.int64), "line_chars": np.array(inside, np.int64)}
+        filled.append(max(len(seen) + twice, 1))
+    return out | {"n_dup_lines": np.array(lines, np.int64), "line_chars": np.array(inside, np.int64),
+                  "n_lines": np.array(filled, np.int64)}
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts, coverages and verdicts of every row.
 
     ``base_failed``: fewer than MIN_WORDS words, or too many words in repeated windows of five.
-    ``kept``: not that, and every coverage within its limit. Null and empty texts fail.
+    ``kept``: not that, and every coverage and the share of repeated lines within its limit.
+    Null and empty texts fail.
     """
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     schema = T.StructType(
         [T.StructField(id_col, docs.schema[id_col].dataType)]
         + [T.StructField(c, T.LongType()) for c in counts]
         + [T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType())]
-        + [T.StructField(f"coverage_{n}", T.DoubleType()) for n in COVERAGE]
-        + [T.StructField("coverage_lines", T.DoubleType())])
+        + [T.StructField(f"coverage_{n}", T.DoubleType()) for n in MEASURED]
+        + [T.StructField("coverage_lines", T.DoubleType()), T.StructField("share_dup_lines", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,12 +137,13 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 m = measures(part.column(1))
                 bad = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > REPEAT_PERCENT * m["n_words"])
                 whole = np.maximum(m["word_chars"], 1)
-                cover = [m[f"chars_{n}"] / whole for n in COVERAGE] + [m["line_chars"] / whole]
+                cover = {n: m[f"chars_{n}"] / whole for n in MEASURED}
+                cover |= {"lines": m["line_chars"] / whole, "dup_lines": m["n_dup_lines"] / m["n_lines"]}
                 kept = ~bad
-                for c, most in zip(cover, [*COVERAGE.values(), LINE_COVERAGE]):
-                    kept &= c <= most
+                for n, most in (COVERAGE | {"lines": LINE_COVERAGE, "dup_lines": LINE_SHARE}).items():
+                    kept &= cover[n] <= most
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *(pa.array(m[c]) for c in counts), pa.array(bad), pa.array(kept),
-                     *map(pa.array, cover)], names=schema.names)
+                     *map(pa.array, cover.values())], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)

@@ -75,6 +75,20 @@ def test_coverage_drops_text_that_repeats_long_passages(spark):
     assert got[2].coverage_12 > 0.05 and got[3].coverage_lines > 0.3 and not got[3].kept
 
 
+def test_limits_drop_what_the_base_rule_keeps(spark):
+    rng = random.Random(7)
+    passage, rest = prose(rng, n=20), [prose(rng, n=60) for _ in range(6)]
+    rows = [(k, " ".join(rest[k:k + 2])) for k in range(4)]
+    rows.append((10, " ".join([*rest[:2], passage, *rest[2:4], passage])))
+    rows.append((11, "\n".join([rest[0], rest[1], "aa bb", "aa bb", "aa bb"])))  # short lines, no window of five
+    got = {r.doc_id: r for r in R.quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [k for k in got if not got[k].kept] == [10, 11]
+    assert got[10].coverage_10 > 0.1 and got[11].coverage_lines < 0.2 and got[11].share_dup_lines == 0.4
+    limits = [R.COVERAGE[n] for n in sorted(R.COVERAGE)]
+    assert limits == sorted(limits, reverse=True) and 100 * limits[0] < R.REPEAT_PERCENT
+
+
 def held(i, folds, k):
     return zlib.crc32(str(i).encode()) % folds == k
 
