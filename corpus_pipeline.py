@@ -35,7 +35,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens lean less to the largest sources, languages and topics."""
-    return keep_sample(docs).select(*COLUMNS)
+    return keep_sample(docs, fraction=None).select(*COLUMNS)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ TOOLS = {
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed(table(spark, sf_dir, "documents"))
+    return mixed(table(spark, sf_dir, "documents"), fraction=None)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

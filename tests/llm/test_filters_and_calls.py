@@ -182,6 +182,40 @@ def test_sample_of_rows(spark):
     assert M.mixed(docs.limit(0)).count() == 0
 
 
+def skewed(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["alpha", "betas"]) for _ in range(20)),
+             rng.choices(["s0", "s1", "s2"], [90, 8, 2])[0], rng.choices(["en", "de"], [85, 15])[0]) for i in range(6000)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+
+
+def test_kept_tokens_have_the_target_shares(spark):
+    got = M.mixed(skewed(spark), fraction=None).collect()
+    assert max(r.probability for r in got) == pytest.approx(1)
+    for key in M.KEYS:
+        have, kept = defaultdict(int), defaultdict(int)
+        for r in got:
+            have[r[key]] += r.n_tokens
+            kept[r[key]] += r.n_tokens * r.kept
+        root = {v: n ** M.TEMPER for v, n in have.items()}
+        for r in got:
+            want, own = root[r[key]] / sum(root.values()), r[f"{key}_share"]
+            assert own.target == pytest.approx(want) and own.gap == abs(own.achieved - own.target) <= M.CLOSE
+            assert kept[r[key]] / sum(kept.values()) == pytest.approx(want, abs=0.06)
+
+
+def test_missed_targets_are_reported(spark):
+    assert max(r.source_share.gap for r in M.mixed(skewed(spark)).collect()) > 0.05
+    # All of b is in y, so that b and y cannot have different shares.
+    cells = spark.createDataFrame([("=a", "=x", "=t", 50), ("=b", "=y", "=t", 50)],
+                                  "source string, lang string, topic string, tokens long")
+    share = lambda k, rows: spark.createDataFrame(rows, f"{k} string, share double")
+    targets = {"source": share("source", [("=a", 0.5), ("=b", 0.5)]), "lang": share("lang", [("=x", 0.8), ("=y", 0.2)]),
+               "topic": share("topic", [("=t", 1.0)])}
+    report = M.achieved(M.probabilities(M.rake(cells, targets), None), targets).collect()
+    assert {r.value: round(r.gap, 3) for r in report} == {"=a": 0.3, "=b": 0.3, "=x": 0.0, "=y": 0.0, "=t": 0.0}
+
+
 def test_pipeline_stage_by_stage(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     before, names = docs.count(), []
