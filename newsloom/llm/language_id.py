@@ -8,7 +8,6 @@ are parsed in step, against all languages at once.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,10 +18,9 @@ from newsloom.llm.texts import fold, slices
 
 SAMPLE_ROWS = 48       # labelled rows a language learns from
 SAMPLE_CHARS = 400     # taken of each, at a place that its hash chooses
-TOTAL_CHARS = 1 << 18  # of all languages together: bounds the automata to some 100 MB
-ALPHABET = 64          # symbols: the commonest letters, other letters, space, end
 BLOCK = 512            # symbols parsed in one run; a phrase ends at a block's end
-SPACE, OTHER, END = 0, 1, ALPHABET - 1
+SPACE, OTHER, END, LETTERS = 0, 1, 2, 3   # OTHER: letters of no language; LETTERS: the first of the others
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, list[str]]:
@@ -44,16 +42,14 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[s
 
 
 def symbol_table(texts: list[str]) -> np.ndarray:
-    """Symbol of each code point: letters by frequency, case folded; all else is space."""
-    count = Counter(c for t in texts for c in t.lower() if c.isalpha())
-    kept = [c for c, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET - 3]]
-    out = np.zeros(0x110000, np.uint8)
-    letters = np.fromiter((chr(c).isalpha() for c in range(0x30000)), bool)
-    out[:0x30000][letters] = OTHER
+    """Symbol of each code point: every letter of the texts has its own, case folded; letters
+    that they lack share one; all else is space."""
+    kept = sorted({c for t in texts for c in t.lower() if c.isalpha()})
+    out = np.where(np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool), OTHER, SPACE).astype(np.int32)
     for k, c in enumerate(kept):
         for form in (c, c.upper()):
             if len(form) == 1:
-                out[ord(form)] = k + 2
+                out[ord(form)] = k + LETTERS
     return out
 
 
@@ -65,59 +61,90 @@ def symbols(text: str, table: np.ndarray) -> np.ndarray:
     return s[keep]
 
 
-def suffix_automaton(s: list[int]) -> np.ndarray:
-    """Steps of the automaton that reads every factor of s: [state, symbol], -1 for none."""
-    size = max(2 * len(s), 2)
-    step = np.full((size, ALPHABET), -1, np.int32)
-    link, length, last, count = [-1] * size, [0] * size, 0, 1
+def suffix_automaton(s: list[int]) -> list[dict[int, int]]:
+    """Steps of the automaton that reads every factor of s: for each state {symbol: state}."""
+    step: list[dict[int, int]] = [{}]
+    link, length, last = [-1], [0], 0
     for c in s:
-        cur, count = count, count + 1
-        length[cur], p = length[last] + 1, last
-        while p >= 0 and step[p, c] < 0:
-            step[p, c] = cur
+        cur, p = len(step), last
+        step.append({})
+        length.append(length[last] + 1)
+        link.append(0)
+        while p >= 0 and c not in step[p]:
+            step[p][c] = cur
             p = link[p]
-        if p < 0:
-            link[cur] = 0
-        else:
-            q = int(step[p, c])
+        if p >= 0:
+            q = step[p][c]
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                copy, count = count, count + 1
-                length[copy], link[copy] = length[p] + 1, link[q]
-                step[copy] = step[q]
-                while p >= 0 and step[p, c] == q:
-                    step[p, c] = copy
+                copy = len(step)
+                step.append(dict(step[q]))
+                length.append(length[p] + 1)
+                link.append(link[q])
+                while p >= 0 and step[p].get(c) == q:
+                    step[p][c] = copy
                     p = link[p]
                 link[q] = link[cur] = copy
         last = cur
-    return step[:count]
+    return step
+
+
+class Steps:
+    """A table of steps by key, open addressing; at most half of its places are taken."""
+
+    def __init__(self, keys: np.ndarray, to: np.ndarray):
+        self.bits = max(int(2 * len(keys)).bit_length(), 4)
+        self.keys, self.to = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
+        at, left = self._place(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] < 0]
+            self.keys[at[free]] = keys[free]  # of several keys one stays
+            won = left[self.keys[at[left]] == keys[left]]
+            self.to[at[won]] = to[won]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _ODD) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key leads, -1 for keys without a step."""
+        at = self._place(keys)
+        found = self.keys[at]
+        out = np.where(found == keys, self.to[at], -1)
+        left = np.flatnonzero((found != keys) & (found >= 0))
+        while len(left):
+            place = (at[left] + 1) & (len(self.keys) - 1)
+            at[left], found = place, self.keys[place]
+            hit = found == keys[left]
+            out[left[hit]] = self.to[place[hit]]
+            left = left[~hit & (found >= 0)]
+        return out
 
 
 class Parser:
-    """Counts the phrases that each language needs."""
+    """Counts the phrases that each language needs. A language takes some 2 MB."""
 
     def __init__(self, learned: dict[str, list[str]]):
         self.langs = sorted(learned)
         self.table = symbol_table([t for lang in self.langs for t in learned[lang]])
-        limit = TOTAL_CHARS // max(len(self.langs), 1)
-        parts, roots, at = [], [], 0
-        for lang in self.langs:
+        self.width = int(self.table.max()) + 1 if self.langs else LETTERS
+        # From the root a symbol that the language lacks is a phrase alone, in state 0, which has no steps.
+        self.first = np.zeros((self.width, len(self.langs)), np.int32)
+        keys, to, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], 1
+        for k, lang in enumerate(self.langs):
             own = [symbols(t, self.table).tolist() for t in learned[lang]]
             # Between stretches stands END, which no text has, so that no phrase crosses.
-            step = suffix_automaton([c for t in own for c in (*t, END)][:limit])
-            # A missing step ends the phrase: go where the root goes, and say so by the sign. A
-            # symbol that the language lacks is a phrase alone, in a last state without steps.
-            step = np.vstack([step, np.full((1, ALPHABET), -1, np.int32)])
-            root = np.where(step[0] < 0, len(step) - 1, step[0]) + at
-            first, step = root, np.where(step < 0, -root - 1, step + at)
-            step[0] = first  # where no phrase has begun, none ends
-            step[:, END] = np.arange(len(step)) + at  # padding stays where it is
-            parts.append(step)
-            roots.append(at)
+            step = suffix_automaton([c for t in own for c in (*t, END)])
+            edges = np.array([(s, c, q) for s, d in enumerate(step) for c, q in d.items() if c != END],
+                             np.int64).reshape(-1, 3)
+            root = edges[:, 0] == 0
+            self.first[edges[root, 1], k] = edges[root, 2] + at
+            keys.append((edges[~root, 0] + at) * self.width + edges[~root, 1])
+            to.append((edges[~root, 2] + at).astype(np.int32))
             at += len(step)
-        self.steps = np.concatenate(parts).astype(np.int32).ravel() if parts else np.zeros(0, np.int32)
-        self.roots = np.array(roots, np.int32)
+        self.steps = Steps(np.concatenate(keys), np.concatenate(to))
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases [text, language], and symbols of each text."""
@@ -125,23 +152,23 @@ class Parser:
         sizes = np.array([len(s) for s in own], np.int64)
         blocks = -(-sizes // BLOCK)
         first = np.concatenate([[0], np.cumsum(blocks)])
-        grid = np.full((int(first[-1]), BLOCK), END, np.uint8)
+        grid = np.full((int(first[-1]), BLOCK), END, np.int32)
         for k, s in enumerate(own):
             grid[first[k]:first[k + 1]].reshape(-1)[:len(s)] = s
         out = np.zeros((len(texts), len(self.langs)), np.int64)
         fill = np.minimum(sizes.repeat(blocks) - (np.arange(first[-1]) - first[:-1].repeat(blocks)) * BLOCK, BLOCK)
         order = np.argsort(-fill, kind="stable")  # full blocks first, so that ended ones drop out
-        grid, ending = np.ascontiguousarray(grid[order].T).astype(np.int32), -fill[order]
-        state = np.repeat(self.roots[None, :], grid.shape[1], 0)
+        grid, ending = np.ascontiguousarray(grid[order].T), -fill[order]
+        state = self.first[grid[0]].astype(np.int64)
         count = np.zeros_like(state)
-        for k in range(BLOCK):
+        for k in range(1, BLOCK):
             n = int(np.searchsorted(ending, -k))  # blocks with more than k symbols
             if not n:
                 break
-            got = self.steps[state[:n] * ALPHABET + grid[k, :n, None]]
-            over = got >> 31
-            count[:n] -= over
-            state[:n] = got ^ over
+            got = self.steps((state[:n] * self.width + grid[k, :n, None]).ravel()).reshape(n, -1)
+            over = got < 0  # a missing step ends the phrase: go where the root goes
+            count[:n] += over
+            state[:n] = np.where(over, self.first[grid[k, :n]], got)
         count += 1  # the phrase that the block's end cuts
         np.add.at(out, np.repeat(np.arange(len(texts)), blocks)[order], count)
         return out, sizes

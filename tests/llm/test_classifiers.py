@@ -168,6 +168,27 @@ def test_phrases_equal_a_search_for_longest_matches():
             assert need[k, j] == phrases("".join(map(chr, s)), known)
 
 
+def test_twenty_languages_of_several_scripts():
+    rng = random.Random(12)
+    scripts = [0x61, 0x430, 0x4E00, 0x3041, 0xAC00]  # Latin, Cyrillic, Chinese, Japanese, Korean
+    langs = {}
+    for k in range(20):
+        size = 26 if k % 5 < 2 else 80
+        letters = [chr(scripts[k % 5] + i) for i in range(size)]
+        langs[f"l{k:02}"] = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 5))) for _ in range(40)]
+    text = lambda lang, n: " ".join(rng.choice(langs[lang]) for _ in range(n))
+    learned = {lang: [text(lang, 150)[:G.SAMPLE_CHARS] for _ in range(G.SAMPLE_ROWS)] for lang in langs}
+    own = G.Parser(learned)
+    texts = [text(lang, n) for lang in langs for n in (6, 12)]
+    assert own.best(texts)[0] == [lang for lang in langs for _ in range(2)]
+    letters = {c for t in texts for c in t if c.isalpha()}
+    assert len({int(own.table[ord(c)]) for c in letters}) == len(letters)
+    # The last stretch that was learned is known whole: one phrase to a block.
+    for lang, stretches in learned.items():
+        need, sizes = own.phrases([stretches[-1]])
+        assert need[0, own.langs.index(lang)] == -(-sizes[0] // G.BLOCK)
+
+
 def test_language_of_rows(spark):
     rng = random.Random(1)
     rows = [(i, prose(rng, "xx" if i % 2 else "yy"), "xx" if i % 2 else "yy") for i in range(120)]
