@@ -69,7 +69,7 @@ def tool_messages(conversations: DataFrame) -> DataFrame:
 
 
 def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linked(tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
+    return linked(tool_messages(table(spark, sf_dir, "conversations")), TOOLS, plain=True)
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -149,17 +149,20 @@ def ordered(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return still.unionByName(moved).unionByName(stuck)
 
 
-def linked(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One row for each call and result of messages (conv_id, turn, calls, result_of, text).
-
-    ``calls`` is array<struct<id, name, arguments>>. Columns: conv_id, turn, kind (call or
-    result), call_id, name, status, issues, arguments_json, order_ready, order_level, record:
-    the canonical JSON of the record. Status: ``ok``; ``invalid`` arguments; ``no_result``;
+def linked(messages: DataFrame, schemas: dict[str, dict], plain: bool = False) -> DataFrame:
+    """One row for each call and result of messages (conv_id, turn, calls, result_of, text) and,
+    with ``plain``, for each message that is neither.
+
+    ``calls`` is array<struct<id, name, arguments>>. Columns: conv_id, turn, kind (call,
+    result or message), call_id, name, status, issues, arguments_json, order_turn, order_level,
+    order_ready, order_place, record: the canonical JSON of the record. (order_ready, order_level,
+    order_place) sorts a conversation so that every record is behind those it depends on;
+    ready and place are structs of turn, row and the call's place in its message. Status: ``ok``; ``invalid`` arguments; ``no_result``;
     ``duplicate`` for another call or result of an identifier that an earlier one has;
     ``no_call`` for a result without a call; ``no_id``; ``unknown_ref`` for arguments that mention
     no call of the conversation; ``cyclic``. The first that holds, in the order cyclic, no_id,
-    duplicate, invalid, unknown_ref, no_call, no_result. Messages with neither give no row; null
-    conversations are one of their own.
+    duplicate, invalid, unknown_ref, no_call, no_result. Plain messages are ``ok``; in their record the
+    id is ``message-`` and their turn. Null conversations are one of their own.
     """
     base = messages.select("conv_id", "turn", "calls", "result_of", "text",
                            F.monotonically_increasing_id().alias("_row"))
@@ -170,6 +173,11 @@ def linked(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         "conv_id", "turn", "_row", F.lit(-1).alias("pos"), F.lit("result").alias("kind"),
         F.col("result_of").alias("call_id"), F.lit(None).cast("string").alias("name"),
         F.lit(None).cast("string").alias("arguments"), "text")
+    if plain:
+        neither = F.col("result_of").isNull() & (F.coalesce(F.size("calls"), F.lit(0)) <= 0)
+        results = results.unionByName(base.where(neither).select(
+            "conv_id", "turn", "_row", F.lit(-1).alias("pos"), F.lit("message").alias("kind"), "text"),
+            allowMissingColumns=True)
     records = stage(checked(calls, schemas).unionByName(results, allowMissingColumns=True)
                     .withColumn("conv_key", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("null"))))
     place = F.struct(F.coalesce("turn", F.lit(-1)).alias("turn"), "_row", "pos").alias("place")
@@ -189,12 +197,12 @@ def linked(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         F.max(F.when(F.col("kind") == "call", F.col("head"))).alias("call_head"),
         F.max(F.when(F.col("kind") == "result", F.col("head"))).alias("result_head"))
     rows = (
-        records.withColumn("node", F.struct("_row", "pos", "kind"))
+        records.withColumns({"node": F.struct("_row", "pos", "kind"), "place": place})
         .join(both, ["conv_key", "call_id"], "left").join(order, "node").join(lost, "node", "left")
     )
     own = F.when(F.col("kind") == "call", F.col("call_head")).otherwise(F.col("result_head"))
     status = (
-        F.when(F.col("cyclic"), "cyclic").when(F.col("call_id").isNull(), "no_id")
+        F.when(F.col("kind") == "message", "ok").when(F.col("cyclic"), "cyclic").when(F.col("call_id").isNull(), "no_id")
         .when(own != F.col("node"), "duplicate").when(F.size("issues") > 0, "invalid")
         .when(F.col("lost"), "unknown_ref")
         .when((F.col("kind") == "result") & F.col("call_head").isNull(), "no_call")
@@ -202,10 +210,11 @@ def linked(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     rows = rows.withColumn("status", status)
 
     @F.arrow_udf(T.StringType())
-    def record(kind: pa.Array, call_id: pa.Array, name: pa.Array, arguments: pa.Array, text: pa.Array,
+    def record(turn: pa.Array, kind: pa.Array, call_id: pa.Array, name: pa.Array, arguments: pa.Array, text: pa.Array,
                state: pa.Array) -> pa.Array:
         out = []
-        for k, i, n, a, t, s in zip(*(x.to_pylist() for x in (kind, call_id, name, arguments, text, state))):
+        for at, k, i, n, a, t, s in zip(*(x.to_pylist() for x in (turn, kind, call_id, name, arguments, text, state))):
+            i = f"message-{'null' if at is None else at}" if k == "message" else i
             body = {"id": i, "status": s, "type": k}
             body |= {"name": n, "arguments": json.loads(a) if a is not None else None} if k == "call" else {"content": t}
             out.append(canonical(body))
@@ -214,4 +223,5 @@ def linked(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     return rows.select(
         "conv_id", "turn", "kind", "call_id", "name", "status", "issues", "arguments_json",
         F.col("ready.turn").alias("order_turn"), F.col("level").alias("order_level"),
-        record("kind", "call_id", "name", "arguments_json", "text", "status").alias("record"))
+        F.col("ready").alias("order_ready"), F.col("place").alias("order_place"),
+        record("turn", "kind", "call_id", "name", "arguments_json", "text", "status").alias("record"))

@@ -120,6 +120,19 @@ def test_links_states_and_order(spark):
     assert C.linked(frame.limit(0), queries.TOOLS).count() == 0
 
 
+def test_calls_of_one_turn_can_be_sorted_and_plain_messages_stay(spark):
+    ref = lambda i: {"$ref": i}
+    rows = [(1, 0, None, None, "opening"), (1, 1, [call("a"), call("b", after=ref("a")), call("c", after=ref("b"))], None, None),
+            (1, 1, [call("d", after=ref("e")), call("e")], None, None), (1, 2, None, "a", "r"), (1, 3, [], None, "closing")]
+    got = C.linked(spark.createDataFrame(rows, MESSAGES).coalesce(1), queries.TOOLS, plain=True).collect()
+    got.sort(key=lambda r: (r.order_ready, r.order_level, r.order_place))
+    assert [r.call_id or r.kind for r in got] == ["message", "a", "b", "c", "e", "d", "a", "message"]
+    assert len({(r.order_ready, r.order_level, r.order_place) for r in got}) == len(got)
+    plain = [json.loads(r.record) for r in got if r.kind == "message"]
+    assert plain == [{"id": f"message-{t}", "status": "ok", "type": "message", "content": x}
+                     for t, x in ((0, "opening"), (3, "closing"))]
+
+
 def test_order_is_topological(spark):
     rng = random.Random(9)
     nodes = [(n, n) for n in range(60)]
