@@ -81,6 +81,38 @@ def failed_responses(responses: DataFrame, markets: DataFrame, on_error: str = "
     )
 
 
+def response_rows(raw: DataFrame) -> DataFrame:
+    """Responses, as ``failed_responses`` takes them, of exploded rows (mkt, response, pos, item)."""
+    rows = F.sort_array(F.collect_list(F.struct("pos", item_is_bad(F.col("item")).alias("bad"))))
+    return raw.groupBy("mkt", "response").agg(rows.alias("value")).select(
+        "mkt", "response", "value", F.lit(False).alias("corrupt"), F.col("value.bad").alias("bad"))
+
+
+def lost_rows(raw: DataFrame, items: DataFrame, markets: DataFrame) -> DataFrame:
+    """The same record for raw rows and what a normalizer made of them.
+
+    ``items`` counts the raw rows of a response that are more than its items; all of its rows if
+    its market is not among ``markets(mkt)``. Raw rows without mkt and response are counted by
+    the items.
+    """
+    keys = ["mkt", "response"]
+    took = items.select(*(F.col(k) if k in items.columns else F.lit(None).cast("string").alias(k) for k in keys))
+    came = raw if set(keys) <= set(raw.columns) else took
+    counts = came.select(*keys, F.lit(1).alias("n_raw"), F.lit(0).alias("n")).unionByName(
+        took.select(*keys, F.lit(0).alias("n_raw"), F.lit(1).alias("n")))
+    counts = counts.groupBy(*keys).agg(F.sum("n_raw").alias("n_raw"), F.sum("n").alias("n"))
+    unknown = F.col("_known").isNull()
+    known = markets.select("mkt").withColumn("_known", F.lit(True))
+    # At most as many rows as configured markets.
+    return (
+        counts.join(F.broadcast(known), "mkt", "left")
+        .where(unknown | (F.col("n_raw") > F.col("n")))
+        .select("mkt", "response", F.when(unknown, F.greatest("n_raw", "n")).otherwise(F.col("n_raw") - F.col("n"))
+                .cast("int").alias("items"), F.lit(None).cast("int").alias("first_bad"),
+                F.when(unknown, UNKNOWN_MARKET).otherwise(BAD_ITEM).alias("reason"))
+    )
+
+
 def with_item_columns(raw: DataFrame, source_api: str) -> DataFrame:
     """The item columns with their default rules, and ``is_bad``.
 

@@ -16,9 +16,8 @@ from newsloom.operators.store import quarantine, stored_before, write_articles,
 from newsloom.plans.run import plan_run
 from newsloom.session import stage, staging
 from newsloom.schemas import BUILD_LOG
-from newsloom.sources.dims import market_dim
-from newsloom.sources.news_json import LANDED, explode_response, failed_responses, read_responses
-from newsloom.sources.registry import Registry, Source, union_sources
+from newsloom.sources.news_json import LANDED, read_responses
+from newsloom.sources.registry import Registry, Source, source_failures, union_sources
 from newsloom.sources.tables import scan_pages
 
 
@@ -28,7 +27,8 @@ def process_load(responses: DataFrame, pages: DataFrame, table: str, load_id: st
                  more_sources: Iterable[Source] = (), attempts: DataFrame | None = None) -> None:
     """Build and store one load of responses (see ``read_responses``) under ``table``.
 
-    ``more_sources`` come after the landed one. Statistics of ``attempts(method, status)``
+    ``more_sources`` come after the landed one; ``on_error`` holds for those without a normalizer
+    of their own too. ``failed_responses`` records what each source lost. Statistics of ``attempts(method, status)``
     are written if it is given. Every folder written belongs to the load, so a load that
     failed half-way is simply done again: it does not see its own earlier rows and replaces
     them, with whatever the second attempt finds.
@@ -41,9 +41,9 @@ def process_load(responses: DataFrame, pages: DataFrame, table: str, load_id: st
     with staging(spark):
         landed = stage(responses)
         registry = Registry()
-        registry.register_source(source_api, explode_response(landed), settings.markets, on_error=on_error)
+        registry.register_source(source_api, landed, settings.markets, on_error=on_error)
         for source in more_sources:
-            registry.register_source(source.name, source.raw, source.markets, source.normalize)
+            registry.register_source(source.name, stage(source.raw), source.markets, source.normalize, on_error)
         items = union_sources(spark, registry)
         run = plan_run(items, pages, stored_before(spark, f"{table}/articles", load_id), run_ts,
                        settings, extractors)
@@ -52,9 +52,7 @@ def process_load(responses: DataFrame, pages: DataFrame, table: str, load_id: st
         log("build_log", run.items)
         log("errors", write_errors(run.rejected, run.items.where(F.col("outcome") == BUILT),
                                    "source_api", "mkt"))
-        log("failed_responses", failed_responses(
-            landed, market_dim(spark, settings.markets), on_error
-        ).withColumn("source_api", F.lit(source_api)))
+        log("failed_responses", source_failures(spark, registry))
         log("market_stats", telemetry.market_stats_of_run(run.items, "source_api", "mkt"))
         log("run_summary", telemetry.run_summary(run.items, run.items.where("accepted")))
         log("article_stats", telemetry.article_stats(run.items))

@@ -3,7 +3,12 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from newsloom.config import Settings
+from newsloom.schemas import RESPONSE
+from newsloom.sources.news_json import explode_response, with_item_columns, with_judgement
 from newsloom.sources.registry import Source
 from newsloom.sources.tables import scan_articles
 from newsloom.streaming.daily_run import daily_run, read_log
@@ -131,3 +136,34 @@ def test_a_run_reports_on_sources_requests_and_what_it_lost(spark, site, tmp_pat
     assert site.log("request_summary").first().success_rate_text == "50.00%"
     assert {(r.status, r.share) for r in site.log("status_breakdown").collect()} == {(200, 0.5), (403, 0.5)}
     assert site.log("status_overall").count() == 2
+
+
+@pytest.mark.parametrize("on_error, lost", [("fail_market", 2), ("quarantine_row", 1)])
+def test_every_source_records_what_it_lost(spark, site, on_error, lost):
+    good = {"name": "N", "url": "https://h.example.com/n", "description": "D", "datePublished": "2024-05-31T10:00:00Z"}
+    bad = {k: v for k, v in good.items() if k != "description"}
+    site.land("en-GB", "1", ("a", "A"))
+    site.land("xx-XX", "1", ("b", "B"))
+    rows = [("en-GB", "r1", [good], False), ("en-GB", "r2", [good, bad], False), ("xx-XX", "r3", [good], False),
+            ("en-GB", "r4", None, True)]
+    plain = [("en-GB", "p1", 0, "u"), ("en-GB", "p1", 1, None), ("xx-XX", "p2", 0, "v")]
+
+    def own(raw):
+        return with_item_columns(raw.where("link is not null").select(
+            "mkt", "response", "pos", F.lit(None).cast(RESPONSE["value"].dataType.elementType).alias("item")), "Own").drop("is_bad")
+
+    def more(s):
+        landed = s.createDataFrame(rows, T.StructType([
+            T.StructField("mkt", T.StringType()), T.StructField("response", T.StringType()), RESPONSE["value"],
+            T.StructField("corrupt", T.BooleanType())]))
+        feed = with_judgement(landed)
+        return [Source("Feed", feed, ("en-GB",)), Source("Rows", explode_response(feed), ("en-GB",)),
+                Source("Own", s.createDataFrame(plain, "mkt string, response string, pos int, link string"), ("en-GB",), own)]
+
+    site.run(on_error=on_error, more_sources=more)
+    got = {(r.source_api, r.mkt, r["items"], r.first_bad, r.reason) for r in site.log("failed_responses").collect()}
+    assert got == {
+        ("BingNewsSource", "xx-XX", 1, None, "unknown_market"), ("Feed", "en-GB", lost, 1, "bad_item"),
+        ("Feed", "xx-XX", 1, None, "unknown_market"), ("Feed", "en-GB", 0, None, "corrupt"),
+        ("Rows", "en-GB", lost, 1, "bad_item"), ("Rows", "xx-XX", 1, None, "unknown_market"),
+        ("Own", "en-GB", 1, None, "bad_item"), ("Own", "xx-XX", 1, None, "unknown_market")}
