@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsloom.llm.byte_bpe import tokenize
 from newsloom.llm.exact_dedup import keep_first
@@ -39,9 +39,11 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
+    """Token ids of each document, and whether they decode to its text."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return tokenize(docs, path).select("doc_id", "lang", "source", "ids")
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return tokenize(docs, path, decoded_col="decoded").select(
+        "doc_id", "lang", "source", "ids", same.alias("decodes_to_text"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -245,6 +245,15 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert docs.where("size(ids) = 0").count() == 0
 
 
+def test_last_stage_decodes_its_ids(spark):
+    rows = [(1, "Ein Satz, 日本 \U0001f600"), (2, ""), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit("de"), "source": F.lit("s"), "n_chars": F.lit(1)})
+    got = corpus_pipeline.token_ids(spark, docs, SF_DIR).collect()
+    assert sorted((r.doc_id, len(r.ids) > 0, r.decodes_to_text) for r in got) == [
+        (1, True, True), (2, False, True), (3, False, True)]
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_and_its_twin(spark, name):
     con = duckdb.connect()
