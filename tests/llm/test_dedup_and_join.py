@@ -171,3 +171,13 @@ def test_other_columns_may_clash_and_empty_tables_give_nothing(spark):
     for empty in (docs.limit(0),):
         assert J.jaccard_components(empty).count() == 0 == D.exact_dedup(empty).count()
         assert J.keep_one(empty).count() == 0 == D.keep_first(empty).count()
+
+
+def test_a_repeated_id_loses_only_the_text_that_is_linked(spark):
+    from newsloom.llm.jaccard_join import keep_one
+
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, long), (2, long + " end"), (2, " ".join(f"v{k}" for k in range(60))), (None, long), (3, None)]
+    got = keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.columns == ["doc_id", "text"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [rows[0], *rows[2:]]))
