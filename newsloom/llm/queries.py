@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 from newsloom.llm.byte_bpe import round_trip
 from newsloom.llm.exact_dedup import exact_dedup
+from newsloom.llm.filter_audit import filter_audit
 from newsloom.llm.jaccard_join import jaccard_components
 from newsloom.llm.language_id import language_id
 from newsloom.llm.mixing import mixed
 from newsloom.llm.quality_classifier import quality_scores
 from newsloom.llm.quality_rules import quality_rules
 from newsloom.llm.texts import table
+from newsloom.llm.token_counts import token_counts
 from newsloom.llm.tool_calls import linked
 from newsloom.llm.toxicity import toxicity
 from newsloom.llm.url_filter import judged, rule_table
@@ -92,9 +94,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_mixing, op2_toxicity, op3_exact_dedup, op4_url_filter, op5_tool_calls, op6_byte_bpe, op7_language_id,
-    op8_quality_classifier, op9_quality_rules, op10_jaccard_join)} | {"pipeline": corpus_pipeline.run}
+    op8_quality_classifier, op9_quality_rules, op10_jaccard_join, op12_filter_audit, op13_token_counts)} | {"pipeline": corpus_pipeline.run}
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 ORACLES: dict[str, str] = {
@@ -142,5 +153,44 @@ reach(x, y) as (
   select doc_id, doc_id from documents union select reach.x, edges.y from reach join edges on edges.x = reach.y)
 select d.doc_id, coalesce(n.n, 0) as n_shingles, (select min(y) from reach where reach.x = d.doc_id) as component_id
 from documents d left join n on n.doc_id = d.doc_id
+""",
+    "op12_filter_audit": r"""
+with d as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws,
+         min(doc_id) over (partition by coalesce(text, '')) as least
+  from documents),
+m as (
+  select doc_id, part,
+         case when len(ws) < 50 then 'A' else '' end || case when 100 * len(list_distinct(ws)) < 65 * len(ws) then 'B' else '' end
+         || case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) then 'C' else '' end
+         || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end || case when least < doc_id then 'E' else '' end as fails
+  from d),
+c as (
+  select part, fails, coalesce(l.quality = 1, false) as good, coalesce(l.toxic = 1, false) as toxic, count(*) as n
+  from m left join labels l on l.doc_id = m.doc_id group by all),
+f(x) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+o as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order
+  from f a join f b on b.x <> a.x join f c on c.x not in (a.x, b.x) join f d on d.x not in (a.x, b.x, c.x)
+  join f e on e.x not in (a.x, b.x, c.x, d.x)),
+s as (select filter_order, unnest(range(1, 6)) as step from o),
+r as (
+  select c.part, s.filter_order, s.step, substr(s.filter_order, s.step, 1) as own, c.n, c.good, c.toxic,
+         length(c.fails) as n_fails, contains(c.fails, substr(s.filter_order, s.step, 1)) as here,
+         length(translate(substr(s.filter_order, 1, s.step - 1), c.fails, '')) < s.step - 1 as before
+  from c cross join s),
+g as (
+  select part, filter_order, step, own,
+         sum(case when not here and not before then n else 0 end) as kept,
+         sum(case when here and not before then n else 0 end) as removed,
+         sum(case when here and before then n else 0 end) as redundant,
+         sum(case when here and n_fails = 1 then n else 0 end) as unique_fails,
+         sum(case when here and not before and good then n else 0 end) as good_lost,
+         sum(case when here and not before and toxic then n else 0 end) as toxic_lost
+  from r group by all)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) over (partition by part, own) as shapley
+from g
 """,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SLICE_BYTES = 2 << 20  # text worked on at once in a task; one longer text is a slice of its own
 SPACE = "[\\x20\\x09-\\x0D]"
+STRETCH = 1 << 20        # characters of a text worked on at once by a Python pattern
 WIDTH = 5
 # Odd multipliers of the five places of a shingle, and those of the mixing step.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -41,6 +43,19 @@ def slices(batch: pa.RecordBatch, text: int = 1) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def stretches(text: str, gap: re.Pattern) -> Iterator[str]:
+    """The text in parts of about STRETCH characters, cut where ``gap`` matches nothing wide; a
+    part goes on as long as there is no such place."""
+    at = 0
+    while len(text) - at > STRETCH:
+        found = gap.search(text, at + STRETCH)
+        if found is None:
+            break
+        yield text[at:found.start()]
+        at = found.start()
+    yield text[at:] if at else text
+
+
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Word number of every word, where each text's words begin, and the distinct words.
 
