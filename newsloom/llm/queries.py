@@ -16,6 +16,7 @@ from newsloom.llm.language_id import language_id
 from newsloom.llm.mixing import mixed
 from newsloom.llm.quality_classifier import quality_scores
 from newsloom.llm.quality_rules import quality_rules
+from newsloom.llm.spelling import spelling_variants
 from newsloom.llm.texts import table
 from newsloom.llm.token_counts import token_counts
 from newsloom.llm.tool_calls import linked
@@ -94,6 +95,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -105,7 +110,7 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_mixing, op2_toxicity, op3_exact_dedup, op4_url_filter, op5_tool_calls, op6_byte_bpe, op7_language_id,
-    op8_quality_classifier, op9_quality_rules, op10_jaccard_join, op12_filter_audit, op13_token_counts)} | {"pipeline": corpus_pipeline.run}
+    op8_quality_classifier, op9_quality_rules, op10_jaccard_join, op11_spelling_variants, op12_filter_audit, op13_token_counts)} | {"pipeline": corpus_pipeline.run}
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 ORACLES: dict[str, str] = {
@@ -153,6 +158,43 @@ reach(x, y) as (
   select doc_id, doc_id from documents union select reach.x, edges.y from reach join edges on edges.x = reach.y)
 select d.doc_id, coalesce(n.n, 0) as n_shingles, (select min(y) from reach where reach.x = d.doc_id) as component_id
 from documents d left join n on n.doc_id = d.doc_id
+""",
+    # The checksum goes over the bytes by half bytes, the low one first, with a table for 16 values.
+    "op11_spelling_variants": r"""
+with recursive runs as (
+  select coalesce(cast(doc_id as varchar), '') as id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as r
+  from documents),
+c as (select id, r, hex(encode(id || ':' || r)) as x, count(*) as n from runs where length(r) >= 7 group by all),
+t(t) as (values ([0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384,
+  4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]::bigint[])),
+h as (
+  select r, n, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(length(x)),
+           lambda i: strpos('0123456789ABCDEF', substr(x, case when i % 2 = 0 then i + 2 else i end, 1)) - 1)),
+           lambda a, b: xor(a >> 4, t.t[(xor(a, b) & 15) + 1]))) as h
+  from c cross join t),
+w as (
+  select case when h % 31 = 0 then substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) else r end as word, n
+  from h),
+v as (select word, cast(sum(n) as bigint) as n from w where length(word) >= 7 group by word having sum(n) >= 2),
+x as (select word, n, unnest(range(1, length(word) + 1)) as i from v),
+z as (select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as part from x),
+pairs as (
+  select a.word, b.word as other, b.n from z a join z b on a.part = b.part and a.i = b.i where a.word <> b.word
+  union select z.word, v.word, v.n from z join v on v.word = z.part
+  union select v.word, z.word, z.n from z join v on v.word = z.part),
+best as (
+  select word, other, n, count(*) over (partition by word) as n_near,
+         row_number() over (partition by word order by n desc, other) as k
+  from pairs),
+f as (
+  select v.word, v.n, coalesce(b.n_near, 0) as n_near, case when b.n >= 10 * v.n then b.other end as form,
+         case when b.n >= 10 * v.n then b.n end as form_n
+  from v left join best b on b.word = v.word and b.k = 1),
+up(word, root, steps) as (
+  select word, word, 0 from f union all select up.word, f.form, up.steps + 1 from up join f on f.word = up.root where f.form is not null),
+last as (select word, root, row_number() over (partition by word order by steps desc) as k from up)
+select f.word, f.form, last.root, f.n, f.n_near, f.form_n from f join last on last.word = f.word and last.k = 1
 """,
     "op12_filter_audit": r"""
 with d as (

@@ -44,7 +44,7 @@ def slices(batch: pa.RecordBatch, text: int = 1) -> Iterator[pa.RecordBatch]:
 
 
 def stretches(text: str, gap: re.Pattern) -> Iterator[str]:
-    """The text in parts of about STRETCH characters, cut where ``gap`` matches nothing wide; a
+    """The text in parts of about STRETCH characters, cut where a match of ``gap`` begins; a
     part goes on as long as there is no such place."""
     at = 0
     while len(text) - at > STRETCH:
