@@ -24,3 +24,4 @@ class Settings:
     min_content_length: int = 300
     max_content_length: int = 500_000
     require_meta_lang: bool = True
+    key_buckets: int = 32  # of the key index of a table that is new

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.contract import with_contract_issues
 from newsloom.functions.scalars import empty_to_null, utc_date
+from newsloom.operators.commits import ARTICLES, Commit
 from newsloom.operators.dedup import two_key_insert
-from newsloom.operators.joins import known_keys
+from newsloom.operators.key_index import BUCKETS, add_keys, known_in_index
 from newsloom.operators.numbering import with_position
 from newsloom.schemas import ARTICLE, QUARANTINE
 from newsloom.session import stage
-from newsloom.sources.tables import scan_articles
 
 
 def serialize(df: DataFrame) -> DataFrame:
@@ -72,33 +72,45 @@ def write_errors(rejected: DataFrame, batch: DataFrame, *within: str) -> DataFra
     )
 
 
-def write_articles(accepted: DataFrame, path: str, load_id: str) -> None:
-    """Write one load of the article table.
+def add_articles(commit: Commit, accepted: DataFrame) -> None:
+    """Add a load's articles and their keys to its commit.
 
-    A load owns its ``load_id`` folder: writing it again replaces all its days. Large days
-    are split over tasks and small ones share one (the rebalance hint lets the adaptive
-    planner do both); rows of a country lie together in a file, so that its statistics
-    prune the others.
+    Large days are split over tasks and small ones share one (the rebalance hint lets the adaptive
+    planner do both); rows of a country lie together in a file, so that its statistics prune the
+    others.
     """
-    laid_out = (
-        accepted.select(*(f.name for f in ARTICLE.fields))
+    laid_out(accepted.withColumn("load_id", F.lit(commit.load_id))).write.partitionBy("pub_date").parquet(
+        commit.folder(ARTICLES))
+    add_keys(commit, accepted)
+
+
+def laid_out(articles: DataFrame) -> DataFrame:
+    """Article rows (with ``load_id``) in the order they are stored in."""
+    return (
+        articles.select(*(f.name for f in ARTICLE.fields), "load_id")
         .withColumn("pub_date", utc_date(F.col("date_published")))
         .hint("rebalance", "pub_date")
         .sortWithinPartitions("pub_date", "origin_country")
     )
-    (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("pub_date").parquet(f"{path}/load_id={load_id}"))
 
 
-def quarantine(rejected: DataFrame, path: str, load_id: str) -> DataFrame:
-    """Write the refused rows with their reason, and return them as stored.
+def write_articles(accepted: DataFrame, path: str, load_id: str) -> None:
+    """Publish one load of the article table; written again, it takes the place of the first."""
+    commit = Commit(accepted.sparkSession, path, load_id, BUCKETS)
+    add_articles(commit, accepted)
+    commit.publish()
 
-    A row without a reason stops the write: the store requires one.
-    """
-    folder = f"{path}/load_id={load_id}"
-    names = [f.name for f in QUARANTINE.fields]
+
+def refused(rejected: DataFrame) -> DataFrame:
+    """The refused rows as they are kept, with their reason; one without a reason stops the write."""
     reason = F.coalesce("failure_reason", F.raise_error(F.lit("a refused row has no failure_reason")))
-    rejected.withColumn("failure_reason", reason).select(*names).write.mode("overwrite").parquet(folder)
+    return rejected.withColumn("failure_reason", reason).select(*(f.name for f in QUARANTINE.fields))
+
+
+def quarantine(rejected: DataFrame, path: str, load_id: str) -> DataFrame:
+    """Write the refused rows of a load to a folder of their own, and return them as stored."""
+    folder = f"{path}/load_id={load_id}"
+    refused(rejected).write.mode("overwrite").parquet(folder)
     return rejected.sparkSession.read.schema(QUARANTINE).parquet(folder)
 
 
@@ -106,14 +118,12 @@ def append_articles(batch: DataFrame, path: str, load_id: str) -> tuple[DataFram
     """Unordered append of articles (with ``arrival``): good rows are written even if
     others fail. Returns the accepted keys and the errors; an empty batch writes nothing.
     """
+    spark = batch.sparkSession
+    commit = Commit(spark, path, load_id, BUCKETS)
     staged = stage(batch)
-    stored = stored_before(batch.sparkSession, path, load_id)
-    verdicts = judge(staged, stage(known_keys(stored, staged)))
-    write_articles(verdicts.accepted, path, load_id)
+    known = known_in_index(spark, path, commit.base, staged, but=(load_id,))
+    verdicts = judge(staged, stage(known))
+    add_articles(commit, verdicts.accepted)
+    commit.publish()
     accepted = verdicts.accepted.select("arrival", "url", "title")
     return accepted, write_errors(verdicts.rejected, staged)
-
-
-def stored_before(spark, path: str, load_id: str) -> DataFrame:
-    """The table without this load, which may be a repetition."""
-    return scan_articles(spark, path).where(F.col("load_id") != load_id)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from newsloom.config import Settings
 from newsloom.operators.build import ALREADY_EXISTS, BUILT, build_items, merge_article
 from newsloom.operators.extraction import Extractors
-from newsloom.operators.joins import known_keys, stored_flag
+from newsloom.operators.joins import stored_flag
 from newsloom.operators.numbering import with_position
 from newsloom.operators.store import judge
 from newsloom.session import stage
@@ -38,16 +39,18 @@ def wanted_pages(pages: DataFrame, items: DataFrame) -> DataFrame:
     return pages.join(items.select("url").distinct(), "url", "left_semi")
 
 
-def plan_run(items: DataFrame, pages: DataFrame, stored: DataFrame, run_ts: datetime,
+def plan_run(items: DataFrame, pages: DataFrame, known_of: Callable[[DataFrame], DataFrame], run_ts: datetime,
              settings: Settings = Settings(), extractors: Extractors | None = None) -> Run:
     """Plan a run for items with the ``ARRIVAL`` columns.
 
-    History is read once, for both unique keys. All markets are one job. The reference order - markets one after another, each
-    seeing what the markets before it stored - is restored from the accepted URLs: an
-    item whose URL an earlier market stored was never tried.
+    ``known_of`` gives (kind, key) of the items' URLs and titles that are stored; it is asked once, for
+    both unique keys (see ``known_in_index`` and, for a history without an index, ``known_keys``). All
+    markets are one job. The reference order - markets one after another, each seeing what the
+    markets before it stored - is restored from the accepted URLs: an item whose URL an earlier
+    market stored was never tried.
     """
     arrived = with_position(items, *ARRIVAL, name="arrival")
-    known = stage(known_keys(stored, arrived))
+    known = stage(known_of(arrived))
     urls = known.where(F.col("kind") == "url").select(F.col("key").alias("url"))
     flagged = stage(stored_flag(arrived, urls))
     new = flagged.where(~F.col("is_stored"))

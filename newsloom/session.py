@@ -43,6 +43,12 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/newsloom-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The store that a path is in, and the path as it names it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 # The folders to delete at the end of the `staging` block that this thread is in.
 _FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
 
@@ -75,5 +81,5 @@ def staging(spark: SparkSession) -> Iterator[None]:
     finally:
         _FOLDERS.reset(token)
         for path in folders:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            fs, folder = file_system(spark, path)
+            fs.delete(folder, True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.functions.scalars import empty_to_null
+from newsloom.operators.commits import ARTICLES, Manifest, read_part
 from newsloom.operators.dedup import first_by_key
 from newsloom.schemas import ARTICLE, PAGE
 
@@ -43,9 +44,9 @@ def latest_pages(pages: DataFrame) -> DataFrame:
     return first_by_key(pages, "url", [F.col("page_id").desc()])
 
 
-def scan_articles(spark: SparkSession, path: str) -> DataFrame:
-    """The stored articles, empty where no run has stored any yet."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return spark.createDataFrame([], STORED)
-    return spark.read.schema(STORED).parquet(path)
+def scan_articles(spark: SparkSession, path: str, seen: Manifest | None = None,
+                  but: tuple[str, ...] = ()) -> DataFrame:
+    """The stored articles, as the newest manifest has them or the one given; none where nothing is
+    published. ``but`` leaves loads out."""
+    rows = read_part(spark, path, ARTICLES, STORED, seen, but)
+    return spark.createDataFrame([], STORED) if rows is None else rows

@@ -12,7 +12,9 @@ from newsloom.config import Settings
 from newsloom.operators import telemetry
 from newsloom.operators.build import BUILT
 from newsloom.operators.extraction import Extractors
-from newsloom.operators.store import quarantine, stored_before, write_articles, write_errors
+from newsloom.operators.commits import Commit, read_part
+from newsloom.operators.key_index import known_in_index
+from newsloom.operators.store import add_articles, refused, write_errors
 from newsloom.plans.run import plan_run
 from newsloom.session import stage, staging
 from newsloom.schemas import BUILD_LOG
@@ -29,15 +31,12 @@ def process_load(responses: DataFrame, pages: DataFrame, table: str, load_id: st
 
     ``more_sources`` come after the landed one; ``on_error`` holds for those without a normalizer
     of their own too. ``failed_responses`` records what each source lost. Statistics of ``attempts(method, status)``
-    are written if it is given. Every folder written belongs to the load, so a load that
-    failed half-way is simply done again: it does not see its own earlier rows and replaces
-    them, with whatever the second attempt finds.
+    are written if it is given. All that a load writes is published together at its end (see
+    ``commits``), so a load that failed half-way left nothing and is simply done again; one that was
+    published does not see its own earlier rows and replaces them, with whatever it finds now.
     """
-    spark = responses.sparkSession
-
-    def log(name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{table}/{name}/load_id={load_id}")
-
+    spark, path = responses.sparkSession, f"{table}/articles"
+    commit = Commit(spark, path, load_id, settings.key_buckets)
     with staging(spark):
         landed = stage(responses)
         registry = Registry()
@@ -45,21 +44,22 @@ def process_load(responses: DataFrame, pages: DataFrame, table: str, load_id: st
         for source in more_sources:
             registry.register_source(source.name, stage(source.raw), source.markets, source.normalize, on_error)
         items = union_sources(spark, registry)
-        run = plan_run(items, pages, stored_before(spark, f"{table}/articles", load_id), run_ts,
-                       settings, extractors)
-        write_articles(run.accepted, f"{table}/articles", load_id)
-        quarantine(run.rejected, f"{table}/failed_articles", load_id)
-        log("build_log", run.items)
-        log("errors", write_errors(run.rejected, run.items.where(F.col("outcome") == BUILT),
-                                   "source_api", "mkt"))
-        log("failed_responses", source_failures(spark, registry))
-        log("market_stats", telemetry.market_stats_of_run(run.items, "source_api", "mkt"))
-        log("run_summary", telemetry.run_summary(run.items, run.items.where("accepted")))
-        log("article_stats", telemetry.article_stats(run.items))
+        run = plan_run(items, pages, lambda rows: known_in_index(spark, path, commit.base, rows, but=(load_id,)),
+                       run_ts, settings, extractors)
+        add_articles(commit, run.accepted)
+        commit.write("failed_articles", refused(run.rejected))
+        commit.write("build_log", run.items)
+        commit.write("errors", write_errors(run.rejected, run.items.where(F.col("outcome") == BUILT),
+                                            "source_api", "mkt"))
+        commit.write("failed_responses", source_failures(spark, registry))
+        commit.write("market_stats", telemetry.market_stats_of_run(run.items, "source_api", "mkt"))
+        commit.write("run_summary", telemetry.run_summary(run.items, run.items.where("accepted")))
+        commit.write("article_stats", telemetry.article_stats(run.items))
         if attempts is not None:
-            log("request_summary", telemetry.request_summary(attempts))
-            log("status_breakdown", telemetry.status_breakdown(attempts))
-            log("status_overall", telemetry.status_overall(attempts))
+            commit.write("request_summary", telemetry.request_summary(attempts))
+            commit.write("status_breakdown", telemetry.status_breakdown(attempts))
+            commit.write("status_overall", telemetry.status_overall(attempts))
+        commit.publish()
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -90,7 +90,8 @@ def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, ch
 
     The stream's checkpoint knows the files already taken; the article table knows the
     URLs. ``files_per_load`` splits a large backlog into several loads. Schedule the call
-    outside; two runs on one table must not overlap.
+    outside. Of two runs that overlap on one table, the one that ends last fails with
+    ``ConcurrentLoad`` and can be done again.
     """
     now = run_ts or datetime.now(timezone.utc)
 
@@ -116,8 +117,9 @@ def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, ch
 
 
 def read_log(spark: SparkSession, table: str, name: str) -> DataFrame:
-    """One of the written logs over all loads."""
-    reader = spark.read
-    if name == "build_log":
-        reader = reader.schema(BUILD_LOG)
-    return reader.parquet(f"{table}/{name}")
+    """One of the written logs over all loads that are published."""
+    schema = BUILD_LOG if name == "build_log" else None
+    rows = read_part(spark, f"{table}/articles", name, schema)
+    if rows is None:
+        raise ValueError(f"no load of {table} has written {name}")
+    return rows
