@@ -17,7 +17,7 @@ from newsloom.functions import scalars as V
 from newsloom.functions import text as X
 from newsloom.functions import urls as U
 from newsloom.operators import build as B
-from newsloom.operators import dedup, extraction, fetch, joins, store, telemetry, views
+from newsloom.operators import commits, dedup, extraction, fetch, joins, key_index as key_store, store, telemetry, views
 from newsloom.schemas import ARTICLE
 from newsloom.session import scratch, stage
 from newsloom.sources import dims, news_json, registry, tables
@@ -252,6 +252,28 @@ def write_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_loads(spark, sf_dir)[2].select("index", "url", "error")
 
 
+@check("key_index", f"""
+with {_LOADS}, stored as (select 'first' as load_id, url, title from one union all select 'second', url, title from two)
+select load_id, 'url' as kind, url as key from stored union all select load_id, 'title', title from stored""")
+def key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two loads put into the index, named by the batch that holds every stored key."""
+    folder, _, _ = _two_loads(spark, sf_dir)
+    named = key_store.keys_of(_batch(spark, sf_dir)).select("key", F.col("value"))
+    stored = key_store.scan_keys(spark, folder, commits.manifest(spark, folder))
+    return stored.join(named, "key").select("load_id", "kind", F.col("value").alias("key"))
+
+
+@check("known_in_index", f"""
+with {_LOADS}
+select 'url' as kind, url as key from one where url in (select url from batch where page_id % 3 = 0)
+union all select 'title', title from one where title in (select title from batch where page_id % 3 = 0)""")
+def known_in_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of a third of the batch that the first load stored; the second is being done again."""
+    folder, _, _ = _two_loads(spark, sf_dir)
+    asked = stage(_batch(spark, sf_dir).where("page_id % 3 = 0").select("url", "title"))
+    return key_store.known_in_index(spark, folder, commits.manifest(spark, folder), asked, but=("second",))
+
+
 @check("quarantine", f"""
 with batch as (select *, page_id % 29 = 3 as broken from ({S.ARTICLES})),
      won as (select page_id from batch where not broken
