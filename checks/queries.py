@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import shapes as S
 from checks import sql as Q
-from newsloom.config import MARKETS
+from newsloom.config import MARKETS, Settings
 from newsloom.functions import contract as C
 from newsloom.functions import html as H
 from newsloom.functions import scalars as V
@@ -18,9 +18,11 @@ from newsloom.functions import text as X
 from newsloom.functions import urls as U
 from newsloom.operators import build as B
 from newsloom.operators import commits, dedup, extraction, fetch, joins, key_index as key_store, store, telemetry, views
+from newsloom.plans import run as run_plan
 from newsloom.schemas import ARTICLE
 from newsloom.session import scratch, stage
 from newsloom.sources import dims, news_json, registry, tables
+from newsloom.sources.page_store import PageStore, store_pages
 from newsloom.streaming import daily_run as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -352,6 +354,37 @@ def build_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("mkt", "url", "outcome")
 
 
+def _page_store(spark: SparkSession, sf_dir: str, text: str) -> PageStore:
+    """The pages of three crawl days as two crawl loads, the second stored twice."""
+    path = scratch(spark)
+    pages = S.shaped(spark, sf_dir, text).withColumn(
+        "crawl_day", F.date_add(F.lit("2024-03-01").cast("date"), (F.col("page_id") % 3).cast("int")))
+    for load, odd in (("first", 0), ("second", 1), ("second", 1)):
+        store_pages(pages.where(F.col("page_id") % 2 == odd), path, load)
+    return PageStore.at(spark, path)
+
+
+@check("page_store", """
+select page_id, url, length(html) as chars, '2024-03-0' || (1 + page_id % 3) as crawl_day from pages where page_id % 3 > 0""")
+def page_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of the last two crawl days."""
+    late = _page_store(spark, sf_dir, "select * from pages").since(date(2024, 3, 2))
+    return late.select("page_id", "url", F.length("html").alias("chars"), F.col("crawl_day").cast("string").alias("crawl_day"))
+
+
+@check("build_in_place", f"""
+with {_BUILD}
+select mkt, item_url as url,
+       case when date '2024-03-01' + cast(page_id % 3 as int) < cast(date_published as date) - 1 then 'no_content'
+            else outcome end as outcome
+from built""")
+def build_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of items against a page store; captures from before an item's eve do not count."""
+    items, store_ = stage(_items(spark, sf_dir)), _page_store(spark, sf_dir, S.META_PAGES)
+    done = B.with_contents(items, run_plan.contents_of(items, store_, Settings(), None))
+    return done.select("mkt", "url", "outcome")
+
+
 @check("drop_empty_content", f"""
 select a.page_id, case when a.page_id % 5 < 3 then 'no_content' else 'has_content' end as outcome
 from ({S.ARTICLES}) a""")

@@ -7,18 +7,15 @@ they are: only the load's own keys are exchanged, to the buckets' layout. No art
 
 from __future__ import annotations
 
-import hashlib
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.operators.commits import KEYS, Commit, Manifest, counts, part_folder
-from newsloom.session import file_system
+from newsloom.operators.bucketed import read_bucketed, write_bucketed
+from newsloom.operators.commits import KEYS, Commit, Manifest
 
 KINDS = ("url", "title")
-DECLARED = 500  # folders told to the catalogue in a statement
 BUCKETS = 32  # of a new table; a large one wants as many as keep a bucket to some hundred MB
 
 
@@ -40,53 +37,24 @@ def keys_of(rows: DataFrame) -> DataFrame:
             .withColumn("key", key_of(F.col("kind"), F.col("value"))))
 
 
-def cut(rows: DataFrame, folder: str, buckets: int) -> tuple[int, ...]:
-    """Write (kind, key, load_id) as one sorted file for each bucket, in a folder of its own, and
-    return the buckets that have a file.
-
-    Spark writes buckets through a table only; the table's name is given up again, its files stay.
-    """
-    spark, name = rows.sparkSession, f"newsloom_keys_{uuid.uuid4().hex}"
-    (rows.select("kind", "key", "load_id", bucket_of(F.col("key"), buckets).alias("slot"))
-     .repartition(buckets, "key")
-     .write.partitionBy("slot").bucketBy(buckets, "key").sortBy("key")
-     .option("path", folder).format("parquet").saveAsTable(name))
-    spark.sql(f"drop table {name}")
-    fs, at = file_system(spark, folder)
-    names = (f.getPath().getName() for f in fs.listStatus(at))
-    return tuple(sorted(int(n.removeprefix("slot=")) for n in names if n.startswith("slot=")))
+def cut(rows: DataFrame, folder: str, buckets: int) -> tuple[str, ...]:
+    """Write (kind, key, load_id), each bucket in a folder of its own, and return which there are."""
+    numbered = rows.select("kind", "key", "load_id", bucket_of(F.col("key"), buckets).alias("slot"))
+    return write_bucketed(numbered, folder, "slot", "key", buckets)
 
 
 def add_keys(commit: Commit, accepted: DataFrame) -> None:
     """Add the keys of a load's accepted articles to its commit."""
     rows = keys_of(accepted).withColumn("load_id", F.lit(commit.load_id))
-    commit.slots = cut(rows, commit.folder(KEYS), commit.base.buckets)
+    commit.cells[KEYS] = cut(rows, commit.folder(KEYS), commit.base.buckets)
 
 
 def scan_keys(spark: SparkSession, path: str, seen: Manifest, but: tuple[str, ...] = (),
               slots: Iterable[int] | None = None) -> DataFrame | None:
-    """(kind, key, load_id) of the stored keys, of some buckets or all; None where there are none.
-
-    The files are read as a bucketed table, named after their folder, so that Spark knows how they
-    are cut. It is told of the commits and buckets asked for; others are not even listed.
-    """
-    parts = [p.without(but) for p in seen.of(KEYS)]
-    parts = [p for p in parts if p.live()]
-    asked = set(range(seen.buckets) if slots is None else slots)
-    cells = [(p.commit, slot) for p in parts for slot in p.slots if slot in asked]
-    if not cells:
-        return None
-    folder = part_folder(path, KEYS)
-    name = f"newsloom_keys_{hashlib.sha256(folder.encode()).hexdigest()[:32]}"
-    spark.sql(f"create table if not exists {name} (kind string, key binary, load_id string, commit string, slot int) "
-              f"using parquet partitioned by (commit, slot) clustered by (key) into {seen.buckets} buckets "
-              f"location '{folder}'")
-    for k in range(0, len(cells), DECLARED):
-        listed = " ".join(f"partition (commit='{commit}', slot={slot})" for commit, slot in cells[k:k + DECLARED])
-        spark.sql(f"alter table {name} add if not exists {listed}")
-    commits, numbers = ({c[k] for c in cells} for k in (0, 1))
-    rows = spark.table(name).where(F.col("commit").isin(*sorted(commits)) & F.col("slot").isin(*sorted(numbers)))
-    return rows.where(counts(parts)).select("kind", "key", "load_id")
+    """(kind, key, load_id) of the stored keys, of some buckets or all; None where there are none."""
+    rows = read_bucketed(spark, path, KEYS, seen, "kind string, key binary, load_id string", "slot", "int", "key", but,
+                         None if slots is None else map(str, slots))
+    return None if rows is None else rows.drop("slot")
 
 
 def known_in_index(spark: SparkSession, path: str, seen: Manifest, items: DataFrame,

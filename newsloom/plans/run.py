@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.config import Settings
-from newsloom.operators.build import ALREADY_EXISTS, BUILT, build_items, merge_article
+from newsloom.functions.scalars import utc_date
+from newsloom.operators.build import (ALREADY_EXISTS, BUILT, EVE_DAYS, merge_article, page_contents,
+                                      with_contents)
 from newsloom.operators.extraction import Extractors
 from newsloom.operators.joins import stored_flag
 from newsloom.operators.numbering import with_position
 from newsloom.operators.store import judge
 from newsloom.session import stage
+from newsloom.sources.page_store import PageStore
 
 ARRIVAL = ("source_ord", "market_ord", "response", "pos")
 
@@ -29,17 +32,33 @@ class Run:
     rejected: DataFrame
 
 
-def wanted_pages(pages: DataFrame, items: DataFrame) -> DataFrame:
+def wanted_pages(pages: DataFrame, items: DataFrame, in_place: bool = False) -> DataFrame:
     """Only the pages the items point to.
 
     The staged items' URLs have a known size: where they are small, Spark sends them to the
     page scan; where they are not, a Bloom filter of them keeps the other pages out of the
-    join's shuffle.
+    join's shuffle. ``in_place`` says that the pages lie by URL: then the URLs go to them.
     """
-    return pages.join(items.select("url").distinct(), "url", "left_semi")
+    urls = items.select("url").distinct()
+    return pages.join(urls.hint("shuffle_hash") if in_place else urls, "url", "left_semi")
 
 
-def plan_run(items: DataFrame, pages: DataFrame, known_of: Callable[[DataFrame], DataFrame], run_ts: datetime,
+def contents_of(items: DataFrame, pages: DataFrame | PageStore, settings: Settings,
+                extractors: Extractors | None) -> DataFrame:
+    """The contents of the items' pages.
+
+    From a page store only the crawl days are read on which these items' pages can have been
+    crawled: from the eve of the earliest publishing day on. Its pages are worked on in place, and
+    what they give is staged, so that a URL with very many items is the items' matter only.
+    """
+    if isinstance(pages, DataFrame):
+        return page_contents(wanted_pages(pages, items), settings, extractors)
+    first = items.agg(F.date_sub(F.min(utc_date(F.col("date_published"))), EVE_DAYS)).first()[0]
+    wanted = wanted_pages(pages.since(first), items, in_place=True)
+    return stage(page_contents(wanted, settings, extractors, in_place=True))
+
+
+def plan_run(items: DataFrame, pages: DataFrame | PageStore, known_of: Callable[[DataFrame], DataFrame], run_ts: datetime,
              settings: Settings = Settings(), extractors: Extractors | None = None) -> Run:
     """Plan a run for items with the ``ARRIVAL`` columns.
 
@@ -54,7 +73,7 @@ def plan_run(items: DataFrame, pages: DataFrame, known_of: Callable[[DataFrame],
     urls = known.where(F.col("kind") == "url").select(F.col("key").alias("url"))
     flagged = stage(stored_flag(arrived, urls))
     new = flagged.where(~F.col("is_stored"))
-    done = stage(build_items(new, wanted_pages(pages, new), settings, extractors))
+    done = stage(with_contents(new, contents_of(new, pages, settings, extractors), settings))
 
     batch = merge_article(done.where(F.col("outcome") == BUILT), run_ts, "arrival")
     verdicts = judge(batch, known)

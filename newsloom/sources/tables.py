@@ -19,7 +19,10 @@ STORED = T.StructType([*ARTICLE.fields, T.StructField("load_id", T.StringType(),
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Add pages, laid out by the day of their crawl (``crawl_day``, a date)."""
+    """Add pages, laid out by the day of their crawl (``crawl_day``, a date).
+
+    Added again they are there twice; ``store_pages`` keeps loads apart and lays pages out by URL too.
+    """
     pages.write.mode("append").partitionBy("crawl_day").parquet(path)
 
 

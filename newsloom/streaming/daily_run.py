@@ -19,11 +19,12 @@ from newsloom.plans.run import plan_run
 from newsloom.session import stage, staging
 from newsloom.schemas import BUILD_LOG
 from newsloom.sources.news_json import LANDED, read_responses
+from newsloom.sources.page_store import PageStore
 from newsloom.sources.registry import Registry, Source, source_failures, union_sources
 from newsloom.sources.tables import scan_pages
 
 
-def process_load(responses: DataFrame, pages: DataFrame, table: str, load_id: str,
+def process_load(responses: DataFrame, pages: DataFrame | PageStore, table: str, load_id: str,
                  run_ts: datetime, source_api: str, settings: Settings = Settings(),
                  extractors: Extractors | None = None, on_error: str = "fail_market",
                  more_sources: Iterable[Source] = (), attempts: DataFrame | None = None) -> None:
@@ -85,8 +86,9 @@ def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, ch
               pages_since: date | None = None) -> None:
     """Process what is new under ``landing`` (``mkt=<market>/*.json``), then stop.
 
-    ``more_sources`` and ``attempts`` are asked for in every load; ``pages_since`` reads only
-    pages crawled from that day on, of a table laid out by ``write_pages``.
+    ``more_sources`` and ``attempts`` are asked for in every load. A page store (``store_pages``) at
+    ``pages_path`` is read from the days that a load's items can be from; of a table laid out by
+    ``write_pages``, ``pages_since`` reads only pages crawled from that day on.
 
     The stream's checkpoint knows the files already taken; the article table knows the
     URLs. ``files_per_load`` splits a large backlog into several loads. Schedule the call
@@ -97,7 +99,8 @@ def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, ch
 
     def take(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        process_load(batch, scan_pages(session, pages_path, since=pages_since), table,
+        pages = PageStore.at(session, pages_path) or scan_pages(session, pages_path, since=pages_since)
+        process_load(batch, pages, table,
                      f"{stream_id(session, checkpoint)}-{batch_id:06d}", now, source_api,
                      settings, extractors, on_error,
                      more_sources(session) if more_sources else (),
