@@ -17,7 +17,8 @@ from newsloom.functions import scalars as V
 from newsloom.functions import text as X
 from newsloom.functions import urls as U
 from newsloom.operators import build as B
-from newsloom.operators import commits, dedup, extraction, fetch, joins, key_index as key_store, store, telemetry, views
+from newsloom.operators import (commits, compaction, dedup, extraction, fetch, joins, key_index as key_store, store,
+                                summary, telemetry, views)
 from newsloom.plans import run as run_plan
 from newsloom.schemas import ARTICLE
 from newsloom.session import scratch, stage
@@ -254,6 +255,35 @@ def write_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_loads(spark, sf_dir)[2].select("index", "url", "error")
 
 
+@check("compact", f"""
+with {_LOADS}
+select t.load_id, b.url, b.title, strftime(b.date_published, '%Y-%m-%d') as pub_date, 1 as commits
+from (select 'first' as load_id, page_id from one union all select 'second', page_id from two) t
+join batch b using (page_id)""")
+def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, the second done twice, merged into one commit."""
+    folder, _, _ = _two_loads(spark, sf_dir)
+    store.append_articles(_batch(spark, sf_dir), folder, "second")
+    compaction.compact(spark, folder, fanout=2)
+    parts = commits.manifest(spark, folder).of(commits.ARTICLES)
+    return tables.scan_articles(spark, folder).select(
+        "load_id", "url", "title", F.col("pub_date").cast("string").alias("pub_date"), F.lit(len(parts)).alias("commits"))
+
+
+@check("stored_summary", f"""
+with {_LOADS}
+select strftime(b.date_published, '%Y-%m-%d') as date, b.origin_country, count(*) as count,
+       string_agg(b.url, ' ' order by b.url) as article_urls
+from (select page_id from one union all select page_id from two) t join batch b using (page_id) group by 1, 2""")
+def stored_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary that two loads have stored, by day and country."""
+    folder, _, _ = _two_loads(spark, sf_dir)
+    days = summary.stored_summary(spark, folder)
+    return days.select("date", F.explode("countries").alias("c")).select(
+        "date", F.col("c.country").alias("origin_country"), F.col("c.count").alias("count"),
+        F.array_join("c.article_urls", " ").alias("article_urls"))
+
+
 @check("key_index", f"""
 with {_LOADS}, stored as (select 'first' as load_id, url, title from one union all select 'second', url, title from two)
 select load_id, 'url' as kind, url as key from stored union all select load_id, 'title', title from stored""")

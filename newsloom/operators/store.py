@@ -13,6 +13,7 @@ from newsloom.operators.commits import ARTICLES, Commit
 from newsloom.operators.dedup import two_key_insert
 from newsloom.operators.key_index import BUCKETS, add_keys, known_in_index
 from newsloom.operators.numbering import with_position
+from newsloom.operators.summary import add_summary
 from newsloom.schemas import ARTICLE, QUARANTINE
 from newsloom.session import stage
 
@@ -73,7 +74,7 @@ def write_errors(rejected: DataFrame, batch: DataFrame, *within: str) -> DataFra
 
 
 def add_articles(commit: Commit, accepted: DataFrame) -> None:
-    """Add a load's articles and their keys to its commit.
+    """Add a load's articles, their keys and the days they touch to its commit.
 
     Large days are split over tasks and small ones share one (the rebalance hint lets the adaptive
     planner do both); rows of a country lie together in a file, so that its statistics prune the
@@ -82,6 +83,7 @@ def add_articles(commit: Commit, accepted: DataFrame) -> None:
     laid_out(accepted.withColumn("load_id", F.lit(commit.load_id))).write.partitionBy("pub_date").parquet(
         commit.folder(ARTICLES))
     add_keys(commit, accepted)
+    add_summary(commit, accepted)
 
 
 def laid_out(articles: DataFrame) -> DataFrame:

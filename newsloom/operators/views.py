@@ -21,6 +21,33 @@ def daily_urls(articles: DataFrame) -> DataFrame:
     )
 
 
+def by_country_of(urls: DataFrame, *day: str) -> DataFrame:
+    """Per day and country, of rows that count a URL there: all counts, and the set of URLs."""
+    day = day or ("date",)
+    distinct = urls.groupBy(*day, "origin_country", "url").agg(F.sum("count").alias("count"))
+    return (
+        distinct.repartitionByRange(F.col("date").desc(), *day[1:])
+        .groupBy(*day, "origin_country")
+        .agg(F.sum("count").alias("count"),
+             F.sort_array(F.collect_list("url")).alias("article_urls"))
+    )
+
+
+def summary_of(counts: DataFrame, *day: str) -> DataFrame:
+    """Per day, newest first, of ``by_country_of`` rows: the countries, and the total."""
+    day = day or ("date",)
+    return (
+        counts.groupBy(*day)
+        .agg(
+            F.array_sort(F.collect_list(F.struct(
+                F.col("origin_country").alias("country"), "count", "article_urls",
+            ))).alias("countries"),
+            F.sum("count").alias("total_count"),
+        )
+        .orderBy(F.col("date").desc(), *day[1:])
+    )
+
+
 def _grouped(articles: DataFrame, parts: int) -> tuple[DataFrame, list[str]]:
     """Per (date, part, country): rows, and the set of URLs.
 
@@ -58,16 +85,7 @@ def daily_summary(articles: DataFrame, parts: int = 1) -> DataFrame:
     ``parts`` as in ``daily_country_counts``.
     """
     made, day = _grouped(articles, parts)
-    return (
-        made.groupBy(*day)
-        .agg(
-            F.array_sort(F.collect_list(F.struct(
-                F.col("origin_country").alias("country"), "count", "article_urls",
-            ))).alias("countries"),
-            F.sum("count").alias("total_count"),
-        )
-        .orderBy(F.col("date").desc(), *day[1:])
-    )
+    return summary_of(made, *day)
 
 
 def filtered_articles(articles: DataFrame) -> DataFrame:
