@@ -24,7 +24,7 @@ from newsloom.schemas import ARTICLE
 from newsloom.session import scratch, stage
 from newsloom.sources import dims, news_json, registry, tables
 from newsloom.sources.page_store import PageStore, store_pages
-from newsloom.streaming import daily_run as R
+from newsloom.streaming import daily_run as R, request_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1105,6 +1105,16 @@ def _run_twice(spark: SparkSession, sf_dir: str) -> str:
     return table
 
 
+_RUNS: dict[tuple[str, str], str] = {}  # tables that the queries of a session's logs share
+
+
+def _logged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        _RUNS[key] = _run_twice(spark, sf_dir)
+    return R.read_log(spark, _RUNS[key], name)
+
+
 def _load_number() -> F.Column:
     return F.split_part("load_id", F.lit("-"), F.lit(-1)).cast("int")
 
@@ -1130,7 +1140,7 @@ select run, mkt, count(*) as total_trending, count(*) filter (built) as built,
        count(*) filter (accepted) as inserted
 from both_runs group by run, mkt""")
 def stream_new_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.read_log(spark, _run_twice(spark, sf_dir), "market_stats").select(
+    return _logged(spark, sf_dir, "market_stats").select(
         _load_number().alias("run"), "mkt", "total_trending", "built", "inserted")
 
 
@@ -1146,7 +1156,7 @@ from {_OF_RUNS} group by 1, 2
 union all
 select run, null, count(*) filter (built), count(*) filter (not built), count(*) from {_OF_RUNS} group by run""")
 def run_article_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.read_log(spark, _run_twice(spark, sf_dir), "article_stats").select(
+    return _logged(spark, sf_dir, "article_stats").select(
         _load_number().alias("run"), "provider", "successful", "failed", "attempts")
 
 
@@ -1156,5 +1166,102 @@ select market_ord % 2 as run, mkt, count(*) as items, min(case when {_BAD} then
        'bad_item' as reason
 from pool group by market_ord % 2, mkt, floor(pos / 20) having bool_or({_BAD})""")
 def run_failed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.read_log(spark, _run_twice(spark, sf_dir), "failed_responses").select(
+    return _logged(spark, sf_dir, "failed_responses").select(
         _load_number().alias("run"), "mkt", "items", "first_bad", "reason")
+
+
+# Every item of the two runs, with its place among those of its market that were built.
+_ITEMS_OF_RUNS = """(
+  select *, row_number() over (partition by run, mkt, built order by rid, pos) - 1 as place from (
+    select 0 as run, mkt, url, pos, rid, built, page_id in (select page_id from won1) as accepted from run1
+    union all
+    select 1, mkt, url, pos, rid, built, page_id in (select page_id from won2) from run2))"""
+
+
+@check("run_build_log", f"""
+with {_RUN}
+select run, mkt, url, case when built then 'built' else 'invalid_content' end as outcome, accepted from {_ITEMS_OF_RUNS}""")
+def run_build_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _logged(spark, sf_dir, "build_log").select(_load_number().alias("run"), "mkt", "url", "outcome", "accepted")
+
+
+@check("run_errors", f"""
+with {_RUN}
+select run, mkt, place as index, url, 'duplicate_title' as error from {_ITEMS_OF_RUNS} where built and not accepted""")
+def run_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _logged(spark, sf_dir, "errors").select(_load_number().alias("run"), "mkt", "index", "url", "error")
+
+
+@check("run_quarantine", f"""
+with {_RUN}
+select run, url, 'duplicate_title' as failure_reason from {_ITEMS_OF_RUNS} where built and not accepted""")
+def run_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _logged(spark, sf_dir, "failed_articles").select(_load_number().alias("run"), "url", "failure_reason")
+
+
+@check("run_totals", f"""
+with {_RUN}
+select run, count(*) filter (accepted) as stored, count(*) as attempts from {_ITEMS_OF_RUNS} group by run""")
+def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _logged(spark, sf_dir, "run_summary").select(_load_number().alias("run"), "stored", "attempts")
+
+
+# Requests: four files of attempts, of which the second run finds the last two, in batches of one file.
+_REQUESTS = f"select cast(floor(event_id % 4 / 2) as int) as run, method, status from ({S.REQUEST_LOG})"
+
+
+def _requests(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    base, log = scratch(spark), S.shaped(spark, sf_dir, S.REQUEST_LOG)
+    landing, table, mark = f"{base}/attempts", f"{base}/table", f"{base}/mark"
+    for run in (0, 1, 2):  # nothing is new for the third
+        for k in (0, 1) if run < 2 else ():
+            part = log.where(F.col("event_id") % 4 == 2 * run + k).select("method", "status")
+            part.coalesce(1).write.mode("append").json(landing)
+        request_stats.count_requests(spark, landing, table, mark, str(run), files_per_batch=1)
+    return request_stats.request_view(spark, table, name).withColumn("run", F.col("run").cast("int"))
+
+
+@check("run_request_summary", f"""
+select run, method, {_OK} as success_count, count(*) - {_OK} as failure_count, {_OK} / count(*) as success_rate,
+       printf('%.2f%%', {_OK} / count(*) * 100.0) as success_rate_text
+from ({_REQUESTS}) group by run, method""")
+def run_request_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _requests(spark, sf_dir, "request_summary")
+
+
+@check("run_status_breakdown", f"""
+select run, method, status, count(*) as count,
+       cast(sum(count(*)) over (partition by run, method) as bigint) as total_requests,
+       count(*) / sum(count(*)) over (partition by run, method) as share
+from ({_REQUESTS}) group by run, method, status""")
+def run_status_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _requests(spark, sf_dir, "status_breakdown")
+
+
+@check("run_status_overall", f"""
+select run, status, count(*) as count, cast(sum(count(*)) over (partition by run) as bigint) as total_requests,
+       count(*) / sum(count(*)) over (partition by run) as share
+from ({_REQUESTS}) group by run, status""")
+def run_status_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _requests(spark, sf_dir, "status_overall")
+
+
+# Two sources: one fails whole responses, the other takes their good items and has half of the markets.
+_FEW = len(MARKETS) // 2
+
+
+@check("source_failures", f"""
+with r as (select *, {_BAD} as bad, page_id % {len(MARKETS)} as market_ord from ({S.RAW_ITEMS})),
+     g as (select mkt, response, market_ord, count(*) as items, count(*) filter (bad) as n_bad,
+                  min(case when bad then pos % 20 end) as first_bad
+           from r group by mkt, response, market_ord)
+select 'Whole' as source_api, mkt, response, items, first_bad, 'bad_item' as reason from g where n_bad > 0
+union all
+select 'Rows', mkt, response, case when market_ord >= {_FEW} then items else n_bad end, first_bad,
+       case when market_ord >= {_FEW} then 'unknown_market' else 'bad_item' end
+from g where n_bad > 0 or market_ord >= {_FEW}""")
+def source_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = registry.Registry()
+    both.register_source("Whole", S.raw_responses(spark, sf_dir))
+    both.register_source("Rows", S.raw_items(spark, sf_dir), MARKETS[:_FEW], on_error="quarantine_row")
+    return registry.source_failures(spark, both).select("source_api", "mkt", "response", "items", "first_bad", "reason")

@@ -35,33 +35,47 @@ def success_rate(log: DataFrame, method: str) -> DataFrame:
         _rate(ok, F.count(F.lit(1))).alias("success_rate"))
 
 
-def request_summary(log: DataFrame) -> DataFrame:
-    """Successes, failures and their rate per method; no success counts as 0."""
-    ok = F.count_if(F.col("status") == OK)
-    counted = log.groupBy("method").agg(
-        ok.alias("success_count"),
-        F.count_if(~(F.col("status") == OK)).alias("failure_count"),
+def _each_once(log: DataFrame) -> DataFrame:
+    return log.select("method", "status", F.lit(1).alias("count"))
+
+
+def request_summary_of(counts: DataFrame, *by: str) -> DataFrame:
+    """Successes, failures and their rate per method, of counted attempts (``by``, method, status,
+    count); no success counts as 0."""
+    total = lambda of: F.coalesce(F.sum(F.when(of, F.col("count"))), F.lit(0))
+    counted = counts.groupBy(*by, "method").agg(
+        total(F.col("status") == OK).alias("success_count"),
+        total(~(F.col("status") == OK)).alias("failure_count"),
     )
     rate = _rate(F.col("success_count"), F.col("success_count") + F.col("failure_count"))
     return counted.withColumn("success_rate", rate).withColumn(
         "success_rate_text", percent_text(F.col("success_rate")))
 
 
-def status_breakdown(log: DataFrame) -> DataFrame:
-    """Each status of a method with its share.
+def request_summary(log: DataFrame) -> DataFrame:
+    return request_summary_of(_each_once(log))
 
-    The window runs over the counted rows, one per (method, status).
-    """
-    total = F.sum("count").over(Window.partitionBy("method"))
-    return request_counts(log).select(
-        "method", "status", "count", total.alias("total_requests"),
-        _rate(F.col("count"), total).alias("share"),
-    )
 
+def _with_share(counts: DataFrame, *of: str) -> DataFrame:
+    """Counted rows with the total of ``of`` and their share of it. One row for each status at most."""
+    total = F.sum("count").over(Window.partitionBy(*of))
+    return counts.withColumns({"total_requests": total, "share": _rate(F.col("count"), total)})
 
-def status_overall(log: DataFrame) -> DataFrame:
-    """Each status with its share over all methods."""
-    counted = log.groupBy("status").agg(F.count(F.lit(1)).alias("count"))
+
+def status_breakdown_of(counts: DataFrame, *by: str) -> DataFrame:
+    """Each status of a method with its share, of attempts counted by (``by``, method, status)."""
+    return _with_share(counts.select(*by, "method", "status", "count"), *by, "method")
+
+
+def status_breakdown(log: DataFrame) -> DataFrame:
+    return status_breakdown_of(request_counts(log))
+
+
+def status_overall_of(counts: DataFrame, *by: str) -> DataFrame:
+    """Each status with its share over all methods, of counted attempts."""
+    counted = counts.groupBy(*by, "status").agg(F.sum("count").alias("count"))
+    if by:
+        return _with_share(counted, *by)
     total = counted.agg(F.sum("count")).scalar()
     return counted.select(
         "status", "count", total.alias("total_requests"),
@@ -69,6 +83,10 @@ def status_overall(log: DataFrame) -> DataFrame:
     )
 
 
+def status_overall(log: DataFrame) -> DataFrame:
+    return status_overall_of(_each_once(log))
+
+
 def request_totals(log: DataFrame) -> DataFrame:
     return log.agg(
         F.count_if(F.col("status") == OK).alias("total_success"),

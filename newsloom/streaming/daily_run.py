@@ -22,17 +22,17 @@ from newsloom.sources.news_json import LANDED, read_responses
 from newsloom.sources.page_store import PageStore
 from newsloom.sources.registry import Registry, Source, source_failures, union_sources
 from newsloom.sources.tables import scan_pages
+from newsloom.streaming.request_stats import VIEWS, count_requests, keep_counts, request_view, stream_id
 
 
 def process_load(responses: DataFrame, pages: DataFrame | PageStore, table: str, load_id: str,
                  run_ts: datetime, source_api: str, settings: Settings = Settings(),
                  extractors: Extractors | None = None, on_error: str = "fail_market",
-                 more_sources: Iterable[Source] = (), attempts: DataFrame | None = None) -> None:
+                 more_sources: Iterable[Source] = ()) -> None:
     """Build and store one load of responses (see ``read_responses``) under ``table``.
 
     ``more_sources`` come after the landed one; ``on_error`` holds for those without a normalizer
-    of their own too. ``failed_responses`` records what each source lost. Statistics of ``attempts(method, status)``
-    are written if it is given. All that a load writes is published together at its end (see
+    of their own too. ``failed_responses`` records what each source lost. All that a load writes is published together at its end (see
     ``commits``), so a load that failed half-way left nothing and is simply done again; one that was
     published does not see its own earlier rows and replaces them, with whatever it finds now.
     """
@@ -56,23 +56,9 @@ def process_load(responses: DataFrame, pages: DataFrame | PageStore, table: str,
         commit.write("market_stats", telemetry.market_stats_of_run(run.items, "source_api", "mkt"))
         commit.write("run_summary", telemetry.run_summary(run.items, run.items.where("accepted")))
         commit.write("article_stats", telemetry.article_stats(run.items))
-        if attempts is not None:
-            commit.write("request_summary", telemetry.request_summary(attempts))
-            commit.write("status_breakdown", telemetry.status_breakdown(attempts))
-            commit.write("status_overall", telemetry.status_overall(attempts))
         commit.publish()
 
 
-def stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id Spark gave this checkpoint.
-
-    Batch numbers start again with a new checkpoint; with the id in the load's name, its
-    loads do not replace those of the old one.
-    """
-    kept = spark.read.json(f"{checkpoint}/metadata").first()
-    return kept["id"].split("-")[0]
-
-
 # Fixed value: the source name stored with every article of the landed API.
 SOURCE_API = "BingNewsSource"
 
@@ -83,10 +69,12 @@ def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, ch
               files_per_load: int | None = None, on_error: str = "fail_market",
               more_sources: Callable[[SparkSession], Iterable[Source]] | None = None,
               attempts: Callable[[SparkSession], DataFrame] | None = None,
-              pages_since: date | None = None) -> None:
+              pages_since: date | None = None, attempts_path: str | None = None) -> None:
     """Process what is new under ``landing`` (``mkt=<market>/*.json``), then stop.
 
-    ``more_sources`` and ``attempts`` are asked for in every load. A page store (``store_pages``) at
+    ``more_sources`` are asked for in every load. Requests are counted once in a run: those that landed
+    at ``attempts_path`` since the last one (see ``count_requests``; its checkpoint is beside this
+    run's), or what ``attempts(method, status)`` gives. A page store (``store_pages``) at
     ``pages_path`` is read from the days that a load's items can be from; of a table laid out by
     ``write_pages``, ``pages_since`` reads only pages crawled from that day on.
 
@@ -103,8 +91,7 @@ def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, ch
         process_load(batch, pages, table,
                      f"{stream_id(session, checkpoint)}-{batch_id:06d}", now, source_api,
                      settings, extractors, on_error,
-                     more_sources(session) if more_sources else (),
-                     attempts(session) if attempts else None)
+                     more_sources(session) if more_sources else ())
 
     reader = spark.readStream.schema(LANDED).option("multiLine", True)
     if files_per_load:
@@ -117,10 +104,19 @@ def daily_run(spark: SparkSession, landing: str, pages_path: str, table: str, ch
         .start()
     )
     query.awaitTermination()
+    run = now.isoformat()
+    if attempts_path:
+        count_requests(spark, attempts_path, table, f"{checkpoint}-requests", run)
+    if attempts:
+        counts = telemetry.request_counts(attempts(spark)).withColumn("run", F.lit(run))
+        keep_counts(counts, table, f"run {run}")
 
 
 def read_log(spark: SparkSession, table: str, name: str) -> DataFrame:
-    """One of the written logs over all loads that are published."""
+    """One of the written logs over all loads that are published, or of the statistics of requests
+    over all runs."""
+    if name in VIEWS:
+        return request_view(spark, table, name)
     schema = BUILD_LOG if name == "build_log" else None
     rows = read_part(spark, f"{table}/articles", name, schema)
     if rows is None:
