@@ -11,9 +11,10 @@ from newsloom.functions.scalars import (default_string, market_country, market_l
 from newsloom.functions.urls import clean_image_url
 from newsloom.schemas import RESPONSE
 
-# A response file lies under mkt=<market>/. A file or value that does not fit the schema
-# leaves its text in _corrupt_record.
-LANDED = T.StructType([*RESPONSE.fields, T.StructField("_corrupt_record", T.StringType(), True),
+# A response file lies under mkt=<market>/. Its items are read as they are, so that one of another
+# shape does not hide the others; a file that is no JSON leaves its text in _corrupt_record.
+LANDED = T.StructType([T.StructField("value", T.VariantType(), True),
+                       T.StructField("_corrupt_record", T.StringType(), True),
                        T.StructField("mkt", T.StringType(), True)])
 
 # Why a response gave no items, or not all of its items.
@@ -21,22 +22,69 @@ CORRUPT, UNKNOWN_MARKET, BAD_ITEM = "corrupt", "unknown_market", "bad_item"
 
 
 def item_is_bad(item: Column) -> Column:
-    """No description, no readable date, or an empty provider list."""
+    """No description, no readable date, or an empty provider list.
+
+    For items of a source's own rows, in which a null is a field that is missing.
+    """
     return (
         item.isNull() | item["description"].isNull() | parse_iso_ts(item["datePublished"]).isNull()
         | F.coalesce(F.size(item["provider"]) == 0, F.lit(False))
     )
 
 
+def _kind(v: Column) -> Column:
+    """What a JSON value is: STRING, VOID for null, OBJECT or ARRAY among others; empty if missing."""
+    return F.coalesce(F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0), F.lit(""))
+
+
+def _at(item: Column, path: str) -> Column:
+    return F.try_variant_get(item, f"$.{path}", "variant")
+
+
+def _text(item: Column, path: str) -> Column:
+    return F.when(_kind(_at(item, path)) == "STRING", F.try_variant_get(item, f"$.{path}", "string"))
+
+
+def json_item(item: Column) -> Column:
+    """A JSON item as the struct of a response; fields that are missing or not as they should be are null."""
+    named = F.array(F.struct(_text(item, "provider[0].name").alias("name")))
+    thumbnail = F.struct(_text(item, "image.thumbnail.contentUrl").alias("contentUrl"))
+    return F.struct(
+        *(_text(item, name).alias(name) for name in ("name", "url", "description", "datePublished")),
+        F.when(_at(item, "provider").isNotNull(), named).alias("provider"),
+        F.struct(thumbnail.alias("thumbnail")).alias("image"))
+
+
+def json_item_is_bad(item: Column) -> Column:
+    """The item cannot be taken: it is no object, a text that must be there is not, a date is not
+    readable, or any field that is there is null or of another type. A missing name, URL, provider or
+    image has a default; a null one has not. Of the providers only the first is looked at."""
+    def unlike(path: str, kind: str) -> Column:
+        return ~_kind(_at(item, path)).isin("", kind)
+
+    first = _kind(_at(item, "provider[0]"))
+    return (
+        (_kind(item) != "OBJECT") | unlike("name", "STRING") | unlike("url", "STRING")
+        | _text(item, "description").isNull() | parse_iso_ts(_text(item, "datePublished")).isNull()
+        | (_at(item, "provider").isNotNull() & ((first != "OBJECT") | unlike("provider[0].name", "STRING")))
+        | unlike("image", "OBJECT") | unlike("image.thumbnail", "OBJECT")
+        | unlike("image.thumbnail.contentUrl", "STRING")
+    )
+
+
 def read_responses(landed: DataFrame) -> DataFrame:
     """(mkt, response, value, corrupt, bad) of landed files, one row each.
 
     ``bad`` says for each item whether it is one; it is judged before the items are taken
-    apart, so that a response fails as a whole without a join.
+    apart, so that a response fails as a whole without a join. A response without ``value`` has no
+    items; one whose ``value`` is not a list is corrupt.
     """
-    return with_judgement(landed.select(
-        "mkt", F.col("_metadata.file_path").alias("response"), "value",
-        F.col("_corrupt_record").isNotNull().alias("corrupt")))
+    items = F.try_variant_get("value", "$", "array<variant>")
+    return landed.select(
+        "mkt", F.col("_metadata.file_path").alias("response"),
+        F.transform(items, json_item).alias("value"),
+        (F.col("_corrupt_record").isNotNull() | ~_kind(F.col("value")).isin("", "ARRAY")).alias("corrupt"),
+        F.transform(items, json_item_is_bad).alias("bad"))
 
 
 def with_judgement(responses: DataFrame) -> DataFrame:
@@ -44,15 +92,22 @@ def with_judgement(responses: DataFrame) -> DataFrame:
 
 
 def explode_response(responses: DataFrame) -> DataFrame:
-    """One row per element of ``value`` (mkt, response, failed, pos, item); a response without
+    """One row per element of ``value`` (mkt, response, failed, pos, item, bad); a response without
     the array gives none, nor does a corrupt one, whose other items cannot be trusted."""
     failed = F.exists("bad", lambda b: b)
-    return responses.where(~F.col("corrupt")).select(
-        "mkt", "response", failed.alias("failed"), F.posexplode("value").alias("pos", "item"))
+    rows = responses.where(~F.col("corrupt")).select(
+        "mkt", "response", failed.alias("failed"),
+        F.posexplode(F.arrays_zip(F.col("value").alias("item"), F.col("bad").alias("bad"))).alias("pos", "_of"))
+    return rows.select("mkt", "response", "failed", "pos", F.col("_of.item").alias("item"), F.col("_of.bad").alias("bad"))
+
+
+def _bad_row(raw: DataFrame) -> Column:
+    """Whether a row's item is a bad one, as its response said or by the item alone."""
+    return F.col("bad") if "bad" in raw.columns else item_is_bad(F.col("item"))
 
 
 def scan_news_json(spark: SparkSession, path: str) -> DataFrame:
-    """Responses as (mkt, response, failed, pos, item); ``pos`` is the place in its response."""
+    """Responses as (mkt, response, failed, pos, item, bad); ``pos`` is the place in its response."""
     landed = spark.read.schema(LANDED).option("multiLine", True).json(path)
     return explode_response(read_responses(landed))
 
@@ -83,7 +138,7 @@ def failed_responses(responses: DataFrame, markets: DataFrame, on_error: str = "
 
 def response_rows(raw: DataFrame) -> DataFrame:
     """Responses, as ``failed_responses`` takes them, of exploded rows (mkt, response, pos, item)."""
-    rows = F.sort_array(F.collect_list(F.struct("pos", item_is_bad(F.col("item")).alias("bad"))))
+    rows = F.sort_array(F.collect_list(F.struct("pos", _bad_row(raw).alias("bad"))))
     return raw.groupBy("mkt", "response").agg(rows.alias("value")).select(
         "mkt", "response", "value", F.lit(False).alias("corrupt"), F.col("value.bad").alias("bad"))
 
@@ -120,7 +175,7 @@ def with_item_columns(raw: DataFrame, source_api: str) -> DataFrame:
     """
     item, mkt = F.col("item"), F.col("mkt")
     return raw.select(
-        *(c for c in raw.columns if c != "item"),
+        *(c for c in raw.columns if c not in ("item", "bad")),
         default_string(item["name"]).alias("title"),
         default_string(item["url"]).alias("url"),
         item["description"].alias("description"),
@@ -130,7 +185,7 @@ def with_item_columns(raw: DataFrame, source_api: str) -> DataFrame:
         clean_image_url(item["image"]["thumbnail"]["contentUrl"]).alias("image_url"),
         market_language(mkt).alias("language"),
         F.lit(source_api).alias("source_api"),
-        item_is_bad(item).alias("is_bad"),
+        _bad_row(raw).alias("is_bad"),
     )
 
 

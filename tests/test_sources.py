@@ -63,6 +63,33 @@ def test_a_bad_item_fails_its_market_or_only_itself(spark, landing, bad):
         normalize_items(raw, "Api", on_error="ignore")
 
 
+@pytest.mark.parametrize("bad", [
+    without(name=None), without(url=None), without(description=None), without(provider=None), without(image=None),
+    without(datePublished=None), without(provider=[None]), without(provider=[{"name": None}]), without(provider="Paper"),
+    without(provider={"name": "Paper"}), without(provider=[{"name": 5}]), without(image={"thumbnail": None}),
+    without(image={"thumbnail": {"contentUrl": None}}), without(image=[]), without(name=7), without(url=["u"]),
+    without(description={"text": "D"}), without(datePublished=20240701), None, 5, "text", [FULL]])
+def test_null_and_wrong_types_fail_what_missing_does_not(spark, landing, bad):
+    landing("en-GB", [FULL, bad, without("provider", "name")])
+    raw = scan_news_json(spark, landing("en-US", [without("image", "url")]))
+    assert [r.mkt for r in normalize_items(raw, "Api").collect()] == ["en-US"]
+    kept = normalize_items(raw, "Api", on_error="quarantine_row")
+    assert sorted((r.mkt, r.pos, r.title, r.provider) for r in kept.collect()) == [
+        ("en-GB", 0, "Title", "Paper"), ("en-GB", 2, "", "MSN"), ("en-US", 0, "Title", "Paper")]
+    assert [(r.mkt, r.pos) for r in bad_items(raw, "Api").collect()] == [("en-GB", 1)]
+
+
+def test_values_that_are_no_list_are_corrupt(spark, landing, tmp_path):
+    landing("en-GB", {"name": "N"})
+    path = landing("en-US", "text", "2")
+    (tmp_path / "landing" / "mkt=en-US" / "3.json").write_text('{"value": null}')
+    landing("en-US", None, "4")
+    landing("en-US", [], "5")
+    got = read_responses(spark.read.schema(LANDED).option("multiLine", True).json(path))
+    assert {(r.mkt, r.response[-6]): r.corrupt for r in got.collect()} == {
+        ("en-GB", "1"): True, ("en-US", "2"): True, ("en-US", "3"): True, ("en-US", "4"): False, ("en-US", "5"): False}
+
+
 def test_what_a_response_loses_is_recorded(spark, landing, tmp_path):
     landing("en-GB", [FULL, without("description"), without(provider=[])])
     landing("xx-XX", [FULL])
@@ -73,13 +100,12 @@ def test_what_a_response_loses_is_recorded(spark, landing, tmp_path):
     responses = read_responses(landed)
     markets = dims.market_dim(spark, MARKETS)
     lost = {(r.mkt, r.reason): (r["items"], r.first_bad) for r in failed_responses(responses, markets).collect()}
-    assert lost.pop(("de-DE", "corrupt"))[0] <= 2
-    assert lost == {("en-GB", "bad_item"): (3, 1), ("xx-XX", "unknown_market"): (1, None),
+    assert lost == {("de-DE", "bad_item"): (2, 0), ("en-GB", "bad_item"): (3, 1), ("xx-XX", "unknown_market"): (1, None),
                     ("en-US", "corrupt"): (0, None)}
-    only = failed_responses(responses, markets, "quarantine_row").where("reason = 'bad_item'").first()
-    assert (only["items"], only.first_bad) == (2, 1)
+    only = failed_responses(responses, markets, "quarantine_row").where("reason = 'bad_item'").collect()
+    assert {(r.mkt, r["items"], r.first_bad) for r in only} == {("en-GB", 2, 1), ("de-DE", 1, 0)}
     kept = normalize_items(explode_response(responses), "Api", "quarantine_row").collect()
-    assert sorted(r.mkt for r in kept) == ["en-GB", "en-US", "xx-XX"]
+    assert sorted(r.mkt for r in kept) == ["de-DE", "en-GB", "en-US", "xx-XX"]
 
 
 def test_pages_of_other_days_are_not_read(spark, tmp_path, plan):
