@@ -151,9 +151,10 @@ class Block:
                        self.counts[found[heads]], [self.words[v] for v in found[heads].tolist()])
 
 
-def near_in_blocks(rows: DataFrame, to_left: bool) -> DataFrame:
+def near_in_blocks(rows: DataFrame, blocks: int, to_left: bool) -> DataFrame:
     """(word, n_near, best_n, best) of ``dealt`` rows: a word has a row for each block with a near word.
 
+    A block is much work for few bytes, so there are as many tasks as blocks, whatever their size.
     A task reads its blocks one after another, the block's words first, so that it holds one index and
     the guests of a batch, however many they are.
     """
@@ -193,7 +194,7 @@ def near_in_blocks(rows: DataFrame, to_left: bool) -> DataFrame:
                     counts += part.column(3).to_pylist()
         yield from closed()
 
-    sent = rows.repartition("block").sortWithinPartitions("block", "guest", "word")
+    sent = rows.repartition(blocks, "block").sortWithinPartitions("block", "guest", "word")
     return sent.mapInArrow(run, "word string, n_near long, best_n long, best string")
 
 
@@ -227,8 +228,8 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     largest = vocabulary.agg(F.max("n")).first()[0] or 0
     near = None
     for to_left, key in ((False, "word"), (True, "reverse(word)")):
-        rows = dealt(vocabulary, block_bounds(vocabulary, key), to_left)
-        part = near_in_blocks(rows, to_left)
+        bounds = block_bounds(vocabulary, key)
+        part = near_in_blocks(dealt(vocabulary, bounds, to_left), len(bounds) + 1, to_left)
         near = part if near is None else near.unionByName(part)
     best = near.groupBy("word").agg(
         F.sum("n_near").alias("n_near"),
