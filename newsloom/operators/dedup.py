@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.operators.components import connected_components
 from newsloom.session import stage
 
-ROUNDS = 2  # before what is left is cut into components
+ROUNDS = 2  # before chains of conflicts are followed
 
 
 def first_by_key(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
@@ -25,28 +23,46 @@ def first_by_key(df: DataFrame, key: str, order: Sequence[str | Column]) -> Data
     return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
-def _in_order(edges: DataFrame, k1: str, k2: str) -> DataFrame:
-    """The edges that a one-by-one insert accepts, component by component.
+def _first_two(live: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
+    """The least and the second least place of every value of a key."""
+    first = live.groupBy(key).agg(F.min("_ord").alias(names[0]))
+    later = live.join(first, key).where(F.col("_ord") > F.col(names[0]))
+    return first.join(later.groupBy(key).agg(F.min("_ord").alias(names[1])), key, "left")
 
-    Edges in different components share no key, so components are tasks of their own. Within
-    one the insert is sequential by nature: each decision depends on those before it.
-    """
-    ends = [F.concat(F.lit(f"{i}:"), F.col(k).cast("string")) for i, k in enumerate((k1, k2))]
-    keyed = edges.withColumn("node", ends[0])
-    roots = connected_components(edges.select(ends[0].alias("a"), ends[1].alias("b")))
-    schema = edges.schema
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        seen1, seen2, kept = set(), set(), []
-        rows = part.sort_values("_ord")
-        for row in rows[[k1, k2, "_ord"]].itertuples(index=False):
-            if row[0] not in seen1 and row[1] not in seen2:
-                seen1.add(row[0])
-                seen2.add(row[1])
-                kept.append(row)
-        return pd.DataFrame(kept, columns=[k1, k2, "_ord"])
+def _to_their_ends(links: DataFrame) -> DataFrame:
+    """(_ord, _to, _odd): where chains of links end, and whether after an odd number of them.
 
-    return keyed.join(roots, "node").groupBy("root").applyInPandas(run, schema)
+    The distance doubles in every round, so that rounds grow with the logarithm of the longest
+    chain. Each is staged.
+    """
+    now = stage(links.withColumn("_odd", F.lit(True)))
+    while True:
+        ahead = now.select(F.col("_ord").alias("_to"), F.col("_to").alias("_next"), F.col("_odd").alias("_more"))
+        both = stage(now.join(ahead, "_to", "left"))
+        if both.where(F.col("_next").isNotNull()).isEmpty():
+            return now
+        now = both.select("_ord", F.coalesce("_next", "_to").alias("_to"),
+                          (F.col("_odd") != F.coalesce("_more", F.lit(False))).alias("_odd"))
+
+
+def _accepted_in_chains(live: DataFrame, k1: str, k2: str) -> DataFrame:
+    """The edges that are first at both keys, and those that this decides along chains.
+
+    An edge that is first at one key and second at the other has one edge before it that it
+    conflicts with: it is accepted if that one is not. Such links form chains, and of a chain that
+    begins at an edge that is first at both keys every second edge is accepted.
+    """
+    placed = stage(
+        live.join(_first_two(live, k1, ("_a1", "_b1")), k1).join(_first_two(live, k2, ("_a2", "_b2")), k2))
+    first1, first2 = F.col("_ord") == F.col("_a1"), F.col("_ord") == F.col("_a2")
+    winners = placed.where(first1 & first2).select(k1, k2, "_ord")
+    before = F.when(first1 & (F.col("_ord") == F.col("_b2")), F.col("_a2")).when(
+        first2 & (F.col("_ord") == F.col("_b1")), F.col("_a1"))
+    links = placed.select("_ord", before.alias("_to")).where(F.col("_to").isNotNull())
+    ends = _to_their_ends(links).where(~F.col("_odd"))
+    even = ends.join(winners.select(F.col("_ord").alias("_to")), "_to", "left_semi").select("_ord")
+    return winners.unionByName(placed.join(even, "_ord", "left_semi").select(k1, k2, "_ord"))
 
 
 def accepted_edges(edges: DataFrame, k1: str, k2: str) -> DataFrame:
@@ -55,20 +71,25 @@ def accepted_edges(edges: DataFrame, k1: str, k2: str) -> DataFrame:
     In a round the edges that come first among all edges of both their keys are accepted,
     and the edges that share a key with them are dropped. An accepted edge cannot be beaten
     by a later one and a dropped edge is beaten for certain, so this is the sequential
-    result; nearly all edges are decided in the first round. What is left after ROUNDS,
-    chains of conflicts, is decided by component. The path is the same at every size.
+    result; nearly all edges are decided in the first round. From the third round on, chains of
+    conflicts are followed to their ends as well, so that a chain of any length takes one round.
+    What is left then are edges with two or more undecided ones before them. No round gathers the
+    edges of a key or of a component in a task.
     """
     live = stage(edges.select(k1, k2, "_ord"))
-    won = []
-    for _ in range(ROUNDS):
-        first1 = live.groupBy(k1).agg(F.min("_ord").alias("_ord"))
-        first2 = live.groupBy(k2).agg(F.min("_ord").alias("_ord"))
-        winners = stage(first1.join(first2, "_ord").select(k1, k2, "_ord"))
+    won, rounds = [], 0
+    while not live.isEmpty():
+        if rounds < ROUNDS:
+            first1 = live.groupBy(k1).agg(F.min("_ord").alias("_ord"))
+            first2 = live.groupBy(k2).agg(F.min("_ord").alias("_ord"))
+            winners = stage(first1.join(first2, "_ord").select(k1, k2, "_ord"))
+        else:
+            winners = stage(_accepted_in_chains(live, k1, k2))
         won.append(winners)
         rest = live.join(winners.select(k1), k1, "left_anti").join(winners.select(k2), k2, "left_anti")
         live = stage(rest.select(k1, k2, "_ord"))
-    won.append(stage(_in_order(live, k1, k2)))
-    return reduce(DataFrame.unionByName, won)
+        rounds += 1
+    return reduce(DataFrame.unionByName, won) if won else live
 
 
 def two_key_insert(df: DataFrame, order: str, keys: tuple[str, str] = ("url", "title"),

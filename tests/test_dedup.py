@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from newsloom.operators import dedup
 from newsloom.operators.dedup import first_by_key, two_key_insert
 from newsloom.operators.numbering import with_position
 from newsloom.operators.components import connected_components
@@ -93,6 +94,27 @@ def test_a_long_chain_is_decided_in_order(spark):
     assert insert(spark, chain(60)) == one_by_one(chain(60))
 
 
+def test_a_chain_takes_one_round_and_no_task_holds_it(spark, monkeypatch):
+    n, rounds = 50_000, []
+    follow = dedup._to_their_ends
+    monkeypatch.setattr(dedup, "_to_their_ends", lambda links: rounds.append(1) or follow(links))
+    rows = spark.range(n).select(
+        F.col("id").alias("arrival"), F.format_string("u%d", F.floor((F.col("id") + 1) / 2)).alias("url"),
+        F.format_string("t%d", F.floor(F.col("id") / 2)).alias("title"))
+    got = two_key_insert(rows, "arrival")
+    assert got.where("accepted != (arrival % 2 = 0)").count() == 0 and got.where("accepted").count() == n // 2
+    assert len(rounds) == 1
+
+
+def test_chains_that_meet(spark):
+    """Trees of conflicts: edges with one edge before them, with two, and several beginnings."""
+    rng = random.Random(13)
+    for spread in (3, 9, 40):
+        rows = [(i, f"u{max(0, i // 2 - rng.randrange(spread))}", f"t{max(0, i // 2 - rng.randrange(spread))}")
+                for i in range(150)]
+        assert insert(spark, rows) == one_by_one(rows)
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (200, 201)]
     got = connected_components(spark.createDataFrame(edges, "a int, b int")).collect()
