@@ -23,6 +23,9 @@ TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool,
          "array": list, "null": type(None)}
 
 
+DEPTH = 100   # of lists and objects in arguments
+
+
 def problems(value: Any, schema: dict, at: str = "$") -> list[str]:
     """Where a value breaks a schema: type, enum, minimum, maximum, required, properties,
     additionalProperties (false) and items are understood."""
@@ -67,9 +70,22 @@ def parsed(text: str | None) -> Any:
     return json.loads(text or "", object_pairs_hook=_pairs, parse_constant=_refuse)
 
 
+def bounded(value: Any) -> Any:
+    """The value, unless lists and objects lie more than DEPTH deep in each other."""
+    level = [value]
+    for _ in range(DEPTH + 1):
+        level = [v for outer in level if isinstance(outer, (dict, list))
+                 for v in (outer.values() if isinstance(outer, dict) else outer)]
+        if not level:
+            return value
+    raise ValueError("too deep")
+
+
 def canonical(value: Any) -> str:
-    """Keys sorted by code point, no white space, text as it is."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    """Keys sorted by code point, no white space, text as it is; a half of a surrogate pair is no text."""
+    made = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    made.encode()
+    return made
 
 
 def references(value: Any) -> list[str]:
@@ -81,7 +97,10 @@ def references(value: Any) -> list[str]:
 
 
 def checked(records: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """Adds ``arguments_json`` (canonical, null if not JSON), ``issues`` and ``refs`` to calls."""
+    """Adds ``arguments_json`` (canonical, null if not JSON), ``issues`` and ``refs`` to calls.
+
+    Arguments that are nested more than DEPTH deep, or that hold half a surrogate pair, are not JSON.
+    """
     kind = T.StructType([T.StructField("arguments_json", T.StringType()),
                          T.StructField("issues", T.ArrayType(T.StringType())),
                          T.StructField("refs", T.ArrayType(T.StringType()))])
@@ -91,7 +110,7 @@ def checked(records: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         rows = []
         for tool, text in zip(name.to_pylist(), arguments.to_pylist()):
             try:
-                value = parsed(text)
+                value = bounded(parsed(text))
                 own = canonical(value)
             except (ValueError, RecursionError):
                 rows.append({"arguments_json": None, "issues": ["$: not JSON"], "refs": []})
