@@ -242,11 +242,11 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept"))
     pairs = judged.groupBy("_id", "_sha").agg(F.max("kept").alias("any"), F.count("*").alias("rows"))
     gone = pairs.where("not any").select("_id", "_sha")
-    marked = docs.withColumn("_text_sha", text_digest(F.col(text_col)))
-    same = lambda other: F.col(id_col).eqNullSafe(other["_id"]) & (F.col("_text_sha") == other["_sha"])
+    marked = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("sha"))
+    same = lambda other: F.col("id").eqNullSafe(other["_id"]) & (F.col("sha") == other["_sha"])
     stays = marked.join(gone, same(gone), "left_anti")
     twins = stage(pairs.where("any and rows > 1").select("_id", "_sha"))
     if not twins.isEmpty():
         stays = stays.join(twins, same(twins), "left_anti").union(
-            stays.join(twins, same(twins), "left_semi").dropDuplicates([id_col, "_text_sha"]))
-    return stays.drop("_text_sha")
+            stays.join(twins, same(twins), "left_semi").dropDuplicates(["id", "sha"]))
+    return stays.select("doc.*")

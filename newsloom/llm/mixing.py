@@ -52,14 +52,16 @@ def _key(value: Column) -> Column:
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           lang_col: str = "lang", topic_col: str | None = None) -> DataFrame:
-    """Adds _mix: struct of the three keys, the tokens and a number from 0 to 1 that the id and
-    the text fix. Null texts have no token; null sources and languages are values of their own."""
-    got = docs.withColumn("_got", _counted(text_col))
-    topic = F.col(topic_col) if topic_col else F.pmod(F.xxhash64("_got.word"), F.lit(TOPICS))
-    draw = F.pmod(F.xxhash64(F.lit(SEED), F.col(id_col).cast("string"), text_col), F.lit(1 << 52)) / float(1 << 52)
-    return got.withColumn("_mix", F.struct(
-        _key(F.col(source_col)).alias("source"), _key(F.col(lang_col)).alias("lang"), _key(topic).alias("topic"),
-        F.col("_got.tokens").alias("tokens"), draw.alias("draw"))).drop("_got")
+    """(doc, mix): a row as a struct, and a struct of the three keys, the tokens and a number from 0
+    to 1 that the id and the text fix. Null texts have no token; null sources and languages are
+    values of their own."""
+    doc = F.col("doc")
+    got = docs.select(F.struct("*").alias("doc"), _counted(text_col).alias("got"))
+    topic = doc[topic_col] if topic_col else F.pmod(F.xxhash64("got.word"), F.lit(TOPICS))
+    draw = F.pmod(F.xxhash64(F.lit(SEED), doc[id_col].cast("string"), doc[text_col]), F.lit(1 << 52)) / float(1 << 52)
+    return got.select("doc", F.struct(
+        _key(doc[source_col]).alias("source"), _key(doc[lang_col]).alias("lang"), _key(topic).alias("topic"),
+        F.col("got.tokens").alias("tokens"), draw.alias("draw")).alias("mix"))
 
 
 def tempered(cells: DataFrame, key: str, power: float) -> DataFrame:
@@ -162,7 +164,7 @@ def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, fraction
     rate of an empty cell, or that of their cell.
     """
     id_col = columns.get("id_col", "doc_id")
-    rows = stage(keyed(docs, **columns).select(F.col(id_col).alias("id"), "_mix"))
+    rows = stage(keyed(docs, **columns).select(F.col("doc")[id_col].alias("id"), F.col("mix").alias("_mix")))
     cells, reached = calibrated(rows, targets, fraction, temper)
     reached = stage(reached)
     cells = cells.select(*KEYS, "weight", "probability")
@@ -181,7 +183,6 @@ def keep_sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, fr
     """The sampled rows with all their columns. The text is read twice and not moved where the
     cells are few enough for Spark to broadcast them."""
     rows = keyed(docs, **columns)
-    cells, _ = calibrated(stage(rows.select("_mix")), targets, fraction, temper)
-    cells = cells.select(*(F.col(k).alias(f"_{k}") for k in KEYS), F.col("probability").alias("_probability"))
-    same = [F.col(f"_mix.{k}") == F.col(f"_{k}") for k in KEYS]
-    return rows.join(cells, same).where("_mix.draw < _probability").select(*docs.columns)
+    cells, _ = calibrated(stage(rows.select(F.col("mix").alias("_mix"))), targets, fraction, temper)
+    same = [F.col("mix")[k] == cells[k] for k in KEYS]
+    return rows.join(cells, same).where(F.col("mix")["draw"] < cells["probability"]).select("doc.*")

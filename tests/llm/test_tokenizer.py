@@ -41,10 +41,8 @@ def test_long_pieces_give_out_tokens_on_the_way(alphabet):
     assert len(parts) > 2
 
 
-def test_states_may_be_thrown_away(monkeypatch):
-    monkeypatch.setattr(B, "STATES", 50)
-    monkeypatch.setattr(B, "PIECES", 5)
-    fresh = B.Codec(CODEC.transducer.names, P.PATTERN)
+def test_states_may_be_thrown_away():
+    fresh = B.Codec(CODEC.transducer.names, P.PATTERN, states=50, pieces=5)
     rng = random.Random(2)
     for _ in range(200):
         text = "".join(rng.choice("abcdefgh é<|endoftext|>") for _ in range(40))
