@@ -25,8 +25,10 @@ from pyspark.sql import DataFrame, types as T
 
 from newsloom.llm.texts import slices
 
-STATES = 200_000     # states held, some 80 MB
-PIECES = 300_000     # encoded pieces held, some 60 MB
+# Tables of a task: states (some 80 MB for 200,000) and encoded pieces (some 60 MB for 300,000). Small
+# ones serve a pipeline whose workers have other tables too.
+STATES, PIECES = 200_000, 300_000
+ROUND_TRIP_STATES, ROUND_TRIP_PIECES = 400_000, 800_000
 LONG_PIECE = 4096    # bytes; longer pieces give out tokens while they are read
 CHUNK = 8192         # ids decoded at once
 NONE = -1            # no token
@@ -43,8 +45,8 @@ def read_ranks(data: bytes) -> list[bytes]:
 class Transducer:
     """Encodes pieces of bytes; ``names`` are the tokens by rank."""
 
-    def __init__(self, names: list[bytes]):
-        self.names = names
+    def __init__(self, names: list[bytes], states: int = STATES):
+        self.names, self.states = names, states
         self.ids = {name: k for k, name in enumerate(names)}
         # Beginnings of tokens, numbered from 0 for the empty one: the next one by a byte, the
         # token that is spelled out there, and the length.
@@ -138,7 +140,7 @@ class Transducer:
             return [whole]
         if len(piece) >= LONG_PIECE:
             return [k for part in self.stream([piece]) for k in part]
-        if len(self.items) > STATES:
+        if len(self.items) > self.states:
             self._reset()
         state, lasts, step = self.start, [], self.steps.get
         for byte in piece:
@@ -177,7 +179,7 @@ class Transducer:
                     if meet:  # the items know the token before what is left
                         yield self._back(lasts, meet)
                         del lasts[:meet]
-                if len(self.items) > STATES:
+                if len(self.items) > self.states:
                     items = self.items[state]
                     self._reset()
                     state = self._number(items)
@@ -215,8 +217,8 @@ class Utf8Stream:
 class Codec:
     """Texts to packed ids (little-endian, 32 bits each) and back."""
 
-    def __init__(self, names: list[bytes], pattern: str):
-        self.transducer = Transducer(names)
+    def __init__(self, names: list[bytes], pattern: str, states: int = STATES, pieces: int = PIECES):
+        self.transducer, self.pieces = Transducer(names, states), pieces
         self.split = regex.compile(pattern).findall
         # Encoded pieces, those met lately and those before them: common ones stay.
         self.known: dict[str, bytes] = {}
@@ -232,29 +234,31 @@ class Codec:
         return packed
 
     def encode(self, text: str) -> bytes:
-        if len(self.known) >= PIECES // 2:
+        if len(self.known) >= self.pieces // 2:
             self.known, self.older = {}, self.known
         known, encoded = self.known.get, self._encoded
         return b"".join([known(p) or encoded(p) for p in self.split(text)])
 
-    def decode(self, packed: bytes) -> str:
-        """The text of the ids, decoded in chunks that need not end between characters."""
-        names, out, stream = self.transducer.names, [], Utf8Stream()
+    def decoded(self, packed: bytes) -> Iterator[str]:
+        """The text of the ids in parts, decoded in chunks that need not end between characters."""
+        names, stream = self.transducer.names, Utf8Stream()
         ids = np.frombuffer(packed, "<u4")
         for k in range(0, len(ids), CHUNK):
-            out.append(stream.feed(b"".join(map(names.__getitem__, ids[k:k + CHUNK].tolist()))))
-        out.append(stream.end())
-        return "".join(out)
+            yield stream.feed(b"".join(map(names.__getitem__, ids[k:k + CHUNK].tolist())))
+        yield stream.end()
+
+    def decode(self, packed: bytes) -> str:
+        return "".join(self.decoded(packed))
 
 
-_CODEC: dict[bytes, Codec] = {}  # of this worker, with the states it has made
+_CODEC: dict[tuple, Codec] = {}  # of this worker, with the states it has made
 
 
-def codec(data: bytes, pattern: str) -> Codec:
-    key = hashlib.sha256(data + pattern.encode()).digest()
+def codec(data: bytes, pattern: str, states: int = STATES, pieces: int = PIECES) -> Codec:
+    key = (hashlib.sha256(data + pattern.encode()).digest(), states, pieces)
     if key not in _CODEC:
         _CODEC.clear()
-        _CODEC[key] = Codec(read_ranks(data), pattern)
+        _CODEC[key] = Codec(read_ranks(data), pattern, states, pieces)
     return _CODEC[key]
 
 
@@ -296,16 +300,18 @@ def tokenize(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTER
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", states: int = ROUND_TRIP_STATES,
+               pieces: int = ROUND_TRIP_PIECES) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of every row: digests of the packed ids and of
-    the bytes decoded from them. Ids and texts stay in the task that makes them."""
+    the bytes decoded from them. Ids and texts stay in the task that makes them. ``states`` and
+    ``pieces`` bound a task's tables and change no result."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
     schema = T.StructType([
         T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),
         T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(sent.value, pattern)
+        own = codec(sent.value, pattern, states, pieces)
         for batch in batches:
             for part in slices(batch):
                 count, ids, texts = [], [], []
@@ -313,7 +319,10 @@ def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATT
                     packed = own.encode(t or "")
                     count.append(len(packed) // 4)
                     ids.append(hashlib.sha256(packed).hexdigest())
-                    texts.append(hashlib.sha256(own.decode(packed).encode()).hexdigest())
+                    digest = hashlib.sha256()
+                    for text in own.decoded(packed):
+                        digest.update(text.encode())
+                    texts.append(digest.hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(count, pa.int64()), pa.array(ids, pa.string()),
                      pa.array(texts, pa.string())], names=schema.names)
