@@ -193,8 +193,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of documents that the classifier accepts, with all their columns."""
-    learn = docs.join(labels.select(id_col).distinct(), id_col, "left_semi")
-    stats = stage(learn.select(id_col, statistics(text_col).alias("stats")))
+    """The rows of documents that the classifier accepts, with all their columns.
+
+    Statistics are what moves to the labels; texts stay where they are read, and are read twice."""
+    stats = stage(docs.select(id_col, statistics(text_col).alias("stats")))
     model = trained(stats, labels, id_col)
     return docs.where(model.column(statistics(F.col(text_col))) >= THRESHOLD)
