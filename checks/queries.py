@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from checks import shapes as S
 from checks import sql as Q
 from newsloom.config import MARKETS, Settings
+from newsloom.functions import blocks
 from newsloom.functions import contract as C
 from newsloom.functions import html as H
 from newsloom.functions import scalars as V
@@ -415,6 +416,37 @@ def build_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("mkt", "url", "outcome")
 
 
+_BLOCK_WORDS = (r"list_filter(string_split_regex(lower(regexp_replace(regexp_replace({}, '<[^<>]*>', ' ', 'g'), "
+                r"'&#?[a-zA-Z0-9]{{1,31}};?', ' ', 'g')), '[^\p{{L}}\p{{Nd}}]+'), lambda w: w <> '')")
+_PLAIN_TITLE = f"regexp_replace({Q.pruned('html')}, '{blocks.TITLE}', ' ', 'g')"
+
+
+@check("block_scores", f"""
+with cut as (select page_id, string_split(regexp_replace({_PLAIN_TITLE}, '{blocks.BOUNDARY}', chr(1), 'g'), chr(1)) as raws
+             from pages),
+raw as (select page_id, unnest(raws) as raw, unnest(range(1, len(raws) + 1)) as i from cut),
+part as (select page_id, i, unnest(string_split_regex(raw, '{blocks.ANCHOR}')) as link,
+                unnest(range(1, len(string_split_regex(raw, '{blocks.ANCHOR}')) + 1)) as k from raw),
+linked as (select page_id, i, sum(len({_BLOCK_WORDS.format("regexp_replace(link, '(?is)</a[ ]*>.*', '')")})) as links
+           from part where k > 1 group by 1, 2),
+counted as (
+  select page_id, i, len({_BLOCK_WORDS.format('raw')}) as words, coalesce(links, 0) as links,
+         len(list_filter({_BLOCK_WORDS.format('raw')}, lambda w: w in {blocks.FUNCTION_WORDS})) as stops
+  from raw left join linked using (page_id, i)),
+valued as (
+  select *, case when (stops >= 2 or words >= 20) and 2 * links <= words then least(words, 100) + 10 * stops else 0 end as own
+  from counted where words > 0)
+select page_id, row_number() over w - 1 as place, words, cast(links as bigint) as links, stops, own,
+       2 * own + coalesce(lag(own) over w, 0) + coalesce(lead(own) over w, 0) as score
+from valued window w as (partition by page_id order by i)""")
+def block_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of every page's blocks."""
+    pages = S.shaped(spark, sf_dir, "select page_id, html from pages")
+    scored = blocks.scored_blocks(H.prune(F.col("html")))
+    return pages.select("page_id", F.posexplode(scored).alias("place", "b")).select(
+        "page_id", "place", *(f"b.{c}" for c in ("words", "links", "stops", "own", "score")))
+
+
 @check("drop_empty_content", f"""
 select a.page_id, case when a.page_id % 5 < 3 then 'no_content' else 'has_content' end as outcome
 from ({S.ARTICLES}) a""")
