@@ -285,6 +285,16 @@ def stored_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("c.article_urls", " ").alias("article_urls"))
 
 
+@check("recent_stored", f"""
+with {_LOADS}
+select b.url, b.title, epoch_us(b.date_published) as date_published
+from (select page_id from one union all select page_id from two) t join batch b using (page_id)
+order by b.date_published desc, b.url limit 12""")
+def recent_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, _, _ = _two_loads(spark, sf_dir)
+    return summary.recent_stored(spark, folder, 12).select("url", "title", _micros("date_published"))
+
+
 @check("key_index", f"""
 with {_LOADS}, stored as (select 'first' as load_id, url, title from one union all select 'second', url, title from two)
 select load_id, 'url' as kind, url as key from stored union all select load_id, 'title', title from stored""")

@@ -8,13 +8,14 @@ manifest says which commit has a day's latest rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.operators.commits import COUNTRIES, Commit, Manifest, manifest, part_folder, read_part
-from newsloom.operators.views import by_country_of, daily_urls, summary_of
+from newsloom.operators.views import by_country_of, daily_urls, recent_articles, summary_of
 from newsloom.session import file_system
+from newsloom.sources.tables import scan_articles
 
 URLS = "daily_urls"
 _COUNTED = T.StructType([
@@ -72,3 +73,20 @@ def stored_country_counts(spark: SparkSession, path: str, seen: Manifest | None
 def stored_summary(spark: SparkSession, path: str, seen: Manifest | None = None) -> DataFrame:
     """``daily_summary`` of the table at ``path``, newest day first, without reading its articles."""
     return summary_of(stored_country_counts(spark, path, seen))
+
+
+def recent_stored(spark: SparkSession, path: str, k: int) -> DataFrame:
+    """``recent_articles`` of the table at ``path``, from the newest days alone.
+
+    The stored summary says from which day on there are k articles; only these days' folders are
+    read. It has a row for each day and country, of which this reads no URLs.
+    """
+    seen = manifest(spark, path)
+    by_day = stored_country_counts(spark, path, seen).groupBy("date").agg(F.sum("count").alias("n"))
+    # One small row for each day; the running sum needs them in one place.
+    running = F.sum("n").over(Window.orderBy(F.col("date").desc()))
+    first = by_day.withColumn("upto", running).where(F.col("upto") - F.col("n") < k).agg(F.min("date")).first()[0]
+    rows = scan_articles(spark, path, seen)
+    if first is not None:
+        rows = rows.where(F.col("pub_date") >= F.lit(first).cast("date"))
+    return recent_articles(rows, k)

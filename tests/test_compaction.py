@@ -10,7 +10,7 @@ from newsloom.operators import commits as C
 from newsloom.operators import compaction as M
 from newsloom.operators import store
 from newsloom.operators import summary as S
-from newsloom.operators.views import daily_country_counts, daily_summary
+from newsloom.operators.views import daily_country_counts, daily_summary, recent_articles
 from newsloom.sources.page_store import STORED_PAGE, PageStore, store_pages
 from newsloom.sources.tables import scan_articles
 from tests.test_store import article, batch  # noqa: F401
@@ -141,6 +141,18 @@ def test_only_touched_days_are_written(spark, batch, path):  # noqa: F811
     check_summary(spark, path)
 
 
+def test_the_latest_articles_open_the_newest_days_only(spark, batch, path, plan):  # noqa: F811
+    add(batch, path, "a", *range(20), days=10)
+    add(batch, path, "b", *range(30, 36), days=10)
+    for k in (0, 1, 3, 4, 25, 100):
+        got = S.recent_stored(spark, path, k)
+        assert [r.url for r in got.collect()] == [r.url for r in recent_articles(scan_articles(spark, path), k).collect()]
+    assert "(pub_date#" in plan(S.recent_stored(spark, path, 3)).split("PartitionFilters")[1].split("]")[0]
+    days = {f.split("/pub_date=")[1][:10] for f in S.recent_stored(spark, path, 3).inputFiles()}
+    assert len(days) == 10 or days == {"2024-07-09", "2024-07-10"}
+    assert S.recent_stored(spark, path + "-none", 5).count() == 0
+
+
 def test_an_empty_table_has_an_empty_summary(spark, path):
     assert S.stored_summary(spark, path).count() == 0 and M.compact(spark, path) == []
 
