@@ -13,7 +13,7 @@ from newsloom.llm.jaccard_join import keep_one
 from newsloom.llm.mixing import keep_sample
 from newsloom.llm.quality_classifier import keep_good
 from newsloom.llm.texts import table
-from newsloom.session import stage
+from newsloom.session import file_system, scratch, staging
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -55,8 +55,19 @@ ORACLE_SQL = None  # the classifier, the raking and the tokenizer are no SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written as Parquet to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages, each written as Parquet to the shared folder and read again.
+
+    When a stage is written, its own scratch tables and what the stage before wrote are deleted.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir))
+        path = scratch(spark)
+        with staging(spark):
+            made = step(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before:
+            fs, folder = file_system(spark, before)
+            fs.delete(folder, True)
+        before = path
     return docs
