@@ -316,6 +316,13 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert docs.where("size(ids) = 0").count() == 0
 
 
+def test_pipeline_leaves_only_its_result(spark):
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(base.iterdir())
+    made = corpus_pipeline.run(spark, SF_DIR)
+    assert len(set(base.iterdir()) - before) == 1 and made.count() > 0
+
+
 def test_last_stage_decodes_its_ids(spark):
     rows = [(1, "Ein Satz, 日本 \U0001f600"), (2, ""), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
