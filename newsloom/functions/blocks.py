@@ -111,9 +111,15 @@ def block_main_raw(pruned: Column) -> Column:
     An extractor, as ``Extractors`` takes one.
     """
     def text(blocks: Column) -> Column:
-        best = F.array_max(F.transform(blocks, lambda b: b["score"]))
-        at = F.array_position(F.transform(blocks, lambda b: b["score"]), best).cast("int") - 1
-        lines = F.transform(_run(blocks, best, at), lambda b: F.regexp_replace(b["raw"], r"<[^<>]*>", ""))
-        return F.when(best > 0, F.array_join(lines, "\n")).otherwise(F.lit(""))
+        scores = F.transform(blocks, lambda b: b["score"])
+        best = F.array_max(scores)
+        peak = F.struct(best.alias("score"), (F.array_position(scores, best).cast("int") - 1).alias("at"))
+
+        def lines(top: Column) -> Column:
+            run = _run(blocks, top["score"], top["at"])
+            plain = F.transform(run, lambda b: F.regexp_replace(b["raw"], r"<[^<>]*>", ""))
+            return F.when(top["score"] > 0, F.array_join(plain, "\n")).otherwise(F.lit(""))
+
+        return _let(peak, lines)
 
     return F.coalesce(_let(scored_blocks(pruned), text), F.lit(""))

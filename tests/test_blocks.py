@@ -89,8 +89,8 @@ def test_scores_equal_plain_python(column):
     assert [[(b.words, b.links, b.stops, b.own, b.score) for b in p] for p in got] == [python_blocks(p) for p in pages]
 
 
-def test_open_tags_take_linear_time(spark):
-    rows = [(1, "u", "<p <a <div " * 60_000), (2, "v", "<a>" * 200_000), (3, "w", "<p>the of and" * 20_000)]
+def test_open_tags_and_many_blocks_take_linear_time(spark):
+    rows = [(1, "u", "<p <a <div " * 60_000), (2, "v", "<a>" * 200_000), (3, "w", "<p>the of and" * 60_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     began = time.time()
     pages.select(F.length(B.block_main_raw(F.col("html")))).collect()
