@@ -39,7 +39,7 @@ NEAREST = (1, 32)        # leaders that a class is compared with, round by round
 LADDER = np.array([1, 2, 3, 4, 6, 8])
 VERIFY_COST = 20.0       # of a candidate, in units of one posting read
 BITMAP = 8               # words of 64 bits in a class's parity bitmap
-WIDE = 32                # and in the one for long texts, which pairs are tested with
+WIDEST = 1 << 18         # and at most in the one that grows with the set
 BROADCAST_ROWS = 1 << 20  # 8-byte ids and 16-byte names: 24 MB
 
 POSTING = np.dtype([("token", "<u8"), ("hi", "<u8"), ("lo", "<u8"), ("n", "<i4"), ("pos", "<i4"),
@@ -65,6 +65,26 @@ def parity(shingles: np.ndarray, size: int = BITMAP) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
+def wide_parity(shingles: np.ndarray) -> bytes:
+    """A parity bitmap of at least two bits for each shingle, a power of two words long.
+
+    However long the texts, unlike sets differ in more bits than similar ones may; a bitmap
+    takes a thirtieth of its set.
+    """
+    size = 1
+    while size < WIDEST and 32 * size < len(shingles):
+        size *= 2
+    return parity(shingles, size).tobytes()
+
+
+def bits_apart(x: bytes, y: bytes) -> int:
+    """The number of bits in which two wide bitmaps differ; the longer one is folded first."""
+    p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+    if len(p) < len(q):
+        p, q = q, p
+    return int(np.bitwise_count(np.bitwise_xor.reduce(p.reshape(-1, len(q)), axis=0) ^ q).sum())
+
+
 BITS = [f"b{k}" for k in range(BITMAP)]
 
 
@@ -75,7 +95,7 @@ def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     schema = T.StructType([
         T.StructField("id", kind), T.StructField("sig", T.BinaryType()),
         T.StructField("n", T.IntegerType()), *(T.StructField(b, T.LongType()) for b in BITS),
-        T.StructField("wide", T.ArrayType(T.LongType())), T.StructField("token", T.LongType()), T.StructField("seen", T.IntegerType())])
+        T.StructField("wide", T.BinaryType()), T.StructField("token", T.LongType()), T.StructField("seen", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -89,7 +109,7 @@ def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             names.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(k, ids.type), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()),
-                 *(pa.nulls(k, pa.int64()) for _ in BITS), pa.nulls(k, pa.list_(pa.int64())), pa.array(tokens), pa.array(seen.astype(np.int32))], names=schema.names)
+                 *(pa.nulls(k, pa.int64()) for _ in BITS), pa.nulls(k, pa.binary()), pa.array(tokens), pa.array(seen.astype(np.int32))], names=schema.names)
 
         ids = None
         for batch in batches:
@@ -100,7 +120,7 @@ def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                     sigs.append(sig or b"")
                     sizes.append(len(s))
                     maps.append(parity(s))
-                    wide.append(parity(s, WIDE))
+                    wide.append(wide_parity(s))
                     if sig and sig not in names:
                         names.add(sig)
                         held.append(s)
@@ -108,8 +128,7 @@ def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()),
                      *(pa.array(np.ascontiguousarray(b)) for b in np.array(maps).T),
-                     pa.ListArray.from_arrays(pa.array(np.arange(k + 1, dtype=np.int32) * WIDE),
-                                              pa.array(np.concatenate(wide))), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=schema.names)
+                     pa.array(wide, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=schema.names)
                 if sum(map(len, held)) > WINDOW:
                     yield repeated(ids)
         if held:
@@ -153,9 +172,22 @@ def prefix(tokens: np.ndarray, df: np.ndarray, percent: int) -> tuple[np.ndarray
     return tokens[:ends[best]], df[:ends[best]], int(ladder[best])
 
 
+def has_fitting(number: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """For each row whether another of its group has a set size that allows the similarity:
+    if any has, one next to it by size has."""
+    order = np.lexsort((n, number))
+    size, group = n[order], number[order]
+    fits = (group[1:] == group[:-1]) & (100 * size[:-1] >= percent * size[1:])
+    out = np.zeros(len(n), bool)
+    out[order[1:]] = fits
+    out[order[:-1]] |= fits
+    return out
+
+
 def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int, percent: int,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (token, salts, sig, n, pos, ell, leads) of posted shingles that two classes share.
+    """Rows (token, salts, sig, n, pos, ell, leads) of posted shingles that two classes of fitting
+    sizes share.
 
     Postings travel packed, one value for each task and bucket. Frequent shingles are salted;
     ``leads`` are the first classes of the shingle and salt in LEADS of ORDERS pseudo-random
@@ -213,8 +245,7 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int,
         again = np.zeros(len(rows), bool)  # a class that several tasks have posted
         again[1:] = ~fresh[1:] & (rows["hi"][1:] == rows["hi"][:-1]) & (rows["lo"][1:] == rows["lo"][:-1])
         rows, number = rows[~again], np.cumsum(fresh[~again])
-        size = np.bincount(number)[number]
-        keep = (size > 1) | (rows["salts"] > 1)
+        keep = (rows["salts"] > 1) | has_fitting(number, rows["n"].astype(np.int64), percent)
         out, number = rows[keep], number[keep]
         start = np.flatnonzero(np.diff(number, prepend=0))
         size = np.diff(np.append(start, len(out)))
@@ -259,11 +290,15 @@ def _near(a: str, b: str, percent: int):
 
 def _told_apart(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs that the wide bitmaps allow too; those of 512 bits say little of long texts."""
-    apart = F.expr("aggregate(zip_with(a_wide, b_wide, (x, y) -> bit_count(x ^ y)), 0, (s, v) -> s + v)")
+
+    @F.pandas_udf("int")
+    def apart(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([bits_apart(p, q) for p, q in zip(x, y)], dtype="int32")
+
     for end in ("a", "b"):
         pairs = pairs.join(classes.select(F.col("sig").alias(end), F.col("n").alias(f"{end}_n"),
                                           F.col("wide").alias(f"{end}_wide")), end)
-    return pairs.where(apart <= F.col("a_n") + F.col("b_n") - 2 * _need("a_n", "b_n", percent)).drop(
+    return pairs.where(apart("a_wide", "b_wide") <= F.col("a_n") + F.col("b_n") - 2 * _need("a_n", "b_n", percent)).drop(
         "a_n", "b_n", "a_wide", "b_wide")
 
 

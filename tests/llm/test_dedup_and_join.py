@@ -3,6 +3,8 @@
 import hashlib
 import itertools
 import random
+
+import numpy as np
 import re
 
 import pytest
@@ -181,3 +183,28 @@ def test_a_repeated_id_loses_only_the_text_that_is_linked(spark):
     got = keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert got.columns == ["doc_id", "text"]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [rows[0], *rows[2:]]))
+
+
+def test_wide_bitmaps_never_differ_more_than_their_sets():
+    rng = np.random.default_rng(5)
+    for n in (1, 3, 40, 700, 5000):
+        own = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        for share in (0.0, 0.3, 0.85, 1.0):
+            other = np.unique(np.concatenate([own[:int(share * n)], rng.integers(0, 2**63, n // 3 + 1, dtype=np.uint64)]))
+            apart = len(np.setxor1d(own, other))
+            x, y = J.wide_parity(own), J.wide_parity(other)
+            assert J.bits_apart(x, y) == J.bits_apart(y, x) <= apart
+            assert J.bits_apart(x, x) == 0
+    unlike = [J.wide_parity(rng.integers(0, 2**63, 5000, dtype=np.uint64)) for _ in range(2)]
+    assert J.bits_apart(*unlike) > 0.25 * 10_000  # 0.8 allows 1,110
+
+
+def test_postings_stay_where_another_set_size_fits():
+    rng = random.Random(2)
+    number = np.array([rng.randrange(12) for _ in range(60)])
+    n = np.array([rng.randrange(1, 60) for _ in range(60)])
+    got = J.has_fitting(number, n, 80)
+    for i in range(60):
+        assert got[i] == any(j != i and number[i] == number[j] and 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j])
+                             for j in range(60))
+    assert not len(J.has_fitting(number[:0], n[:0], 80))
