@@ -138,16 +138,21 @@ def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def hot_shingles(repeats: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, at most HOT_SHINGLES, sorted, and their counts."""
+    """The most frequent shingles, about HOT_SHINGLES at most, sorted, and their counts.
+
+    Whole powers of two of frequency go along, the highest first. Of the first that has no room,
+    those of the least hashes go: hashes spread evenly, so a bound on them takes the share that fits.
+    """
+    level = F.floor(F.log2("df"))
     counts = stage(repeats.groupBy("token").agg(F.sum("seen").alias("df")))
-    levels = counts.groupBy(F.floor(F.log2("df")).alias("level")).count().collect()
-    left, least = HOT_SHINGLES, 64
-    for level, rows in sorted(map(tuple, levels), reverse=True):
-        left -= rows
-        if left < 0:
+    levels = counts.groupBy(level.alias("level")).count().collect()
+    left, taken = HOT_SHINGLES, F.lit(False)
+    for at, rows in sorted(map(tuple, levels), reverse=True):
+        if rows > left:
+            taken = taken | ((level == at) & (F.col("token") < -(1 << 63) + (left << 64) // rows))
             break
-        least = level
-    got = counts.where(F.col("df") >= 2.0 ** least).toPandas()
+        taken, left = taken | (level == at), left - rows
+    got = counts.where(taken).toPandas()
     tokens, df = got["token"].to_numpy(np.int64).view(np.uint64), got["df"].to_numpy(np.int64)
     order = np.argsort(tokens)
     return tokens[order], df[order]

@@ -208,3 +208,21 @@ def test_postings_stay_where_another_set_size_fits():
         assert got[i] == any(j != i and number[i] == number[j] and 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j])
                              for j in range(60))
     assert not len(J.has_fitting(number[:0], n[:0], 80))
+
+
+def test_a_level_of_frequency_without_room_goes_along_in_part(spark, monkeypatch):
+    rng = random.Random(4)
+    seen = [(rng.randrange(-2**63, 2**63), 9) for _ in range(10)] + [(rng.randrange(-2**63, 2**63), 2 + k % 2) for k in range(2000)]
+    repeats = spark.createDataFrame(seen, "token long, seen int")
+    monkeypatch.setattr(J, "HOT_SHINGLES", 510)
+    tokens, df = J.hot_shingles(repeats)
+    got = dict(zip(tokens.view(np.int64).tolist(), df.tolist()))
+    assert len(got) == len(tokens) and list(tokens) == sorted(tokens)
+    assert all(dict(seen)[t] == n for t, n in got.items())
+    assert sum(n == 9 for n in got.values()) == 10 and 400 < len(got) < 620
+    monkeypatch.setattr(J, "HOT_SHINGLES", 5)
+    assert len(J.hot_shingles(repeats)[0]) <= 10
+    assert not len(J.hot_shingles(repeats.limit(0))[0])
+    rows = near_copies(6, 6, 30, 60)
+    got = J.jaccard_components(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(model_components(rows))
