@@ -79,27 +79,30 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int | None = N
     closer, since targets that contradict empty cells cannot all be met, or after ``sweeps``.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 1
-    now = stage(cells.withColumn("weight", F.col("tokens") / F.lit(float(total))))
-    wanted = {k: stage(t) for k, t in targets.items()}
+    now = cells.withColumn("weight", F.col("tokens") / F.lit(float(total)))
+    for key, target in targets.items():  # a cell carries its own targets, so that sweeps need no join with them
+        wanted = target.select(key, F.col("share").alias(f"{key}_wanted"))
+        now = now.join(wanted, key, "left").fillna(0.0, [f"{key}_wanted"])
+    now = stage(now)
+
+    def sums(key: str) -> DataFrame:
+        return now.groupBy(key).agg(F.sum("weight").alias("have"), F.first(f"{key}_wanted").alias("share"))
+
     last, stalled = float("inf"), 0
     for _ in count() if sweeps is None else range(sweeps):
-        for key, target in wanted.items():
-            have = now.groupBy(key).agg(F.sum("weight").alias("have")).join(target, key, "left")
-            have = have.select(key, F.coalesce("share", F.lit(0.0)).alias("share"), "have")
+        for key in targets:
             scale = F.when(F.col("have") > 0, F.col("share") / F.col("have")).otherwise(0.0)
-            now = now.join(have.select(key, scale.alias("scale")), key).withColumn(
+            now = now.join(sums(key).select(key, scale.alias("scale")), key).withColumn(
                 "weight", F.col("weight") * F.col("scale")).drop("scale")
         now = stage(now)
-        gaps = [
-            now.groupBy(key).agg(F.sum("weight").alias("have")).join(target, key, "left")
-            .select(F.abs(F.col("have") - F.coalesce("share", F.lit(0.0))).alias("gap"))
-            for key, target in list(wanted.items())[:-1]]  # the last one was just met
+        gaps = [sums(key).select(F.abs(F.col("have") - F.col("share")).alias("gap"))
+                for key in list(targets)[:-1]]  # the last one was just met
         gap = (reduce(DataFrame.union, gaps).agg(F.max("gap")).first()[0] or 0.0) if gaps else 0.0
         stalled = stalled + 1 if gap >= STALL * last else 0
         if gap <= close or stalled > 1:
             break
         last = gap
-    return now
+    return now.drop(*(f"{key}_wanted" for key in targets))
 
 
 def probabilities(cells: DataFrame, fraction: float | None = FRACTION) -> DataFrame:
