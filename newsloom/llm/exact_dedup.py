@@ -237,11 +237,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
+    """The rows that stay, with all their columns.
+
+    What goes is staged first, as id and digest, so that Spark plans by its size: where it can be
+    broadcast, no text is moved.
+    """
     judged = stage(exact_dedup(docs, id_col, text_col).select(
         F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept"))
     pairs = judged.groupBy("_id", "_sha").agg(F.max("kept").alias("any"), F.count("*").alias("rows"))
-    gone = pairs.where("not any").select("_id", "_sha")
+    gone = stage(pairs.where("not any").select("_id", "_sha"))
     marked = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("sha"))
     same = lambda other: F.col("id").eqNullSafe(other["_id"]) & (F.col("sha") == other["_sha"])
     stays = marked.join(gone, same(gone), "left_anti")
