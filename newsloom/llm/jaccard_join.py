@@ -473,10 +473,11 @@ def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_co
     """Of each component the row of the least id, with all its columns.
 
     Rows without id and rows without words stay. Rows that share the least id stay together. Of
-    rows that share an id, only those whose own text is linked with a lesser id go.
+    rows that share an id, only those whose own text is linked with a lesser id go. These are
+    staged first, so that Spark plans by their size and moves no text where it can broadcast them.
     """
     mark = F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark")))
     marked = jaccard_components(docs.select(mark.alias("_own"), text_col), percent, "_own", text_col)
-    gone = marked.where(F.col("_own.id") != F.col("component_id.id")).select(
-        F.col("_own.id").alias("_id"), F.col("_own.mark").alias("_mark")).distinct()
+    gone = stage(marked.where(F.col("_own.id") != F.col("component_id.id")).select(
+        F.col("_own.id").alias("_id"), F.col("_own.mark").alias("_mark")).distinct())
     return docs.join(gone, (docs[id_col] == gone["_id"]) & (F.xxhash64(docs[text_col]) == gone["_mark"]), "left_anti")
