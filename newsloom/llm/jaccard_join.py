@@ -40,7 +40,6 @@ LADDER = np.array([1, 2, 3, 4, 6, 8])
 VERIFY_COST = 20.0       # of a candidate, in units of one posting read
 BITMAP = 8               # words of 64 bits in a class's parity bitmap
 WIDEST = 1 << 18         # and at most in the one that grows with the set
-BROADCAST_ROWS = 1 << 20  # 8-byte ids and 16-byte names: 24 MB
 
 POSTING = np.dtype([("token", "<u8"), ("hi", "<u8"), ("lo", "<u8"), ("n", "<i4"), ("pos", "<i4"),
                     ("ell", "u1"), ("salts", "<u2")])
@@ -66,12 +65,12 @@ def parity(shingles: np.ndarray, size: int = BITMAP) -> np.ndarray:
 
 
 def wide_parity(shingles: np.ndarray) -> bytes:
-    """A parity bitmap of at least two bits for each shingle, a power of two words long.
+    """A parity bitmap of BITMAP words or of at least two bits for each shingle, a power of two words long.
 
     However long the texts, unlike sets differ in more bits than similar ones may; a bitmap
     takes a thirtieth of its set.
     """
-    size = 1
+    size = BITMAP
     while size < WIDEST and 32 * size < len(shingles):
         size *= 2
     return parity(shingles, size).tobytes()
@@ -294,7 +293,7 @@ def _near(a: str, b: str, percent: int):
 
 
 def _told_apart(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs that the wide bitmaps allow too; those of 512 bits say little of long texts."""
+    """The pairs that sizes and wide bitmaps allow; those of 512 bits say little of long texts."""
 
     @F.pandas_udf("int")
     def apart(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -303,14 +302,11 @@ def _told_apart(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     for end in ("a", "b"):
         pairs = pairs.join(classes.select(F.col("sig").alias(end), F.col("n").alias(f"{end}_n"),
                                           F.col("wide").alias(f"{end}_wide")), end)
-    return pairs.where(apart("a_wide", "b_wide") <= F.col("a_n") + F.col("b_n") - 2 * _need("a_n", "b_n", percent)).drop(
+    return pairs.where(_fits("a_n", "b_n", percent)).where(
+        apart("a_wide", "b_wide") <= F.col("a_n") + F.col("b_n") - 2 * _need("a_n", "b_n", percent)).drop(
         "a_n", "b_n", "a_wide", "b_wide")
 
 
-def _end(classes: DataFrame, end: str) -> DataFrame:
-    return classes.select(F.col("sig").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in ("n", *BITS)))
-
-
 def star_pairs(posts: DataFrame, classes: DataFrame, roots: DataFrame | None, nearest: int,
                percent: int) -> DataFrame:
     """Pairs (a, b) of each class with those leaders that lead most of its shingles.
@@ -330,10 +326,8 @@ def star_pairs(posts: DataFrame, classes: DataFrame, roots: DataFrame | None, ne
             pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
         pairs = pairs.where("coalesce(a_root, a) != coalesce(b_root, b)").select("a", "b", "count")
     most = Window.partitionBy("b").orderBy(F.desc("count"), "a")
-    near = pairs.join(_end(classes, "a"), "a").join(_end(classes, "b"), "b").where(
-        _fits("a_n", "b_n", percent) & _near("a", "b", percent)).select("a", "b", "count")
     return (
-        _told_apart(near, classes, percent)
+        _told_apart(pairs, classes, percent)
         .withColumn("k", F.row_number().over(most)).where(F.col("k") <= nearest)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
@@ -381,17 +375,13 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int
     """Those pairs whose shingle sets are as similar as asked.
 
     Only texts of classes in a pair are read into sets; a class takes the text of its least id
-    (classes of rows without id are always read).
+    (classes of rows without id are always read). The ids are staged, so that Spark plans by their size.
     """
     pairs = stage(pairs)
     ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
     wanted = stage(classes.join(ends, "sig").select("sig", F.col("least").alias(id_col)))
-    ids = wanted.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    fixed = isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    few = fixed and wanted.count() <= BROADCAST_ROWS
-    names = wanted.select("sig")
-    if few:
-        ids = F.broadcast(ids)
+    ids = stage(wanted.select(id_col).where(F.col(id_col).isNotNull()).distinct())
+    names = stage(wanted.select("sig"))
     texts = docs.select(id_col, text_col)
     read = texts.where(F.col(id_col).isNotNull()).join(ids, id_col, "left_semi")
     if wanted.where(F.col(id_col).isNull()).limit(1).count():
@@ -407,7 +397,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int
 
     found = read.select(id_col, text_col).mapInArrow(sets, "sig binary, shingles binary")
     # Rows that repeat an id or have none may bring a set twice; the links are made distinct.
-    found = stage(found.join(F.broadcast(names) if few else names, "sig", "left_semi"))
+    found = stage(found.join(names, "sig", "left_semi"))
 
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
