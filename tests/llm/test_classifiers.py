@@ -210,3 +210,66 @@ def test_language_of_the_given_documents(spark, least):
     docs = table(spark, SF_DIR, "documents")
     got = G.language_id(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert np.mean([r.lang_pred == r.lang for r in got]) >= least
+
+
+def test_ridge_equals_the_one_solved_in_one_piece(spark):
+    """Summed normal equations, against the same features as one dense least-squares problem."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (600, len(Q.STATISTICS))) * rng.uniform(0.5, 9, len(Q.STATISTICS)) + 3
+    y = (x[:, 0] + np.abs(x[:, 1]) + rng.normal(0, 1, 600) > 6).astype(int)
+    rows = [(row.tolist(), int(label), k % 3 == 0) for k, (row, label) in enumerate(zip(x, y))]
+    model = Q.fit(spark.createDataFrame(rows, "stats array<double>, label int, spare boolean").repartition(7))
+    own = np.arange(600) % 3 != 0
+    assert np.allclose(model.centre, x[own].mean(0)) and np.allclose(model.scale, x[own].std(0))
+    z = model.features(x)
+    ridge = np.sqrt(Q.RIDGE * own.sum() / Q.FEATURES) * np.eye(Q.FEATURES + 1)
+    ridge[-1, -1] = 0
+    dense = np.linalg.lstsq(np.vstack([z[own], ridge]), np.concatenate([y[own], np.zeros(Q.FEATURES + 1)]), rcond=None)[0]
+    assert np.allclose(model.raw(x), z @ dense, atol=1e-6)
+    assert (np.diff(model.values) >= 0).all() and 0 <= model.values.min() <= model.values.max() <= 1
+
+
+def test_features_approximate_the_gaussian_kernel():
+    k = len(Q.STATISTICS)
+    model = Q.Model(np.zeros(k), np.ones(k), None, np.zeros(1), np.zeros(1))
+    x = np.random.default_rng(6).normal(0, 1, (40, k))
+    z = model.features(x)[:, :-1]
+    apart = ((x[:, None] - x[None]) ** 2).sum(2)
+    assert np.abs(z @ z.T - np.exp(-apart / (2 * Q.WIDTH ** 2))).mean() < 0.08
+
+
+def test_isotonic_values_equal_the_min_max_formula():
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 9, 30):
+        w, m = rng.integers(1, 9, n).astype(float), rng.integers(0, 4, n) / 3
+        mean = lambda i, j: np.average(m[i:j + 1], weights=w[i:j + 1])
+        want = [max(min(mean(i, j) for j in range(k, n)) for i in range(k + 1)) for k in range(n)]
+        assert np.allclose(Q.pooled(w, m), want)
+
+
+def test_cumulative_links_equal_a_dense_descent(spark, monkeypatch):
+    """Summed sparse slopes, against numeric slopes of the loss over a dense matrix."""
+    monkeypatch.setattr(X, "STEPS", 6)
+    rng = np.random.default_rng(9)
+    odds = np.array([0, 1.5, -2, 0, 1.2, 3, 0, -1.1])
+    used = np.flatnonzero(odds)
+    dense = rng.normal(0, 1, (90, len(used))) * (rng.random((90, len(used))) < 0.5)
+    grade = np.clip(np.round(dense @ np.array([1, -1, 0.5, 1, 0]) + 1), 0, 3).astype(int)
+    rows = [(int(g), np.flatnonzero(r).tolist(), r[r != 0].tolist()) for g, r in zip(grade, dense)]
+    got = X.fit(spark.createDataFrame(rows, "grade int, at array<int>, x array<double>").repartition(4), odds, 4)
+
+    def loss(v):
+        w, cuts = v[:len(used)], v[len(used):]
+        p = 1 / (1 + np.exp(cuts[None] - (dense @ w)[:, None]))
+        over = grade[:, None] > np.arange(3)
+        return -np.where(over, np.log(p), np.log(1 - p)).sum(1).mean() + X.SHRINK / 2 * w @ w
+
+    v = np.concatenate([np.zeros(len(used)), np.linspace(2.0, 3.0, 3)])
+    rate, move = 1 / (3 * (0.25 * (dense ** 2).sum(1).mean() + 0.25)), np.zeros(len(v))
+    for _ in range(6):
+        slope = np.array([(loss(v + e) - loss(v - e)) / 2e-5 for e in np.eye(len(v)) * 1e-5])
+        move = 0.9 * move - rate * slope
+        v = v + move
+        v[len(used):].sort()
+    assert np.allclose(got.weights[used], v[:len(used)], atol=1e-4) and np.allclose(got.cuts, v[len(used):], atol=1e-4)
+    assert (got.weights[odds == 0] == 0).all()
