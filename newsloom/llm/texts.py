@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 SLICE_BYTES = 2 << 20  # text worked on at once in a task; one longer text is a slice of its own
 SPACE = "[\\x20\\x09-\\x0D]"
 STRETCH = 1 << 20        # characters of a text worked on at once by a Python pattern
+KNOWN_BITS = 1 << 23     # of a filter of keys that is sent to every task: 1 MB
 WIDTH = 5
 # Odd multipliers of the five places of a shingle, and those of the mixing step.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -29,6 +30,32 @@ def fold(key: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def may_be_in(keys: DataFrame, *names: str) -> Callable[..., Column]:
+    """Of columns like the named ones of ``keys``, whether they may be among them; never false for one that is.
+
+    A Bloom filter with two bits a key, of a fixed size however many keys there are: it tells rows apart
+    before a join moves them, and never instead of one.
+    """
+    spark = keys.sparkSession
+    h = F.xxhash64(*names)
+    places = F.array(F.pmod(h, F.lit(KNOWN_BITS)), F.pmod(F.shiftright(h, 32), F.lit(KNOWN_BITS)))
+    got = keys.select(F.explode(places).alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toArrow()
+    known = np.zeros(KNOWN_BITS // 64, np.int64)
+    known[got["word"].to_numpy()] = got["bits"].to_numpy()
+    sent = spark.sparkContext.broadcast(known)
+
+    @F.pandas_udf("boolean")
+    def known_hash(hashes: pd.Series) -> pd.Series:
+        h, words = hashes.to_numpy(np.int64), sent.value
+        out = np.ones(len(h), bool)
+        for at in (h % KNOWN_BITS, (h >> 32) % KNOWN_BITS):
+            out &= words[at >> 6] >> (at & 63) & 1 == 1
+        return pd.Series(out)
+
+    return lambda *columns: known_hash(F.xxhash64(*columns))
+
+
 def slices(batch: pa.RecordBatch, text: int = 1) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of at most SLICE_BYTES of text each, or one longer row."""
     size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)

@@ -226,3 +226,27 @@ def test_a_level_of_frequency_without_room_goes_along_in_part(spark, monkeypatch
     rows = near_copies(6, 6, 30, 60)
     got = J.jaccard_components(frame(spark, rows)).collect()
     assert sorted(map(tuple, got)) == sorted(model_components(rows))
+
+
+def test_a_filter_of_keys_knows_all_of_them_and_few_others(spark):
+    from newsloom.llm.texts import may_be_in
+    ids = spark.range(20_000).where("id % 4 = 0").union(spark.sql("select cast(null as long)"))
+    may = may_be_in(ids, "id")
+    got = {r[0]: r[1] for r in spark.range(20_000).select("id", may(F.col("id"))).collect()}
+    assert all(got[i] for i in range(0, 20_000, 4)) and sum(got.values()) < 5_010
+    assert spark.sql("select cast(null as long) as id").select(may(F.col("id"))).first()[0]
+    none = may_be_in(ids.where("false"), "id")
+    assert not spark.range(10).where(none(F.col("id"))).count()
+
+
+def test_without_broadcasts_only_rows_that_may_go_are_moved(spark):
+    docs = frame(spark, [(i, f"text {i % 90}") for i in range(100)] + [(7, "text 7"), (7, "other"), (None, "text 3")])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for kept, want in ((D.keep_first(docs), [*range(90), 7]), (J.keep_one(docs), [*range(90), 7, 7, None])):
+            stays = kept._jdf.queryExecution().optimizedPlan().children().head()
+            assert "Join" not in stays.toString()  # the first part of a union
+            assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(want, key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
