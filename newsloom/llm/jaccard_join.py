@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from newsloom.llm.texts import binaries, mix, shingle_sets, slices
+from newsloom.llm.texts import binaries, may_be_in, mix, shingle_sets, slices
 from newsloom.operators.components import connected_components
 from newsloom.session import stage
 
@@ -151,8 +151,8 @@ def hot_shingles(repeats: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             taken = taken | ((level == at) & (F.col("token") < -(1 << 63) + (left << 64) // rows))
             break
         taken, left = taken | (level == at), left - rows
-    got = counts.where(taken).toPandas()
-    tokens, df = got["token"].to_numpy(np.int64).view(np.uint64), got["df"].to_numpy(np.int64)
+    got = counts.where(taken).toArrow()  # as Arrow: a row object for each shingle would take the driver far more
+    tokens, df = got["token"].to_numpy().astype(np.int64).view(np.uint64), got["df"].to_numpy().astype(np.int64)
     order = np.argsort(tokens)
     return tokens[order], df[order]
 
@@ -195,7 +195,8 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int,
 
     Postings travel packed, one value for each task and bucket. Frequent shingles are salted;
     ``leads`` are the first classes of the shingle and salt in LEADS of ORDERS pseudo-random
-    orders, which the shingle chooses: shingles of one group of near copies agree on few leaders.
+    orders, which the shingle chooses: shingles of one group of near copies agree on few leaders. A class
+    keeps those whose sizes allow the similarity.
     """
     sent = docs.sparkSession.sparkContext.broadcast(hot)
 
@@ -262,8 +263,11 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int,
             order = (out["token"] + np.uint64(j)) % np.uint64(ORDERS)
             rank = mix(out["lo"] ^ order * np.uint64(0x9E3779B97F4A7C15))
             leads.append(np.repeat(np.lexsort((rank, number))[start], size))
-        leads = np.column_stack(leads).ravel() if len(out) else np.zeros(0, int)
-        ends = pa.array(np.arange(len(out) + 1, dtype=np.int32) * LEADS)
+        leads, own, n = np.column_stack(leads), np.arange(len(out))[:, None], out["n"].astype(np.int64)
+        fits = (100 * n[leads] >= percent * n[own]) & (100 * n[own] >= percent * n[leads])
+        fits &= (leads != own) | (out["salts"] > 1)[:, None]  # of a salted shingle the leaders are looked for by name
+        ends = pa.array(np.concatenate([[0], np.cumsum(fits.sum(axis=1))]).astype(np.int32))
+        leads = leads[fits]
         return pa.table({
             "token": out["token"].astype(np.int64), "salts": out["salts"].astype(np.int32), "sig": sig(out),
             "n": out["n"], "pos": out["pos"], "ell": out["ell"].astype(np.int32),
@@ -375,7 +379,8 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int
     """Those pairs whose shingle sets are as similar as asked.
 
     Only texts of classes in a pair are read into sets; a class takes the text of its least id
-    (classes of rows without id are always read). The ids are staged, so that Spark plans by their size.
+    (classes of rows without id are always read). The ids are staged, so that Spark plans by their size, and
+    a filter of them holds back the texts of others before the join.
     """
     pairs = stage(pairs)
     ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
@@ -383,7 +388,8 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int
     ids = stage(wanted.select(id_col).where(F.col(id_col).isNotNull()).distinct())
     names = stage(wanted.select("sig"))
     texts = docs.select(id_col, text_col)
-    read = texts.where(F.col(id_col).isNotNull()).join(ids, id_col, "left_semi")
+    known = texts.where(F.col(id_col).isNotNull()).where(may_be_in(ids, id_col)(F.col(id_col)))
+    read = known.join(ids, id_col, "left_semi")
     if wanted.where(F.col(id_col).isNull()).limit(1).count():
         read = read.union(texts.where(F.col(id_col).isNull()))
 
@@ -464,10 +470,13 @@ def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_co
 
     Rows without id and rows without words stay. Rows that share the least id stay together. Of
     rows that share an id, only those whose own text is linked with a lesser id go. These are
-    staged first, so that Spark plans by their size and moves no text where it can broadcast them.
+    staged first, and only the text of rows that may be among them by a filter of ids can be moved.
     """
     mark = F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark")))
     marked = jaccard_components(docs.select(mark.alias("_own"), text_col), percent, "_own", text_col)
     gone = stage(marked.where(F.col("_own.id") != F.col("component_id.id")).select(
         F.col("_own.id").alias("_id"), F.col("_own.mark").alias("_mark")).distinct())
-    return docs.join(gone, (docs[id_col] == gone["_id"]) & (F.xxhash64(docs[text_col]) == gone["_mark"]), "left_anti")
+    may = may_be_in(gone, "_id")(F.col(id_col))
+    held = docs.where(may)
+    same = (held[id_col] == gone["_id"]) & (F.xxhash64(held[text_col]) == gone["_mark"])
+    return docs.where(~may).union(held.join(gone, same, "left_anti"))
