@@ -1,6 +1,7 @@
 """Jaccard join on word shingles by adaptive multi-match prefixes (after Wang, Li, Feng 2012).
 
-Texts of equal shingle sets are one class, named by a 128-bit hash of the set. A class orders
+Texts of equal shingle sets are one class, named by 64 bits of a 128-bit hash of the set; if two
+classes had the same 64 bits, all names would be drawn anew. A class orders
 its shingles by estimated document frequency, rarest first, and posts a prefix of them: for
 similarity t two classes of sizes n and m share at least ``need`` = ceil(t (n + m) / (1 + t))
 shingles, so their prefixes of n - need + l share at least l. Each class picks its own l: a
@@ -19,13 +20,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from newsloom.llm.texts import binaries, may_be_in, mix, shingle_sets, slices
+from newsloom.llm.texts import may_be_in, mix, shingle_sets, slices
 from newsloom.operators.components import connected_components
 from newsloom.session import stage
 
@@ -40,17 +42,38 @@ LADDER = np.array([1, 2, 3, 4, 6, 8])
 VERIFY_COST = 20.0       # of a candidate, in units of one posting read
 BITMAP = 8               # words of 64 bits in a class's parity bitmap
 WIDEST = 1 << 18         # and at most in the one that grows with the set
+FEW = 8                  # classes of a shingle that are compared pair by pair before they move
 
-POSTING = np.dtype([("token", "<u8"), ("hi", "<u8"), ("lo", "<u8"), ("n", "<i4"), ("pos", "<i4"),
-                    ("ell", "u1"), ("salts", "<u2")])
+POSTING = np.dtype([("token", "<u8"), ("sig", "<u8"), ("n", "<i4"), ("pos", "<i4"), ("ell", "u1"), ("salts", "<u2")])
 
 
 def salt_of(rows: np.ndarray) -> np.ndarray:
-    return rows["lo"] % rows["salts"].astype(np.uint64)
+    return rows["sig"] % rows["salts"].astype(np.uint64)
 
 
-def name_of(shingles: np.ndarray) -> bytes | None:
-    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+def name_of(shingles: np.ndarray, draw: int = 0) -> tuple[int, int] | None:
+    """The name of a set, and 64 bits more that tell whether two sets have the same name."""
+    if not len(shingles):
+        return None
+    digest = hashlib.blake2b(shingles.tobytes(), digest_size=16, salt=draw.to_bytes(8, "little")).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+
+
+def to_planes(rows: np.ndarray) -> bytes:
+    """Postings column by column, and of each column the first bytes, then the second ones: most of
+    the upper bytes are zero, and Spark's compression takes them away."""
+    return b"".join(np.ascontiguousarray(rows[c]).view(np.uint8).reshape(len(rows), POSTING[c].itemsize).T.tobytes()
+                    for c in POSTING.names)
+
+
+def from_planes(raw: pa.Buffer) -> np.ndarray:
+    rows, at = np.empty(raw.size // POSTING.itemsize, POSTING), 0
+    for c in POSTING.names:
+        width = POSTING[c].itemsize
+        planes = np.frombuffer(raw, np.uint8, len(rows) * width, at).reshape(width, len(rows))
+        rows[c] = np.ascontiguousarray(planes.T).view(POSTING[c])[:, 0]
+        at += planes.size
+    return rows
 
 
 def parity(shingles: np.ndarray, size: int = BITMAP) -> np.ndarray:
@@ -87,27 +110,30 @@ def bits_apart(x: bytes, y: bytes) -> int:
 BITS = [f"b{k}" for k in range(BITMAP)]
 
 
-def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, sig, n, bitmap) of documents and, with a null id and sig, (token, seen) of shingles that
+def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", draw: int = 0) -> DataFrame:
+    """Rows (id, sig, more, n, bitmap) of documents and, with a null id and sig, (token, seen) of shingles that
     repeat in a task. One pass over the texts; nothing is moved."""
     kind = docs.schema[id_col].dataType
     schema = T.StructType([
-        T.StructField("id", kind), T.StructField("sig", T.BinaryType()),
+        T.StructField("id", kind), T.StructField("sig", T.LongType()), T.StructField("more", T.LongType()),
         T.StructField("n", T.IntegerType()), *(T.StructField(b, T.LongType()) for b in BITS),
         T.StructField("wide", T.BinaryType()), T.StructField("token", T.LongType()), T.StructField("seen", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        names: set[bytes] = set()
+        names: set[tuple[int, int]] = set()
 
         def repeated(ids: pa.Array) -> pa.RecordBatch:
-            tokens, seen = np.unique(np.concatenate(held), return_counts=True)
-            tokens, seen = tokens[seen > 1].view(np.int64), seen[seen > 1]
-            k = len(tokens)
+            own = np.concatenate(held)
             held.clear()
             names.clear()
+            own.sort()  # in place: np.unique would hold several copies, and workers keep what they once took
+            same = np.concatenate([[False], own[1:] == own[:-1], [False]])
+            first, last = np.flatnonzero(~same[:-1] & same[1:]), np.flatnonzero(same[:-1] & ~same[1:])
+            tokens, seen = own[first].view(np.int64), last - first + 1
+            k = len(tokens)
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(k, ids.type), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()),
+                [pa.nulls(k, ids.type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()),
                  *(pa.nulls(k, pa.int64()) for _ in BITS), pa.nulls(k, pa.binary()), pa.array(tokens), pa.array(seen.astype(np.int32))], names=schema.names)
 
         ids = None
@@ -115,8 +141,8 @@ def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             for part in slices(batch):
                 ids, sigs, sizes, maps, wide = part.column(0), [], [], [], []
                 for s in shingle_sets(part.column(1)):
-                    sig = name_of(s)
-                    sigs.append(sig or b"")
+                    sig = name_of(s, draw)
+                    sigs.append(sig or (0, 0))
                     sizes.append(len(s))
                     maps.append(parity(s))
                     wide.append(wide_parity(s))
@@ -125,7 +151,7 @@ def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                         held.append(s)
                 k = len(sigs)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()),
+                    [ids, *(pa.array(x, pa.int64()) for x in zip(*sigs)), pa.array(sizes, pa.int32()),
                      *(pa.array(np.ascontiguousarray(b)) for b in np.array(maps).T),
                      pa.array(wide, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=schema.names)
                 if sum(map(len, held)) > WINDOW:
@@ -188,12 +214,42 @@ def has_fitting(number: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
     return out
 
 
+def has_match(number: np.ndarray, n: np.ndarray, pos: np.ndarray, ell: np.ndarray, percent: int) -> np.ndarray:
+    """For each row, in order of groups, whether another of its group may be similar by size and place.
+
+    A match counts only if the shingles before it leave room for the overlap needed. Groups of up to
+    FEW rows are told exactly, pair by pair. In larger ones a row stays if a size is there that its own place
+    allows.
+    """
+    low, room = -(-percent * n // 100), n - pos + ell - 1
+    high = np.minimum(100 * n // percent, room * (100 + percent) // percent - n)
+    own = (number << 32) | n
+    held = np.sort(own)
+    there = np.searchsorted(held, (number << 32) | np.maximum(high, 0), "right") - np.searchsorted(held, (number << 32) | low)
+    out = there - ((low <= n) & (n <= high)) > 0
+    start = np.flatnonzero(np.diff(number, prepend=-1))
+    size = np.diff(np.append(start, len(n)))
+    few = np.repeat(size <= FEW, size)
+    out[few] = False
+    for step in range(1, min(FEW, len(n))):
+        a = np.flatnonzero(few[:-step] & (number[:-step] == number[step:]))
+        b = a + step
+        both = n[a] + n[b]
+        need = (percent * both + 99 + percent) // (100 + percent)
+        least = np.minimum(ell[a], ell[b]) - need
+        ok = (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])) & (
+            n[a] - pos[a] + least > 0) & (n[b] - pos[b] + least > 0)
+        out[a[ok]] = out[b[ok]] = True
+    return out
+
+
 def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int, percent: int,
-             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             id_col: str = "doc_id", text_col: str = "text", draw: int = 0) -> DataFrame:
     """Rows (token, salts, sig, n, pos, ell, leads) of posted shingles that two classes of fitting
-    sizes share.
+    sizes share at fitting places.
 
-    Postings travel packed, one value for each task and bucket. Frequent shingles are salted;
+    Postings travel packed, one value for each task and bucket, with 48 bits of the shingle: two that
+    agree in them only make more pairs to be verified. Frequent shingles are salted;
     ``leads`` are the first classes of the shingle and salt in LEADS of ORDERS pseudo-random
     orders, which the shingle chooses: shingles of one group of near copies agree on few leaders. A class
     keeps those whose sizes allow the similarity.
@@ -203,25 +259,24 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int,
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = sent.value
         held: list[np.ndarray] = []
-        names: set[bytes] = set()
+        names: set[tuple[int, int]] = set()
 
         def packed() -> pa.RecordBatch:
             rows = np.concatenate(held)
             held.clear()
-            key = rows["token"] + salt_of(rows) * np.uint64(0x9E3779B97F4A7C15)
-            bucket = (key >> np.uint64(11)) % np.uint64(buckets)
+            bucket = mix(rows["token"] + salt_of(rows) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             rows, bucket = rows[order], bucket[order]
             own, first = np.unique(bucket, return_index=True)
             return pa.RecordBatch.from_arrays(
                 [pa.array(own.astype(np.int32)),
-                 pa.array([x.tobytes() for x in np.split(rows, first[1:])], pa.binary())],
+                 pa.array([to_planes(x) for x in np.split(rows, first[1:])], pa.binary())],
                 names=["bucket", "rows"])
 
         for batch in batches:
             for part in slices(batch):
                 for s in shingle_sets(part.column(1)):
-                    sig = name_of(s)
+                    sig = name_of(s, draw)
                     if not sig or sig in names:
                         continue
                     names.add(sig)
@@ -231,37 +286,40 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int,
                         df = np.where(known[at] == s, counts[at], 0)
                     tokens, df, ell = prefix(s, df, percent)
                     rows = np.empty(len(tokens), POSTING)
-                    rows["token"], rows["pos"] = tokens, np.arange(len(tokens))
-                    rows["hi"], rows["lo"] = (int.from_bytes(sig[k:k + 8], "big") for k in (0, 8))
+                    rows["token"], rows["pos"] = tokens >> np.uint64(16), np.arange(len(tokens))
+                    rows["sig"] = np.int64(sig[0]).view(np.uint64)
                     rows["n"], rows["ell"] = len(s), ell
                     rows["salts"] = np.minimum(1 + df // SALT_ROWS, 65535)
                     held.append(rows)
-                if sum(map(len, held)) > WINDOW // 4:
+                if sum(map(len, held)) > WINDOW // 8:
                     yield packed()
                     names.clear()
         if held:
             yield packed()
 
     def shared(group: pa.Table) -> pa.Table:
-        rows = np.concatenate([np.frombuffer(x.as_buffer(), POSTING) for x in group.column("rows")])
-        rows = rows[np.lexsort((rows["lo"], rows["hi"], salt_of(rows), rows["token"]))]
+        rows = np.concatenate([from_planes(x.as_buffer()) for x in group.column("rows")])
+        rows = rows[np.lexsort((rows["pos"], rows["sig"], salt_of(rows), rows["token"]))]
         salt, fresh = salt_of(rows), np.ones(len(rows), bool)  # the first of a shingle and salt
         fresh[1:] = (rows["token"][1:] != rows["token"][:-1]) | (salt[1:] != salt[:-1])
         again = np.zeros(len(rows), bool)  # a class that several tasks have posted
-        again[1:] = ~fresh[1:] & (rows["hi"][1:] == rows["hi"][:-1]) & (rows["lo"][1:] == rows["lo"][:-1])
+        again[1:] = ~fresh[1:] & (rows["sig"][1:] == rows["sig"][:-1]) & (rows["pos"][1:] == rows["pos"][:-1])
         rows, number = rows[~again], np.cumsum(fresh[~again])
         keep = (rows["salts"] > 1) | has_fitting(number, rows["n"].astype(np.int64), percent)
+        rows, number = rows[keep], number[keep]
+        n, pos, ell = (rows[c].astype(np.int64) for c in ("n", "pos", "ell"))
+        keep = (rows["salts"] > 1) | has_match(number, n, pos, ell, percent)
         out, number = rows[keep], number[keep]
         start = np.flatnonzero(np.diff(number, prepend=0))
         size = np.diff(np.append(start, len(out)))
 
         def sig(x: np.ndarray) -> pa.Array:
-            return binaries(np.column_stack([x["hi"], x["lo"]]).astype(">u8"), 16)
+            return pa.array(x["sig"].astype(np.int64))
 
         leads = []
         for j in range(LEADS):
             order = (out["token"] + np.uint64(j)) % np.uint64(ORDERS)
-            rank = mix(out["lo"] ^ order * np.uint64(0x9E3779B97F4A7C15))
+            rank = mix(out["sig"] ^ order * np.uint64(0x9E3779B97F4A7C15))
             leads.append(np.repeat(np.lexsort((rank, number))[start], size))
         leads, own, n = np.column_stack(leads), np.arange(len(out))[:, None], out["n"].astype(np.int64)
         fits = (100 * n[leads] >= percent * n[own]) & (100 * n[own] >= percent * n[leads])
@@ -276,7 +334,7 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int,
     return (
         docs.select(id_col, text_col).mapInArrow(post, "bucket int, rows binary")
         .groupBy("bucket").applyInArrow(
-            shared, "token long, salts int, sig binary, n int, pos int, ell int, leads array<binary>")
+            shared, "token long, salts int, sig long, n int, pos int, ell int, leads array<long>")
     )
 
 
@@ -311,13 +369,8 @@ def _told_apart(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
         "a_n", "b_n", "a_wide", "b_wide")
 
 
-def star_pairs(posts: DataFrame, classes: DataFrame, roots: DataFrame | None, nearest: int,
-               percent: int) -> DataFrame:
-    """Pairs (a, b) of each class with those leaders that lead most of its shingles.
-
-    Only leaders that the bitmaps allow and that are in another component count. What is left
-    out is for ``cross_pairs``, which misses none.
-    """
+def leader_pairs(posts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, count) of each class b and the leaders of its shingles that the bitmaps allow."""
     led = posts.where((F.col("salts") > 1) & F.array_contains("leads", F.col("sig")))
     top = led.groupBy("token").agg(F.min("sig").alias("a"))
     pairs = (
@@ -325,14 +378,21 @@ def star_pairs(posts: DataFrame, classes: DataFrame, roots: DataFrame | None, ne
         .union(led.join(top, "token").select("a", F.col("sig").alias("b")))
         .where("a != b").groupBy("a", "b").count()
     )
+    return _told_apart(pairs, classes, percent)
+
+
+def star_pairs(pairs: DataFrame, roots: DataFrame | None, nearest: int) -> DataFrame:
+    """Pairs (a, b) of each class with those leaders that lead most of its shingles.
+
+    Only leaders in another component count. What is left out is for ``cross_pairs``, which misses none.
+    """
     if roots is not None:
         for end in ("a", "b"):
             pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
         pairs = pairs.where("coalesce(a_root, a) != coalesce(b_root, b)").select("a", "b", "count")
     most = Window.partitionBy("b").orderBy(F.desc("count"), "a")
     return (
-        _told_apart(pairs, classes, percent)
-        .withColumn("k", F.row_number().over(most)).where(F.col("k") <= nearest)
+        pairs.withColumn("k", F.row_number().over(most)).where(F.col("k") <= nearest)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
 
@@ -349,16 +409,14 @@ def cross_pairs(posts: DataFrame, classes: DataFrame, roots: DataFrame, percent:
         .join(roots.select(F.col("node").alias("sig"), "root"), "sig", "left")
         .withColumn("root", F.coalesce("root", "sig"))
     )
-    mixed = own.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-    own = own.join(mixed.where("r0 != r1").select("token"), "token")
-    own = stage(own.join(classes.select("sig", *BITS), "sig"))
-    main = (
+    mixed = (
         own.groupBy("token", "root").count()
-        .groupBy("token").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+        .groupBy("token").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots"))
+        .where("roots > 1").select("token", "main")
     )
-    left = own.join(main, "token").where(F.col("root") != F.col("main"))
+    own = stage(own.join(mixed, "token").join(classes.select("sig", *BITS), "sig"))
     parts = ("sig", "n", "pos", "ell", "root", *BITS)
-    a = left.select("token", "main", *(F.col(c).alias(f"a_{c}") for c in parts))
+    a = own.where("root != main").select("token", "main", *(F.col(c).alias(f"a_{c}") for c in parts))
     b = own.select("token", *(F.col(c).alias(f"b_{c}") for c in parts))
     ell, need = F.least("a_ell", "b_ell"), _need("a_n", "b_n", percent)
     met = a.join(b, "token").where(
@@ -371,11 +429,11 @@ def cross_pairs(posts: DataFrame, classes: DataFrame, roots: DataFrame, percent:
         .agg(F.count("*").alias("matches"), F.min(ell).alias("ell"))
         .where("matches >= ell").select("a", "b")
     )
-    return _told_apart(pairs, classes, percent)
+    return _told_apart(stage(pairs), classes, percent)
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int,
-             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             id_col: str = "doc_id", text_col: str = "text", draw: int = 0) -> DataFrame:
     """Those pairs whose shingle sets are as similar as asked.
 
     Only texts of classes in a pair are read into sets; a class takes the text of its least id
@@ -385,23 +443,23 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int
     ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
     wanted = stage(classes.join(ends, "sig").select("sig", F.col("least").alias(id_col)))
     ids = stage(wanted.select(id_col).where(F.col(id_col).isNotNull()).distinct())
-    names = stage(wanted.select("sig"))
     texts = docs.select(id_col, text_col)
-    read = texts.where(F.col(id_col).isNotNull()).join(ids, id_col, "left_semi")
-    if wanted.where(F.col(id_col).isNull()).limit(1).count():
-        read = read.union(texts.where(F.col(id_col).isNull()))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                own = list(shingle_sets(part.column(1)))
+                own = [s for s in shingle_sets(part.column(1)) if len(s)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name_of(s) for s in own], pa.binary()),
+                    [pa.array([name_of(s, draw)[0] for s in own], pa.int64()),
                      pa.array([s.tobytes() for s in own], pa.binary())], names=["sig", "shingles"])
 
-    found = read.select(id_col, text_col).mapInArrow(sets, "sig binary, shingles binary")
-    # Rows that repeat an id or have none may bring a set twice; the links are made distinct.
-    found = stage(found.join(names, "sig", "left_semi"))
+    read = texts.where(F.col(id_col).isNotNull()).join(ids, id_col, "left_semi").select(id_col, text_col)
+    found = read.mapInArrow(sets, "sig long, shingles binary")
+    if wanted.where(F.col(id_col).isNull()).limit(1).count():
+        nameless = texts.where(F.col(id_col).isNull()).mapInArrow(sets, "sig long, shingles binary")
+        found = found.union(nameless.join(wanted.select("sig"), "sig", "left_semi"))
+    # Rows that repeat an id or have none may bring a set twice, or one that no pair has; the links are made distinct.
+    found = stage(found)
 
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -428,26 +486,31 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     nodes: each gets the least id of what its own text reaches. A row without id takes part
     but gives its component no id; a component of such rows has a null one.
     """
-    marks = stage(outline(docs, id_col, text_col))
+    for draw in count():
+        marks = stage(outline(docs, id_col, text_col, draw))
+        classes = stage(marks.where("sig is not null and n > 0").groupBy("sig").agg(
+            F.min("id").alias("least"), (F.min("more") != F.max("more")).alias("shared"),
+            *(F.first(c).alias(c) for c in ("n", *BITS, "wide"))))
+        if not classes.where("shared").limit(1).count():
+            break
     rows = marks.where("sig is not null").select("id", "sig", "n")
-    classes = stage(marks.where("sig is not null and n > 0").groupBy("sig").agg(
-        F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("n", *BITS, "wide"))))
     hot = hot_shingles(marks.where("token is not null").select("token", "seen"))
     total = rows.where("n > 0").agg(F.sum("n")).first()[0] or 0
     buckets = max(docs.sparkSession.sparkContext.defaultParallelism * 4,
                   int(total * (100 - percent) / 100 / BUCKET_ROWS) + 1)
-    posts = stage(postings(docs, hot, buckets, percent, id_col, text_col))
+    posts = stage(postings(docs, hot, buckets, percent, id_col, text_col, draw))
     links, roots = None, None
 
     def grow(pairs: DataFrame) -> None:
         nonlocal links, roots
-        more = stage(verified(docs, classes, pairs, percent, id_col, text_col))
+        more = stage(verified(docs, classes, pairs, percent, id_col, text_col, draw))
         if roots is None or not more.isEmpty():
             links = more if links is None else links.union(more)
             roots = connected_components(links)
 
+    led = stage(leader_pairs(posts, classes, percent))
     for nearest in NEAREST:
-        grow(star_pairs(posts, classes, roots, nearest, percent))
+        grow(star_pairs(led, roots, nearest))
     grow(cross_pairs(posts, classes, roots, percent))
     classes = (
         classes.select("sig", "least")

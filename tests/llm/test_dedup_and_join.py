@@ -7,6 +7,7 @@ import random
 import numpy as np
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,3 +251,57 @@ def test_without_broadcasts_only_rows_that_may_go_are_moved(spark):
             assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(want, key=str)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def _may_match(n, pos, ell, i, j):
+    need = -(-80 * (n[i] + n[j]) // 180)
+    least = min(ell[i], ell[j])
+    return (100 * min(n[i], n[j]) >= 80 * max(n[i], n[j])
+            and n[i] - pos[i] + least > need and n[j] - pos[j] + least > need)
+
+
+def test_postings_stay_where_another_place_fits():
+    rng = random.Random(3)
+    for groups in (30, 3, 1):
+        number = np.array(sorted(rng.randrange(groups) for _ in range(60)))
+        n = np.array([rng.randrange(1, 60) for _ in range(60)])
+        ell = np.array([rng.choice([1, 1, 2, 4]) for _ in range(60)])
+        pos = np.array([rng.randrange(max(1, k // 5 + 1)) for k in n])
+        got = J.has_match(number, n, pos, ell, 80)
+        size = np.bincount(number)[number]
+        for i in range(60):
+            want = any(j != i and number[i] == number[j] and _may_match(n, pos, ell, i, j) for j in range(60))
+            assert got[i] == want if size[i] <= J.FEW else got[i] >= want
+        assert 0 < got.sum() < 60
+    assert not len(J.has_match(number[:0], n[:0], pos[:0], ell[:0], 80))
+
+
+def test_only_postings_at_fitting_places_leave_their_task(spark):
+    rows = near_copies(8, 60, 3, 60)
+    sets = {J.name_of(s)[0]: s for s in J.shingle_sets(pa.array([t for _, t in rows]))}
+    posted = {(s, k): int(x) for s, own in sets.items() for k, x in enumerate(own[:len(own) - -(-80 * len(own) // 100) + 1])}
+    want = set()
+    for (a, i), (b, j) in itertools.combinations(posted, 2):
+        if posted[a, i] == posted[b, j] and _may_match([len(sets[a]), len(sets[b])], [i, j], [1, 1], 0, 1):
+            want |= {(a, i), (b, j)}
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    got = J.postings(frame(spark, rows), none, 4, 80).select("sig", "pos").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and 0 < len(want) < 0.8 * len(posted)
+
+
+def test_postings_travel_in_planes():
+    rng = np.random.default_rng(2)
+    rows = np.zeros(500, J.POSTING)
+    for c in J.POSTING.names:
+        rows[c] = rng.integers(0, 2**8, 500)
+    rows["sig"] = rng.integers(0, 2**63, 500)
+    for part in (rows, rows[:1], rows[:0]):
+        assert (J.from_planes(pa.py_buffer(J.to_planes(part))) == part).all()
+
+
+def test_names_are_drawn_again_if_two_classes_share_one(spark, monkeypatch):
+    drawn = J.name_of
+    monkeypatch.setattr(J, "name_of", lambda s, draw=0: len(s) and (drawn(s, draw) if draw else (7, drawn(s)[1])))
+    rows = near_copies(9, 12, 6, 60) + [(20_000, None)]
+    got = J.jaccard_components(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(model_components(rows))
