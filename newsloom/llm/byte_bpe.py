@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from newsloom.llm.texts import slices
+from newsloom.llm.texts import giving_back, slices
 
 # Tables of a task: states (some 80 MB for 200,000) and encoded pieces (some 60 MB for 300,000). Small
 # ones serve a pipeline whose workers have other tables too.
@@ -262,6 +262,13 @@ def codec(data: bytes, pattern: str, states: int = STATES, pieces: int = PIECES)
     return _CODEC[key]
 
 
+def forget() -> None:
+    """Drops the worker's codec: workers live on, and later steps of the session need their memory.
+
+    ``round_trip`` keeps its larger tables from task to task, since making them anew takes longest."""
+    _CODEC.clear()
+
+
 def vocabulary(path: str) -> bytes:
     """The rank file, read by the driver and sent to the tasks; its size is that of a vocabulary."""
     with open(path, "rb") as f:
@@ -284,17 +291,21 @@ def tokenize(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTER
     names = [*docs.columns, *added]
     at = names.index(text_col)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(sent.value, pattern)
-        for batch in batches:
-            for part in slices(batch, at):
-                packed = [own.encode(t or "") for t in part.column(at).to_pylist()]
-                flat = np.frombuffer(b"".join(packed), "<i4")
-                offsets = np.cumsum([0] + [len(p) // 4 for p in packed]).astype(np.int32)
-                made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
-                if decoded_col:
-                    made.append(pa.array([own.decode(p) for p in packed], pa.string()))
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=names)
+        try:
+            for batch in batches:
+                for part in slices(batch, at):
+                    packed = [own.encode(t or "") for t in part.column(at).to_pylist()]
+                    flat = np.frombuffer(b"".join(packed), "<i4")
+                    offsets = np.cumsum([0] + [len(p) // 4 for p in packed]).astype(np.int32)
+                    made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+                    if decoded_col:
+                        made.append(pa.array([own.decode(p) for p in packed], pa.string()))
+                    yield pa.RecordBatch.from_arrays([*part.columns, *made], names=names)
+        finally:
+            forget()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
 

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from newsloom.llm.texts import may_be_in, mix, shingle_sets, slices
+from newsloom.llm.texts import giving_back, may_be_in, mix, shingle_sets, slices
 from newsloom.operators.components import connected_components
 from newsloom.session import stage
 
@@ -119,6 +119,7 @@ def outline(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dra
         T.StructField("n", T.IntegerType()), *(T.StructField(b, T.LongType()) for b in BITS),
         T.StructField("wide", T.BinaryType()), T.StructField("token", T.LongType()), T.StructField("seen", T.IntegerType())])
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         names: set[tuple[int, int]] = set()
@@ -256,6 +257,7 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int,
     """
     sent = docs.sparkSession.sparkContext.broadcast(hot)
 
+    @giving_back
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = sent.value
         held: list[np.ndarray] = []
@@ -445,6 +447,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int
     ids = stage(wanted.select(id_col).where(F.col(id_col).isNotNull()).distinct())
     texts = docs.select(id_col, text_col)
 
+    @giving_back
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):

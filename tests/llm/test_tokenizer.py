@@ -4,6 +4,7 @@ import hashlib
 import random
 import struct
 
+import pyarrow as pa
 import pytest
 import public_tokenizers as P
 import tiktoken
@@ -78,3 +79,17 @@ def test_round_trip_of_rows(spark):
     assert added.columns == ["doc_id", "text", "ids", "back"]
     assert all(r.back == (r.text or "") and r.ids == OTHER.encode_ordinary(r.text or "") for r in added.collect())
     assert B.tokenize(docs.limit(0), PATH).count() == 0 == B.round_trip(docs.limit(0), PATH).count()
+
+
+def test_workers_keep_no_codec_after_tokenizing(spark):
+    def kept(batches):
+        import sys
+        for batch in batches:
+            own = sys.modules.get("newsloom.llm.byte_bpe")
+            codecs = sum(key[1:] == (own.STATES, own.PIECES) for key in own._CODEC) if own else 0
+            yield pa.RecordBatch.from_pydict({"codecs": [codecs]})
+
+    docs = spark.range(0, 64, 1, 8).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
+    assert B.tokenize(docs, PATH).where("size(ids) > 0").count() == 64
+    rows = spark.range(0, 64, 1, 8).mapInArrow(kept, "codecs long").collect()
+    assert rows and not any(r.codecs for r in rows)
